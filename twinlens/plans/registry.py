@@ -447,3 +447,97 @@ GROUP BY 1"""))
 def q_audit_probabilities(spark, sf):
     a = audit_probabilities(pl.scored_val(spark, sf), "logits", "pred", 0, 0.9)
     return overconfidence_report(a, 0)
+
+
+# ------------------------------------------------------------- image grids
+
+from twinlens.operators import image_prep as ip  # noqa: E402
+
+_G = 8
+_DRAW_SQL = ("('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '|1|42|{step}'), 1, 8))::BIGINT")
+
+
+@register("image_hflip", with_ctes(f"""
+SELECT i.guid, CASE WHEN f.flipped THEN (i.pos // 8) * 8 + 7 - i.pos % 8 ELSE i.pos END AS pos,
+       round(i.v, 12) AS v, f.flipped
+FROM fx_image_long i JOIN (SELECT CAST(vec_id AS VARCHAR) AS guid,
+                                  {_DRAW_SQL.format(step='flip')} < {ip.flip_threshold(0.5)} AS flipped
+                           FROM embeddings) f ON f.guid = i.guid""", "fx_image_long"))
+def q_image_hflip(spark, sf):
+    g = fx_image_grid(spark, sf)
+    flipped, out = ip.random_hflip_grid(F.col("px"), F.col("guid"), _G, _G, 1, 42, 0.5)
+    r = g.select("guid", flipped.alias("flipped"), out.alias("out"))
+    return _long(r, ["guid", "flipped"], "out", 12, nonzero=False)
+
+
+@register("image_rotate", f"""
+WITH ang AS (
+  SELECT CAST(vec_id AS VARCHAR) AS guid, embedding,
+         -15.0::DOUBLE + 30.0::DOUBLE * ({_DRAW_SQL.format(step='rot')}::DOUBLE / 4294967296.0::DOUBLE) AS angle
+  FROM embeddings),
+cs AS (SELECT *, round(cos(-angle * pi() / 180.0::DOUBLE), 15) AS c,
+              round(sin(-angle * pi() / 180.0::DOUBLE), 15) AS s FROM ang),
+px AS (SELECT guid, angle, embedding, p.range AS pos,
+              floor(c * ((p.range % 8) + -3.5::DOUBLE) + s * ((p.range // 8) + -3.5::DOUBLE) + 4.0)::BIGINT AS xi,
+              floor(-s * ((p.range % 8) + -3.5::DOUBLE) + c * ((p.range // 8) + -3.5::DOUBLE) + 4.0)::BIGINT AS yi
+       FROM cs CROSS JOIN range(64) p)
+SELECT guid, round(angle, 9) AS angle, pos,
+       round(CASE WHEN xi >= 0 AND xi < 8 AND yi >= 0 AND yi < 8
+                  THEN CAST(embedding[yi * 8 + xi + 1] AS DOUBLE) ELSE 0.0::DOUBLE END, 12) AS v
+FROM px""")
+def q_image_rotate(spark, sf):
+    g = fx_image_grid(spark, sf)
+    angle, out = ip.random_rotate_grid(F.col("px"), F.col("guid"), _G, _G, 1, 42, 15.0)
+    r = g.select("guid", F.round(angle, 9).alias("angle"), out.alias("out"))
+    return _long(r, ["guid", "angle"], "out", 12, nonzero=False)
+
+
+_RESIZE_OUT = 5
+_RW_SQL = f"""rw AS (
+  SELECT o, x, w / sum(w) OVER (PARTITION BY o) AS w FROM (
+    SELECT o.range AS o, x.range AS x,
+           greatest(0.0::DOUBLE, 1.0 - abs((x.range - (o.range + 0.5) * ({_G}.0::DOUBLE / {_RESIZE_OUT}.0::DOUBLE) + 0.5)
+                                         / greatest({_G}.0::DOUBLE / {_RESIZE_OUT}.0::DOUBLE, 1.0))) AS w
+    FROM range({_RESIZE_OUT}) o CROSS JOIN range({_G}) x
+    WHERE x.range >= greatest(floor((o.range + 0.5) * ({_G}.0::DOUBLE / {_RESIZE_OUT}.0::DOUBLE)
+                                    - greatest({_G}.0::DOUBLE / {_RESIZE_OUT}.0::DOUBLE, 1.0) + 0.5), 0)
+      AND x.range < least(floor((o.range + 0.5) * ({_G}.0::DOUBLE / {_RESIZE_OUT}.0::DOUBLE)
+                                + greatest({_G}.0::DOUBLE / {_RESIZE_OUT}.0::DOUBLE, 1.0) + 0.5), {_G})) t)"""
+
+
+@register("image_resize", _insert_cte(with_ctes(f"""-- body
+SELECT i.guid, ry.o * {_RESIZE_OUT} + rx.o AS pos, round(sum(ry.w * rx.w * i.v), 9) AS v
+FROM fx_image_long i JOIN rw ry ON ry.x = i.pos // {_G} JOIN rw rx ON rx.x = i.pos % {_G}
+GROUP BY i.guid, ry.o, rx.o""", "fx_image_long"), _RW_SQL))
+def q_image_resize(spark, sf):
+    g = fx_image_grid(spark, sf)
+    r = g.select("guid", ip.resize_grid(F.col("px"), _G, _G, _RESIZE_OUT, _RESIZE_OUT).alias("out"))
+    return _long(r, ["guid"], "out", 9, nonzero=False)
+
+
+@register("image_normalize", with_ctes(
+    f"SELECT guid, pos, round((v - {ip.MEAN[0]}::DOUBLE) / {ip.STD[0]}::DOUBLE, 12) AS v "
+    "FROM fx_image_long", "fx_image_long"))
+def q_image_normalize(spark, sf):
+    g = fx_image_grid(spark, sf)
+    r = g.select("guid", ip.normalize_grid(F.col("px"), ip.MEAN[0], ip.STD[0]).alias("out"))
+    return _long(r, ["guid"], "out", 12, nonzero=False)
+
+
+@register("image_extrema", with_ctes("""
+SELECT guid, list_min(img_feat) AS vmin, list_max(img_feat) AS vmax,
+       list_min(img_feat) = 0 AND list_max(img_feat) = 0 AS is_black FROM fx_image_vec""",
+    "fx_image_vec"))
+def q_image_extrema(spark, sf):
+    g = fx_image_grid(spark, sf)
+    lo, hi, black = ip.grid_extrema(F.col("px"))
+    return g.select("guid", lo.alias("vmin"), hi.alias("vmax"), black.alias("is_black"))
+
+
+@register("channel_stats", with_ctes("""
+SELECT count(*) AS n, round(sum(v) / count(*), 8) AS mean,
+       round(sqrt(sum(v * v) / count(*) - (sum(v) / count(*)) * (sum(v) / count(*))), 8) AS std
+FROM fx_image_long""", "fx_image_long"))
+def q_channel_stats(spark, sf):
+    st = ip.channel_stats(fx_image_grid(spark, sf), "px")
+    return st.select("n", F.round("mean", 8).alias("mean"), F.round("std", 8).alias("std"))
