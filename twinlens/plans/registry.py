@@ -541,3 +541,39 @@ FROM fx_image_long""", "fx_image_long"))
 def q_channel_stats(spark, sf):
     st = ip.channel_stats(fx_image_grid(spark, sf), "px")
     return st.select("n", F.round("mean", 8).alias("mean"), F.round("std", 8).alias("std"))
+
+
+# ---------------------------------------------- training (rows-only check)
+
+@register("mlp_head_fit")
+def q_mlp_head_fit(spark, sf):
+    """Fusion head trained with AdamW, 5 epochs, batch 16, lr 2e-5 (M3, M7, M8).
+
+    Returns the per-epoch history with improvement flags. The best head is
+    saved and reloaded as a table (A9, A10). Iterative: no SQL form.
+    """
+    from twinlens.operators.fusion import default_blocks
+    from twinlens.operators.training import fit_fusion_head, history_frame
+    from twinlens.plans.fixtures import IMG_DIM
+    from twinlens.session import scratch_path
+    from twinlens.sources.model_io import load_head, save_head
+    fe = pl.labelled_features(spark, sf)
+    train, val = fe.where(F.col("split") == "train"), fe.where(F.col("split") == "val")
+    best, last, hist = fit_fusion_head(train, val, default_blocks(IMG_DIM, TXT_DIM))
+    if best is not None:
+        path = scratch_path(spark, "best-head")
+        save_head(spark, best, path)
+        load_head(spark, path)
+    return mark_improvements(history_frame(spark, hist))
+
+
+@register("ml_head_fit")
+def q_ml_head_fit(spark, sf):
+    """Spark ML multilayer perceptron on the fused features; val accuracy (M4)."""
+    from pyspark.ml.functions import array_to_vector
+    from twinlens.operators.training import fit_ml_head
+    fe = pl.labelled_features(spark, sf)
+    model = fit_ml_head(fe.where(F.col("split") == "train"))
+    val = fe.where(F.col("split") == "val").withColumn("fv", array_to_vector("features"))
+    pred = model.transform(val).withColumn("pred", F.col("prediction").cast("int"))
+    return ev.accuracy(pred, "pred", "label")
