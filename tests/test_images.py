@@ -42,9 +42,9 @@ def test_grid_ops_match_numpy(spark):
     rows = [(f"g{i}", rng.random(64).tolist()) for i in range(40)]
     df = spark.createDataFrame(rows, "guid string, px array<double>")
     flipped, out = ip.random_hflip_grid(F.col("px"), F.col("guid"), 8, 8, 1, 42)
-    angle, rot = ip.random_rotate_grid(F.col("px"), F.col("guid"), 8, 8, 1, 42)
-    res = df.select("guid", flipped.alias("f"), out.alias("o"), angle.alias("a"), rot.alias("r"),
-                    ip.resize_grid(F.col("px"), 8, 8, 5, 5).alias("z")).collect()
+    rot = ip.random_rotate_grid(df, "px", "guid", 8, 8, 1, 42, out_col="r")
+    res = rot.select("guid", flipped.alias("f"), out.alias("o"), F.col("angle").alias("a"), "r",
+                     ip.resize_grid(F.col("px"), 8, 8, 5, 5).alias("z")).collect()
     src = dict(rows)
     for r in res:
         g = np.asarray(src[r.guid]).reshape(8, 8)

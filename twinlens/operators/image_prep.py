@@ -95,14 +95,19 @@ def random_hflip_grid(px: Column, guid: Column, h: int, w: int, epoch: int = 1,
     return flipped, F.when(flipped, hflip_grid(px, h, w)).otherwise(px)
 
 
-def rotate_grid(px: Column, angle: Column, h: int, w: int, fill: float = 0.0) -> Column:
+def rotation_cos_sin(angle: Column) -> tuple[Column, Column]:
+    a = -angle * F.lit(math.pi) / F.lit(180.0)
+    return F.round(F.cos(a), 15), F.round(F.sin(a), 15)
+
+
+def rotate_grid(px: Column, c: Column, s: Column, h: int, w: int, fill: float = 0.0) -> Column:
     """Rotate about the centre, nearest neighbour, same size, fill outside.
 
     Output pixel centre ``(x + .5, y + .5)`` maps back through the inverse
-    rotation; the source index is the floor of the mapped point.
+    rotation; the source index is the floor of the mapped point. ``c``/``s``
+    are the cosine and sine columns (computed once per row, see
+    ``random_rotate_grid``).
     """
-    a = -angle * F.lit(math.pi) / F.lit(180.0)
-    c, s = F.round(F.cos(a), 15), F.round(F.sin(a), 15)
     cx, cy = w / 2.0, h / 2.0
 
     def pick(i):
@@ -117,10 +122,14 @@ def rotate_grid(px: Column, angle: Column, h: int, w: int, fill: float = 0.0) ->
     return F.transform(F.sequence(F.lit(0), F.lit(h * w - 1)), pick)
 
 
-def random_rotate_grid(px: Column, guid: Column, h: int, w: int, epoch: int = 1, seed: int = 42,
-                       degrees: float = 15.0) -> tuple[Column, Column]:
-    angle = angle_of(draw_expr(guid, epoch, seed, "rot").cast("double"), degrees)
-    return angle, rotate_grid(px, angle, h, w)
+def random_rotate_grid(df: DataFrame, px_col: str, guid_col: str, h: int, w: int, epoch: int = 1,
+                       seed: int = 42, degrees: float = 15.0, out_col: str = "rotated") -> DataFrame:
+    """Keyed random rotation in [-degrees, degrees); adds ``angle`` and ``out_col``."""
+    angle = angle_of(draw_expr(F.col(guid_col), epoch, seed, "rot").cast("double"), degrees)
+    c, s = rotation_cos_sin(F.col("angle"))
+    out = df.withColumn("angle", angle).withColumn("_c", c).withColumn("_s", s)
+    return (out.withColumn(out_col, rotate_grid(F.col(px_col), F.col("_c"), F.col("_s"), h, w))
+            .drop("_c", "_s"))
 
 
 def resize_grid(px: Column, h: int, w: int, oh: int, ow: int) -> Column:

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest candidate set ranked in one task at the end of the refinement.
@@ -44,32 +44,46 @@ def _digits() -> list[list[Column]]:
     ]
 
 
-def _kth_key(keyed: DataFrame, k: int):
-    """Exact k-th smallest ``(_h, _guid, _row)`` (1-based)."""
-    cond = F.lit(True)
-    remaining = k
-    cand_n = None
-    for level in _digits():
-        if cand_n is not None and cand_n <= RANK_LIMIT:
-            break
-        names = [f"_d{i}" for i in range(len(level))]
-        hist = (keyed.where(cond)
-                .groupBy(*[c.alias(n) for c, n in zip(level, names)])
-                .count().collect())
-        hist.sort(key=lambda r: tuple(r[n] for n in names))
+def _histogram(keyed: DataFrame, cond: Column, level: list[Column]):
+    names = [f"_d{i}" for i in range(len(level))]
+    hist = (keyed.where(cond).groupBy(*[c.alias(n) for c, n in zip(level, names)])
+            .count().collect())                      # <= 65 536 groups per level
+    hist.sort(key=lambda r: tuple(r[n] for n in names))
+    return names, hist
+
+
+def _kth_key(keyed: DataFrame, fraction: float):
+    """Exact k-th smallest ``(_h, _guid, _row)`` with ``k = ceil(fraction * n)``.
+
+    Returns ``(n, k, key)``; ``key`` is None when k is 0 or n.
+    """
+    levels = _digits()
+    names, hist = _histogram(keyed, F.lit(True), levels[0])
+    n = sum(r["count"] for r in hist)
+    # sklearn's contract: ceil(test_size * n_samples) in float arithmetic
+    k = math.ceil(fraction * n)
+    if k <= 0 or k >= n:
+        return n, k, None
+    cond, remaining = F.lit(True), k
+    for i, level in enumerate(levels):
+        if i > 0:
+            names, hist = _histogram(keyed, cond, level)
         acc = 0
         for row in hist:
             if acc + row["count"] >= remaining:
                 remaining -= acc
                 cand_n = row["count"]
-                for c, n in zip(level, names):
-                    cond = cond & (c == F.lit(row[n]))
+                for c, nm in zip(level, names):
+                    cond = cond & (c == F.lit(row[nm]))
                 break
             acc += row["count"]
-    w = Window.orderBy("_h", "_guid", "_row")
-    hit = (keyed.where(cond).withColumn("_rk", F.row_number().over(w))
-           .where(F.col("_rk") == remaining).select("_h", "_guid", "_row").collect())
-    return hit[0]["_h"], hit[0]["_guid"], hit[0]["_row"]
+        if cand_n <= RANK_LIMIT:
+            break
+    # bounded candidate set: rank it on the driver (string order = UTF-8 byte order)
+    cand = keyed.where(cond).select("_h", "_guid", "_row").collect()
+    cand.sort(key=lambda r: (r["_h"], r["_guid"], r["_row"]))
+    hit = cand[remaining - 1]
+    return n, k, (hit["_h"], hit["_guid"], hit["_row"])
 
 
 def _le_key(h: Column, g: Column, r: Column, b) -> Column:
@@ -93,14 +107,11 @@ def split_manifest(df: DataFrame, val_fraction: float = 0.2, seed: int = 42,
 
     keyed = df.select(*_key_cols(guid_col, seed), F.col(guid_col).alias("_guid"),
                       F.col(order_col).alias("_row"))
-    n = keyed.count()
-    # sklearn's contract: ceil(test_size * n_samples) in float arithmetic
-    k = math.ceil(val_fraction * n)
+    n, k, bound = _kth_key(keyed, val_fraction)
     if k <= 0:
         return df.withColumn("split", F.lit("train"))
     if k >= n:
         return df.withColumn("split", F.lit("val"))
-    bound = _kth_key(keyed, k)
     is_val = _le_key(h, F.col(guid_col), F.col(order_col), bound)
     return df.withColumn("split", F.when(is_val, "val").otherwise("train"))
 

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinlens.session import checkpoint_dir, spread
+
 TOKEN_SPLIT = "[^a-z]+"
 _SPLIT_RE = re.compile(TOKEN_SPLIT)
 
@@ -74,6 +76,7 @@ def _bow_md5_batch(texts: pd.Series, dim: int) -> pd.Series:
 def text_features(df: DataFrame, text_col: str = "text", dim: int = 32,
                   hashing: str = "md5", out_col: str = "txt_feat") -> DataFrame:
     """Hashed bag-of-words vector per row (T4 built-in encoder)."""
+    df = spread(df)
     if hashing == "md5":
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
         def bow(texts: pd.Series) -> pd.Series:
@@ -117,7 +120,7 @@ def build_vocab(df: DataFrame, size: int, text_col: str = "text") -> DataFrame:
     Word count is a partial + final aggregate; the top-``size`` cut keeps the
     most frequent tokens, ties by token, and only ``size`` rows ever leave a task.
     """
-    counts = (df.select(F.explode(word_tokens(text_col)).alias("token"))
+    counts = (spread(df).select(F.explode(word_tokens(text_col)).alias("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("cnt")))
     top = counts.orderBy(F.desc("cnt"), F.asc("token")).limit(size)
     # ids follow the frequency order; ranking `size` rows is bounded work
@@ -126,7 +129,9 @@ def build_vocab(df: DataFrame, size: int, text_col: str = "text") -> DataFrame:
     spark = df.sparkSession
     specials = spark.createDataFrame(
         [(t, None, i) for i, t in enumerate(SPECIALS)], "token string, cnt bigint, token_id int")
-    return specials.unionByName(ranked)
+    # a fitted artefact (<= size rows): materialise once in the shared folder
+    checkpoint_dir(spark)
+    return specials.unionByName(ranked).coalesce(1).checkpoint(eager=True)
 
 
 def load_vocab(spark: SparkSession, path: str) -> DataFrame:
@@ -150,22 +155,16 @@ def encode_words(df: DataFrame, vocab: DataFrame, max_len: int = 128,
     """Word-level encoding in long form ``(guid, pos, token_id)``.
 
     ``[CLS]`` at pos 0, content truncated to ``max_len - 2`` words, ``[SEP]``
-    last; out-of-vocabulary words map to ``[UNK]``. The vocabulary joins by
-    broadcast when its size is within the guard, else by shuffle.
+    last; out-of-vocabulary words map to ``[UNK]``. One posexplode of the framed
+    token list and one join with the vocabulary: broadcast when its size is
+    within the guard, else a shuffle join.
     """
-    ids = {r["token"]: r["token_id"] for r in
-           vocab.where(F.col("token").isin(SPECIALS)).select("token", "token_id").collect()}
-    words = (df.select(F.col(guid_col).alias("guid"),
-                       F.posexplode(F.slice(word_tokens(text_col), 1, max_len - 2))
-                       .alias("p", "token")))
-    words = (words.join(_checked_broadcast(vocab.select("token", "token_id")), "token", "left")
-             .select("guid", (F.col("p") + 1).alias("pos"),
-                     F.coalesce(F.col("token_id"), F.lit(ids[UNK])).alias("token_id")))
-    lengths = df.select(F.col(guid_col).alias("guid"),
-                        F.least(F.size(word_tokens(text_col)), F.lit(max_len - 2)).alias("n"))
-    cls = lengths.select("guid", F.lit(0).alias("pos"), F.lit(ids[CLS]).alias("token_id"))
-    sep = lengths.select("guid", (F.col("n") + 1).alias("pos"), F.lit(ids[SEP]).alias("token_id"))
-    return cls.unionByName(words).unionByName(sep)
+    unk = vocab.where(F.col("token") == UNK).select("token_id").collect()[0][0]
+    framed = F.concat(F.array(F.lit(CLS)), F.slice(word_tokens(text_col), 1, max_len - 2),
+                      F.array(F.lit(SEP)))
+    toks = spread(df).select(F.col(guid_col).alias("guid"), F.posexplode(framed).alias("pos", "token"))
+    return (toks.join(_checked_broadcast(vocab.select("token", "token_id")), "token", "left")
+            .select("guid", "pos", F.coalesce(F.col("token_id"), F.lit(unk)).alias("token_id")))
 
 
 # ---------------------------------------------------------------- WordPiece
@@ -246,6 +245,7 @@ def wordpiece_encode(df: DataFrame, vocab: DataFrame, max_len: int = 128,
     n = vocab.count()
     if n > MAX_BROADCAST_VOCAB:
         raise ValueError(f"vocabulary of {n} entries exceeds the broadcast guard")
+    df = spread(df)
     table = {r["token"]: int(r["token_id"]) for r in vocab.select("token", "token_id").collect()}
     bv = df.sparkSession.sparkContext.broadcast(table)
 

@@ -27,6 +27,7 @@ from twinlens.operators.training import batch_mean_loss, best_epoch, mark_improv
 from twinlens.plans import pipeline as pl
 from twinlens.plans.fixtures import (TXT_DIM, fx_batch_loss, fx_history, fx_image_grid,
                                      fx_image_vec, fx_manifest, fx_test_manifest, fx_text, with_ctes)
+from twinlens.session import spread
 from twinlens.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,7 +167,7 @@ def q_strip(spark, sf):
 SELECT guid, {_strip_sql("replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))")} AS text
 FROM fx_text""", "fx_text"))
 def q_gb18030(spark, sf):
-    t = fx_text(spark, sf).select("guid", encode_gb18030(F.col("text")).alias("blob"))
+    t = spread(fx_text(spark, sf)).select("guid", encode_gb18030(F.col("text")).alias("blob"))
     return t.select("guid", decode_text(F.col("blob"), "gb18030").alias("text"))
 
 
@@ -486,9 +487,8 @@ SELECT guid, round(angle, 9) AS angle, pos,
                   THEN CAST(embedding[yi * 8 + xi + 1] AS DOUBLE) ELSE 0.0::DOUBLE END, 12) AS v
 FROM px""")
 def q_image_rotate(spark, sf):
-    g = fx_image_grid(spark, sf)
-    angle, out = ip.random_rotate_grid(F.col("px"), F.col("guid"), _G, _G, 1, 42, 15.0)
-    r = g.select("guid", F.round(angle, 9).alias("angle"), out.alias("out"))
+    g = ip.random_rotate_grid(fx_image_grid(spark, sf), "px", "guid", _G, _G, 1, 42, 15.0, "out")
+    r = g.select("guid", F.round("angle", 9).alias("angle"), "out")
     return _long(r, ["guid", "angle"], "out", 12, nonzero=False)
 
 

@@ -55,3 +55,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.urandom(6).hex()}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a DataFrame with fewer partitions than cores.
+
+    A single-row-group parquet file scans as one task; per-row heavy work
+    (tokenising, hashing, Arrow UDFs) would then run on one core. Inputs that
+    already have many splits, as at scale, pass through unchanged.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
