@@ -26,10 +26,16 @@ def audit_rows(manifest: DataFrame, texts: DataFrame, images: DataFrame,
                      (F.col("text_ok") if "text_ok" in texts.columns else F.lit(True)).alias("_tok"))
     img_cols = [F.col(guid_col).alias("_gi"),
                 (F.col("image_ok") if "image_ok" in images.columns else F.lit(True)).alias("_iok")]
+    has_size = "image" in images.columns or "width" in images.columns
     if "image" in images.columns:
         img_cols += [F.col("image.width").alias("width"), F.col("image.height").alias("height")]
+    elif "width" in images.columns:
+        img_cols += [F.col("width"), F.col("height")]
     if px_col and px_col in images.columns:
         img_cols.append(F.col(px_col).alias("_px"))
+    has_black = "image_black" in images.columns
+    if has_black:
+        img_cols.append(F.col("image_black").alias("_blk"))
     i = images.select(*img_cols)
     j = (manifest.join(t, manifest[guid_col] == t["_g"], "left")
          .join(i, manifest[guid_col] == i["_gi"], "left"))
@@ -41,9 +47,10 @@ def audit_rows(manifest: DataFrame, texts: DataFrame, images: DataFrame,
         preview(F.coalesce(F.col("_text"), F.lit(""))).alias("text_preview"),
         F.col("_gi").isNotNull().alias("image_exists"),
         F.coalesce(F.col("_iok"), F.lit(False)).alias("image_readable"),
-        *([F.col("width"), F.col("height")] if "image" in images.columns else []),
+        *([F.col("width"), F.col("height")] if has_size else []),
         *([((F.array_max("_px") == 0) & (F.array_min("_px") == 0)).alias("image_black")]
           if px_col and px_col in images.columns else []),
+        *([F.coalesce(F.col("_blk"), F.lit(False)).alias("image_black")] if has_black else []),
     )
     return out
 

@@ -28,9 +28,12 @@ def prepare_manifest(df: DataFrame, labelled: bool = True, strict: bool = True)
 
 
 def attach_text(m: DataFrame, texts: DataFrame, guid_col: str = "guid",
-                text_col: str = "text") -> DataFrame:
-    """Manifest ⟕ text; missing -> ``''`` with ``has_text = false``."""
-    t = texts.select(F.col(guid_col).alias(guid_col), F.col(text_col).alias("_t"))
+                text_col: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
+    """Manifest ⟕ text; missing -> ``''`` with ``has_text = false``.
+
+    ``extra`` columns of the text table (e.g. precomputed features) ride along.
+    """
+    t = texts.select(F.col(guid_col).alias(guid_col), F.col(text_col).alias("_t"), *extra)
     j = m.join(t, guid_col, "left")
     return (j.withColumn("has_text", F.col("_t").isNotNull())
             .withColumn(text_col, F.coalesce(F.col("_t"), F.lit("")))

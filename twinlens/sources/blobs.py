@@ -19,32 +19,46 @@ def _guid_from_path(path_col, ext: str):
     return F.url_decode(name)
 
 
+def _load(reader, folder: str, ext: str, recursive: bool) -> DataFrame:
+    """Top-level ``folder/*.ext`` (the reference layout), or every level."""
+    if recursive:
+        return (reader.option("pathGlobFilter", f"*.{ext}").option("recursiveFileLookup", True)
+                .load(folder))
+    return reader.load(f"{folder.rstrip('/')}/*.{ext}")
+
+
 def read_text_blobs(spark: SparkSession, folder: str, encoding: str = "gb18030",
-                    recursive: bool = False) -> DataFrame:
-    """``{guid}.txt`` files -> ``(guid, text, text_ok)``.
+                    recursive: bool = False, dedupe: bool = True) -> DataFrame:
+    """``{guid}.txt`` files -> ``(guid, text, text_ok)`` (``path`` too without dedupe).
 
-    Bytes are decoded with malformed sequences dropped, then stripped.
-    ``text_ok`` is false when the bytes decode to nothing readable.
+    Bytes are decoded (Arrow batches) with malformed sequences dropped, then
+    stripped, before any shuffle.
     """
-    raw = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt")
-           .option("recursiveFileLookup", recursive).load(folder))
-    df = raw.select(_guid_from_path(F.col("path"), "txt").alias("guid"),
-                    F.col("path"), F.col("content"))
-    df = (df.groupBy("guid").agg(F.min_by(F.struct("path", "content"), F.col("path")).alias("f")))
-    return df.select("guid", decode_text(F.col("f.content"), encoding).alias("text"),
-                     F.lit(True).alias("text_ok"))
+    raw = _load(spark.read.format("binaryFile"), folder, "txt", recursive)
+    df = raw.select(_guid_from_path(F.col("path"), "txt").alias("guid"), F.col("path"),
+                    decode_text(F.col("content"), encoding).alias("text"),
+                    F.lit(True).alias("text_ok"))
+    return first_per_guid(df, "path") if dedupe else df
+
+
+def first_per_guid(df: DataFrame, path_col: str) -> DataFrame:
+    """One row per guid: the lexicographically first path wins (partial + final aggregate)."""
+    cols = [c for c in df.columns if c not in ("guid", path_col)]
+    agg = df.groupBy("guid").agg(F.min_by(F.struct(*cols), F.col(path_col)).alias("_f"))
+    return agg.select("guid", *[F.col(f"_f.{c}").alias(c) for c in cols])
 
 
-def read_image_blobs(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
-    """``{guid}.jpg`` files -> ``(guid, image, image_ok)``.
+def read_image_blobs(spark: SparkSession, folder: str, recursive: bool = False,
+                     dedupe: bool = True) -> DataFrame:
+    """``{guid}.jpg`` files -> ``(guid, image, image_ok)`` (``origin`` too without dedupe).
 
     Spark's image source decodes in the JVM (BGR order); an undecodable file
-    keeps its row with ``nChannels = -1`` so the audit can count it.
+    keeps its row with ``nChannels = -1`` so the audit can count it. For
+    feature extraction read with ``dedupe=False``, encode, then dedupe: only
+    feature vectors are shuffled, never the decoded rasters.
     """
-    raw = (spark.read.format("image").option("dropInvalid", False)
-           .option("pathGlobFilter", "*.jpg").option("recursiveFileLookup", recursive)
-           .load(folder))
+    raw = _load(spark.read.format("image").option("dropInvalid", False), folder, "jpg", recursive)
     df = raw.select(_guid_from_path(F.col("image.origin"), "jpg").alias("guid"),
-                    F.col("image"))
-    df = df.groupBy("guid").agg(F.min_by(F.col("image"), F.col("image.origin")).alias("image"))
-    return df.select("guid", "image", (F.col("image.nChannels") > 0).alias("image_ok"))
+                    F.col("image.origin").alias("origin"), F.col("image"),
+                    (F.col("image.nChannels") > 0).alias("image_ok"))
+    return first_per_guid(df, "origin") if dedupe else df
