@@ -67,3 +67,26 @@ def test_jobs_end_to_end(spark, tmpdir_path):
     assert s.n_image == len([i for i in range(1, 91) if i % 13 == 0 or i % 7 != 0])
     assert s.n_image_readable == len([i for i in range(1, 91) if i % 13 != 0 and i % 7 != 0])
     assert s.n_image_black == 0
+
+
+def test_streaming_predictions(spark, tmpdir_path):
+    import os
+    import tempfile
+    from twinlens.sources.model_io import load_head
+    from twinlens.streaming.scoring import stream_predictions
+    d = tmpdir_path
+    _corpus(d, 30)
+    out = tempfile.mkdtemp(prefix="twinlens-out-")
+    spec = jobs.FeatureSpec(image_size=16)
+    jobs.train_job(spark, f"{d}/train.txt", d, f"{out}/model", spec, epochs=1, lr=0.01, hidden=8)
+    inbox = tempfile.mkdtemp(prefix="twinlens-inbox-")
+    with open(f"{inbox}/a.csv", "w") as fh:
+        fh.write("guid\n1\n2.0\n999\n")
+    with open(f"{inbox}/b.csv", "w") as fh:
+        fh.write("guid\n 3 \n")
+    q = stream_predictions(spark, inbox, d, load_head(spark, f"{out}/model/best_head"),
+                           f"{out}/pred", f"{out}/ckpt", spec)
+    q.awaitTermination(120)
+    rows = spark.read.parquet(f"{out}/pred").collect()
+    assert sorted(r.guid for r in rows) == ["1", "2", "3", "999"]
+    assert {r.tag for r in rows} <= {"negative", "neutral", "positive"}

@@ -57,29 +57,47 @@ class FeatureSpec:
         return self.image_encoder()(np.zeros((1, 3, self.image_size, self.image_size)))[0]
 
 
-def build_features(spark: SparkSession, manifest: DataFrame, data_dir: str,
-                   spec: FeatureSpec | None = None, train: bool = False, epoch: int = 1,
-                   seed: int = 42) -> DataFrame:
-    """Manifest ⟕ text ⟕ image -> ``features`` (image block first).
+def blob_features(spark: SparkSession, data_dir: str, spec: FeatureSpec | None = None,
+                  train: bool = False, epoch: int = 1, seed: int = 42):
+    """Per-guid text and image features, encoded where the blobs are read.
 
-    Missing text is ``''`` (its encoding is the zero vector); a missing or
-    undecodable image gets the encoder's output for the black image, one
-    constant, never a per-row default raster.
+    Returns ``(texts, images)``: ``(guid, text, txt_feat)`` and
+    ``(guid, image_ok, img_feat)``, one row per guid. Encoding happens before
+    deduplication, so the shuffles carry vectors, not rasters or raw bytes.
     """
     spec = spec or FeatureSpec()
-    # encode on the blob side, then dedupe and join: shuffles carry vectors, not rasters
     texts = text_features(read_text_blobs(spark, data_dir, spec.encoding, dedupe=False),
                           "text", spec.txt_dim)
     texts = first_per_guid(texts.drop("text_ok"), "path")
     imgs = image_features(read_image_blobs(spark, data_dir, dedupe=False), "image", "guid",
                           spec.image_encoder, spec.img_dim, train, epoch, seed, spec.image_size)
     imgs = first_per_guid(imgs.select("guid", "origin", "image_ok", "img_feat"), "origin")
+    return texts, imgs
+
+
+def attach_features(manifest: DataFrame, texts: DataFrame, imgs: DataFrame,
+                    spec: FeatureSpec | None = None) -> DataFrame:
+    """Manifest ⟕ text features ⟕ image features -> ``features`` (image block first).
+
+    Missing text is ``''`` (its encoding is the zero vector); a missing or
+    undecodable image gets the encoder's output for the black image: one
+    constant, never a per-row default raster.
+    """
+    spec = spec or FeatureSpec()
     j = attach_text(manifest, texts, extra=("txt_feat",))
     j = attach_images(j, imgs, image_col="img_feat", ok_col="image_ok")
     black = F.array(*[F.lit(float(v)) for v in spec.black_feature()])
     return fuse_features(j, "img_feat", "txt_feat", spec.img_dim, spec.txt_dim, img_missing=black)
 
 
+def build_features(spark: SparkSession, manifest: DataFrame, data_dir: str,
+                   spec: FeatureSpec | None = None, train: bool = False, epoch: int = 1,
+                   seed: int = 42) -> DataFrame:
+    """Blob features for a manifest (see ``blob_features`` / ``attach_features``)."""
+    texts, imgs = blob_features(spark, data_dir, spec, train, epoch, seed)
+    return attach_features(manifest, texts, imgs, spec)
+
+
 def train_job(spark: SparkSession, train_file: str, data_dir: str, out_dir: str,
               spec: FeatureSpec | None = None, epochs: int = 5, lr: float = 2e-5,
               batch_size: int = 16, hidden: int = 512, seed: int = 42) -> DataFrame:
