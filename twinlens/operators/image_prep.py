@@ -132,19 +132,31 @@ def random_rotate_grid(df: DataFrame, px_col: str, guid_col: str, h: int, w: int
             .drop("_c", "_s"))
 
 
+def _lit_matrix(m: np.ndarray) -> Column:
+    return F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in m])
+
+
 def resize_grid(px: Column, h: int, w: int, oh: int, ow: int) -> Column:
-    """Separable bilinear resize with constant weights."""
-    wr, wc = resize_weights(h, oh), resize_weights(w, ow)
-    outs = []
-    for oy in range(oh):
-        for ox in range(ow):
-            terms = [F.lit(float(wr[oy, y] * wc[ox, x])) * F.element_at(px, int(y * w + x + 1))
-                     for y in np.nonzero(wr[oy])[0] for x in np.nonzero(wc[ox])[0]]
-            acc = terms[0]
-            for t in terms[1:]:
-                acc = acc + t
-            outs.append(acc)
-    return F.array(*outs)
+    """Separable bilinear resize with constant weight matrices.
+
+    ``out[oy, ox] = sum_y Wr[oy, y] * sum_x Wc[ox, x] * px[y, x]``; the weight
+    matrices are literals (constant-folded), the sums higher-order functions.
+    """
+    wr, wc = _lit_matrix(resize_weights(h, oh)), _lit_matrix(resize_weights(w, ow))
+    zero = F.lit(0.0).cast("double")
+
+    def out(i):
+        rrow = F.element_at(wr, F.floor(i / ow).cast("int") + 1)
+        crow = F.element_at(wc, (i % ow) + 1)
+
+        def row_sum(acc, y):
+            inner = F.aggregate(F.sequence(F.lit(0), F.lit(w - 1)), zero,
+                                lambda a2, x: a2 + F.element_at(crow, x + 1)
+                                * F.element_at(px, y * w + x + 1))
+            return acc + F.element_at(rrow, y + 1) * inner
+        return F.aggregate(F.sequence(F.lit(0), F.lit(h - 1)), zero, row_sum)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(oh * ow - 1)), out)
 
 
 def normalize_grid(px: Column, mean: float, std: float) -> Column:

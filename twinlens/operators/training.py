@@ -164,32 +164,40 @@ def fit_fusion_head(train: DataFrame, val: DataFrame | None, blocks: list[Block]
 
         def run(batches, _b=bstate, _e=epoch):
             from pyspark import TaskContext
-            blob, step = _b.value
+            blob, step0 = _b.value
             arrs = _unpack(blob, shapes * 3)
-            local = TrainState(arrs[:4], arrs[4:8], arrs[8:], step)
+            local = TrainState(arrs[:4], arrs[4:8], arrs[8:], step0)
             pid = TaskContext.get().partitionId()
             rng = np.random.default_rng(_seed_of(seed, _e, pid))
-            xs, ys = [], []
-            for pdf in batches:
-                if len(pdf):
-                    xs.append(np.stack([np.asarray(v, dtype=np.float64) for v in pdf["_x"]]))
-                    ys.append(pdf["_y"].to_numpy(dtype=np.int64))
-            if not xs:
-                return
-            x, y = np.concatenate(xs), np.concatenate(ys)
-            loss_sum, nb, correct = 0.0, 0, 0
-            for s in range(0, len(x), batch_size):
-                xb, yb = x[s:s + batch_size], y[s:s + batch_size]
+            loss_sum, nb, correct, n = 0.0, 0, 0, 0
+            buf_x, buf_y = np.zeros((0, shapes[0][1])), np.zeros(0, dtype=np.int64)
+
+            def one_step(xb, yb):
                 keep = (rng.random((len(xb), hidden)) >= dropout).astype(np.float64)
                 loss, z, grads = _forward_backward(local.params, xb, yb, keep, dropout)
                 _adamw(local, grads, lr, weight_decay)
-                loss_sum += loss
-                nb += 1
-                correct += int((np.argmax(z, axis=1) == yb).sum())
-            n = len(x)
+                return loss, int((np.argmax(z, axis=1) == yb).sum())
+
+            # stream Arrow batches; only a carry of < batch_size rows is buffered
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                xs = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["_x"]])
+                buf_x = np.concatenate([buf_x, xs])
+                buf_y = np.concatenate([buf_y, pdf["_y"].to_numpy(dtype=np.int64)])
+                full = (len(buf_x) // batch_size) * batch_size
+                for s0 in range(0, full, batch_size):
+                    loss, c = one_step(buf_x[s0:s0 + batch_size], buf_y[s0:s0 + batch_size])
+                    loss_sum, nb, correct, n = loss_sum + loss, nb + 1, correct + c, n + batch_size
+                buf_x, buf_y = buf_x[full:], buf_y[full:]
+            if len(buf_x):   # the last batch may be short
+                loss, c = one_step(buf_x, buf_y)
+                loss_sum, nb, correct, n = loss_sum + loss, nb + 1, correct + c, n + len(buf_x)
+            if n == 0:
+                return
             scaled = [a * n for a in local.params + local.m + local.v]
             yield pd.DataFrame({"n": [n], "loss_sum": [loss_sum], "n_batches": [nb],
-                                "correct": [correct], "steps": [local.step - step],
+                                "correct": [correct], "steps": [local.step - step0],
                                 "blob": [_pack(scaled)]})
 
         parts = ordered.mapInPandas(run, _PART_SCHEMA)
