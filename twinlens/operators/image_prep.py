@@ -159,6 +159,39 @@ def resize_grid(px: Column, h: int, w: int, oh: int, ow: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(oh * ow - 1)), out)
 
 
+def resize_arrays(px: Column, h: int, w: int, oh: int, ow: int) -> Column:
+    """The production (numpy) resize applied to array rasters in Arrow batches.
+
+    One ``einsum`` per batch with the same weights as ``resize_rgb``.
+    """
+    wr, wc = resize_weights(h, oh), resize_weights(w, ow)
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def _resize(s: pd.Series) -> pd.Series:
+        if len(s) == 0:
+            return pd.Series([], dtype=object)
+        x = np.stack([np.asarray(v, dtype=np.float64) for v in s]).reshape(-1, h, w)
+        out = np.einsum("oh,nhw,pw->nop", wr, x, wc).reshape(len(s), oh * ow)
+        return pd.Series(list(out))
+
+    return _resize(px)
+
+
+def rotate_arrays(px: Column, angle: Column, h: int, w: int, fill: float = 0.0) -> Column:
+    """The production (numpy) rotation applied to array rasters in Arrow batches."""
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def _rotate(s: pd.Series, a: pd.Series) -> pd.Series:
+        out = [rotate_rgb(np.asarray(v, dtype=np.float64).reshape(h, w, 1), float(ang), fill).ravel()
+               for v, ang in zip(s, a)]
+        return pd.Series(out, dtype=object)
+
+    return _rotate(px, angle)
+
+
+def random_angle(guid: Column, epoch: int = 1, seed: int = 42, degrees: float = 15.0) -> Column:
+    return angle_of(draw_expr(guid, epoch, seed, "rot").cast("double"), degrees)
+
+
 def normalize_grid(px: Column, mean: float, std: float) -> Column:
     """``(x - mean) / std``."""
     return F.transform(px, lambda x: (x - F.lit(mean)) / F.lit(std))

@@ -487,8 +487,9 @@ SELECT guid, round(angle, 9) AS angle, pos,
                   THEN CAST(embedding[yi * 8 + xi + 1] AS DOUBLE) ELSE 0.0::DOUBLE END, 12) AS v
 FROM px""")
 def q_image_rotate(spark, sf):
-    g = ip.random_rotate_grid(fx_image_grid(spark, sf), "px", "guid", _G, _G, 1, 42, 15.0, "out")
-    r = g.select("guid", F.round("angle", 9).alias("angle"), "out")
+    g = fx_image_grid(spark, sf).withColumn("angle", ip.random_angle(F.col("guid"), 1, 42, 15.0))
+    r = g.select("guid", F.round("angle", 9).alias("angle"),
+                 ip.rotate_arrays(F.col("px"), F.col("angle"), _G, _G).alias("out"))
     return _long(r, ["guid", "angle"], "out", 12, nonzero=False)
 
 
@@ -511,7 +512,7 @@ FROM fx_image_long i JOIN rw ry ON ry.x = i.pos // {_G} JOIN rw rx ON rx.x = i.p
 GROUP BY i.guid, ry.o, rx.o""", "fx_image_long"), _RW_SQL))
 def q_image_resize(spark, sf):
     g = fx_image_grid(spark, sf)
-    r = g.select("guid", ip.resize_grid(F.col("px"), _G, _G, _RESIZE_OUT, _RESIZE_OUT).alias("out"))
+    r = g.select("guid", ip.resize_arrays(F.col("px"), _G, _G, _RESIZE_OUT, _RESIZE_OUT).alias("out"))
     return _long(r, ["guid"], "out", 9, nonzero=False)
 
 
