@@ -15,16 +15,23 @@ from twinlens.sources.tables import table
 IMG_DIM = 64
 TXT_DIM = 32
 GRID = 8
+BATCH_OFFSET = 43
 
 
 def fx_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(row_no, guid, tag)``; guid spelled four ways by ``doc_id % 4``."""
+    """``(row_no, guid, tag)``; every row kept, guid spelled five ways by ``doc_id % 5``.
+
+    The fifth spelling, ``'8`` (a spreadsheet-forced text id), is not a number,
+    so guid repair keeps it as text and no text or image file matches it: the
+    missing-modality defaults are exercised without dropping any input row.
+    """
     lab = table(spark, sf_dir, "labels")
     d = F.col("doc_id").cast("string")
-    guid = (F.when(F.col("doc_id") % 4 == 0, d)
-            .when(F.col("doc_id") % 4 == 1, F.concat(d, F.lit(".0")))
-            .when(F.col("doc_id") % 4 == 2, F.concat(F.lit(" "), d, F.lit(" ")))
-            .otherwise(F.concat(d, F.lit("e0"))))
+    guid = (F.when(F.col("doc_id") % 5 == 0, d)
+            .when(F.col("doc_id") % 5 == 1, F.concat(d, F.lit(".0")))
+            .when(F.col("doc_id") % 5 == 2, F.concat(F.lit(" "), d, F.lit(" ")))
+            .when(F.col("doc_id") % 5 == 3, F.concat(d, F.lit("e0")))
+            .otherwise(F.concat(F.lit("'"), d)))
     tag = (F.when(F.col("toxic") == 1, "negative")
            .when(F.col("quality") == 1, "positive").otherwise("neutral"))
     return lab.select(F.col("doc_id").alias("row_no"), guid.alias("guid"), tag.alias("tag"))
@@ -39,10 +46,9 @@ def fx_test_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded text per guid; ``doc_id % 10 = 7`` has no text file."""
+    """Decoded text per guid: every document, whole text."""
     docs = table(spark, sf_dir, "documents")
-    return (docs.where(F.col("doc_id") % 10 != 7)
-            .select(F.col("doc_id").cast("string").alias("guid"), "text"))
+    return docs.select(F.col("doc_id").cast("string").alias("guid"), "text")
 
 
 def fx_image_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,12 +66,16 @@ def fx_image_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_batch_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per sample: ``(epoch, batch_id, loss)``."""
+    """One row per sample, every event: ``(epoch, batch_id, loss)``.
+
+    Batches are 80 consecutive events (16 per epoch) offset by 43, so the first
+    batch of each epoch is short (7 or 8 rows) and the mean of batch means
+    differs from the row mean.
+    """
     ev = table(spark, sf_dir, "events")
-    return (ev.where(F.col("event_id") >= 37)
-            .select((F.col("event_id") % 5 + 1).alias("epoch"),
-                    F.floor(F.col("event_id") / 80).cast("bigint").alias("batch_id"),
-                    F.col("value").alias("loss")))
+    return ev.select((F.col("event_id") % 5 + 1).alias("epoch"),
+                     F.floor((F.col("event_id") + BATCH_OFFSET) / 80).cast("bigint").alias("batch_id"),
+                     F.col("value").alias("loss"))
 
 
 def fx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,10 +90,11 @@ def fx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_CTES: dict[str, str] = {
     "fx_manifest": """fx_manifest AS (
   SELECT doc_id AS row_no,
-    CASE doc_id % 4 WHEN 0 THEN CAST(doc_id AS VARCHAR)
+    CASE doc_id % 5 WHEN 0 THEN CAST(doc_id AS VARCHAR)
                     WHEN 1 THEN CAST(doc_id AS VARCHAR) || '.0'
                     WHEN 2 THEN ' ' || CAST(doc_id AS VARCHAR) || ' '
-                    ELSE CAST(doc_id AS VARCHAR) || 'e0' END AS guid,
+                    WHEN 3 THEN CAST(doc_id AS VARCHAR) || 'e0'
+                    ELSE chr(39) || CAST(doc_id AS VARCHAR) END AS guid,
     CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive'
          ELSE 'neutral' END AS tag
   FROM labels)""",
@@ -91,7 +102,7 @@ SQL_CTES: dict[str, str] = {
   SELECT d.doc_id AS row_no, CAST(d.doc_id AS VARCHAR) AS guid FROM documents d
   WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id))""",
     "fx_text": """fx_text AS (
-  SELECT CAST(doc_id AS VARCHAR) AS guid, text FROM documents WHERE doc_id % 10 <> 7)""",
+  SELECT CAST(doc_id AS VARCHAR) AS guid, text FROM documents)""",
     "fx_image_vec": """fx_image_vec AS (
   SELECT CAST(vec_id AS VARCHAR) AS guid, CAST(embedding AS DOUBLE[]) AS img_feat
   FROM embeddings)""",
@@ -99,8 +110,8 @@ SQL_CTES: dict[str, str] = {
   SELECT CAST(vec_id AS VARCHAR) AS guid, generate_subscripts(embedding, 1) - 1 AS pos,
          CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)""",
     "fx_batch_loss": """fx_batch_loss AS (
-  SELECT event_id % 5 + 1 AS epoch, event_id // 80 AS batch_id, value AS loss
-  FROM events WHERE event_id >= 37)""",
+  SELECT event_id % 5 + 1 AS epoch, (event_id + 43) // 80 AS batch_id, value AS loss
+  FROM events)""",
     "fx_history": """fx_history AS (
   SELECT event_id % 5 + 1 AS epoch,
          round(100.0::DOUBLE * avg(CASE WHEN event_type = 'click' THEN 1.0::DOUBLE

@@ -367,19 +367,32 @@ def q_improvements(spark, sf):
 
 # ------------------------------------------------------- scalar kernels
 
-_E3 = """e3 AS (
-  SELECT vec_id, CAST(label AS BIGINT) % 3 AS y,
-         CAST(embedding[1] AS DOUBLE) AS e0, CAST(embedding[2] AS DOUBLE) AS e1,
-         CAST(embedding[3] AS DOUBLE) AS e2,
-         CAST(greatest(embedding[1], embedding[2], embedding[3]) AS DOUBLE) AS m
-  FROM embeddings),
+# Three logits per embedding from the whole 64-vector: z = W e + b with the
+# fixed kernel of ``relu_affine_weights``; labels 0..9 fold onto 3 classes.
+_E3 = """z3 AS (
+  SELECT e.vec_id, CAST(e.label AS BIGINT) % 3 AS y, k.range AS k,
+         sum(CAST(u.v AS DOUBLE) * (((k.range * 64 + u.pos - 1) % 7) - 3) / 10.0) + (k.range - 1) / 10.0 AS z
+  FROM embeddings e, unnest(e.embedding) WITH ORDINALITY AS u(v, pos), range(3) k
+  GROUP BY e.vec_id, e.label, k.range),
+e3 AS (
+  SELECT vec_id, y, max(CASE WHEN k = 0 THEN z END) AS e0, max(CASE WHEN k = 1 THEN z END) AS e1,
+         max(CASE WHEN k = 2 THEN z END) AS e2, max(z) AS m
+  FROM z3 GROUP BY vec_id, y),
 e3s AS (SELECT *, exp(e0 - m) + exp(e1 - m) + exp(e2 - m) AS s FROM e3)"""
 
 
 def _logits3(spark, sf) -> DataFrame:
+    w, b = relu_affine_weights()
     emb = table(spark, sf, "embeddings")
     return emb.select("vec_id", (F.col("label").cast("bigint") % 3).alias("y"),
-                      F.slice(F.col("embedding").cast("array<double>"), 1, 3).alias("z"))
+                      affine(F.col("embedding").cast("array<double>"), w, b).alias("z"))
+
+
+def relu_affine_weights(n_out: int = 3, n_in: int = 64):
+    """Fixed kernel for the affine checks: ``W[k][j] = ((k*n_in + j) % 7 - 3) / 10``."""
+    w = [[((k * n_in + j) % 7 - 3) / 10.0 for j in range(n_in)] for k in range(n_out)]
+    b = [(k - 1) / 10.0 for k in range(n_out)]
+    return w, b
 
 
 @register("softmax_probs", f"""WITH {_E3}
@@ -398,13 +411,6 @@ def q_cross_entropy(spark, sf):
     return z.select("vec_id", "y", F.round(cross_entropy("z", "y"), 9).alias("loss"))
 
 
-def relu_affine_weights(n_out: int = 3, n_in: int = 64):
-    """Fixed kernel for the affine check: ``W[k][j] = ((k*n_in + j) % 7 - 3) / 10``."""
-    w = [[((k * n_in + j) % 7 - 3) / 10.0 for j in range(n_in)] for k in range(n_out)]
-    b = [(k - 1) / 10.0 for k in range(n_out)]
-    return w, b
-
-
 @register("relu_affine", with_ctes("""
 SELECT guid, round(max(CASE WHEN k = 0 THEN h END), 9) AS h0,
        round(max(CASE WHEN k = 1 THEN h END), 9) AS h1, round(max(CASE WHEN k = 2 THEN h END), 9) AS h2
