@@ -7,6 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinlens.functions.udf import arrow_udf
+
 # The characters Python's str.strip() removes (str.isspace()).
 WHITESPACE_CLASS = (
     r"[\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\x{1680}\x{2000}-\x{200a}"
@@ -43,7 +45,7 @@ def _decode_series(b: pd.Series, encoding: str) -> pd.Series:
     return b.map(one)
 
 
-@F.pandas_udf(T.StringType())
+@arrow_udf(T.StringType())
 def _decode_gb18030(b: pd.Series) -> pd.Series:
     return _decode_series(b, "gb18030")
 
@@ -62,14 +64,14 @@ def decode_text(c: Column | str, encoding: str = "gb18030") -> Column:
     elif enc == "gb18030":
         text = _decode_gb18030(_col(c))
     else:
-        @F.pandas_udf(T.StringType())
+        @arrow_udf(T.StringType())
         def _dec(b: pd.Series) -> pd.Series:
             return _decode_series(b, encoding)
         text = _dec(_col(c))
     return strip_ws(text)
 
 
-@F.pandas_udf(T.BinaryType())
+@arrow_udf(T.BinaryType())
 def encode_gb18030(s: pd.Series) -> pd.Series:
     """Text -> GB18030 bytes (used to derive blobs from text tables)."""
     return s.map(lambda x: None if x is None else x.encode("gb18030"))

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinlens.functions.udf import arrow_udf
 from twinlens.functions.arrays import zeros
 from twinlens.functions.labels import NUM_CLASSES
 from twinlens.session import scratch_path
@@ -181,7 +182,7 @@ def score(df: DataFrame, head: Head, features_col: str = "features",
     bh = _broadcast_head(df.sparkSession, head)
     width = head.n_in
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    @arrow_udf(T.ArrayType(T.DoubleType()))
     def logits_udf(x: pd.Series) -> pd.Series:
         h = bh.value
         z = np.round(h.forward(_stack(x, width)), LOGIT_DECIMALS)
@@ -213,7 +214,7 @@ def score_modes(df: DataFrame, head: Head, features_col: str = "features",
     width = head.n_in
     cst = consts or {}
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    @arrow_udf(T.ArrayType(T.IntegerType()))
     def preds_udf(x: pd.Series) -> pd.Series:
         h = bh.value
         xs = _stack(x, width)

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinlens.functions.udf import arrow_udf
+
 # ImageNet channel statistics used by the reference transforms.
 MEAN = (0.485, 0.456, 0.406)
 STD = (0.229, 0.224, 0.225)
@@ -166,7 +168,7 @@ def resize_arrays(px: Column, h: int, w: int, oh: int, ow: int) -> Column:
     """
     wr, wc = resize_weights(h, oh), resize_weights(w, ow)
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    @arrow_udf(T.ArrayType(T.DoubleType()))
     def _resize(s: pd.Series) -> pd.Series:
         if len(s) == 0:
             return pd.Series([], dtype=object)
@@ -179,7 +181,7 @@ def resize_arrays(px: Column, h: int, w: int, oh: int, ow: int) -> Column:
 
 def rotate_arrays(px: Column, angle: Column, h: int, w: int, fill: float = 0.0) -> Column:
     """The production (numpy) rotation applied to array rasters in Arrow batches."""
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    @arrow_udf(T.ArrayType(T.DoubleType()))
     def _rotate(s: pd.Series, a: pd.Series) -> pd.Series:
         out = [rotate_rgb(np.asarray(v, dtype=np.float64).reshape(h, w, 1), float(ang), fill).ravel()
                for v, ang in zip(s, a)]

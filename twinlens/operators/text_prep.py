@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinlens.functions.udf import arrow_udf
 from twinlens.session import checkpoint_dir, spread
 
 TOKEN_SPLIT = "[^a-z]+"
@@ -78,7 +79,7 @@ def text_features(df: DataFrame, text_col: str = "text", dim: int = 32,
     """Hashed bag-of-words vector per row (T4 built-in encoder)."""
     df = spread(df)
     if hashing == "md5":
-        @F.pandas_udf(T.ArrayType(T.DoubleType()))
+        @arrow_udf(T.ArrayType(T.DoubleType()))
         def bow(texts: pd.Series) -> pd.Series:
             return _bow_md5_batch(texts, dim)
         return df.withColumn(out_col, bow(F.col(text_col)))
@@ -109,8 +110,9 @@ def text_features_with(df: DataFrame, encoder, dim: int, text_col: str = "text",
             return np.asarray(fn([str(t) for t in texts]), dtype=np.float64)
         return predict
 
+    # nondeterministic: the encoder runs once per row (see functions.udf)
     udf = predict_batch_udf(make_fn, return_type=T.ArrayType(T.DoubleType()),
-                            batch_size=batch_size, input_tensor_shapes=None)
+                            batch_size=batch_size, input_tensor_shapes=None).asNondeterministic()
     return df.withColumn(out_col, udf(F.coalesce(F.col(text_col), F.lit(""))))
 
 
@@ -249,7 +251,7 @@ def wordpiece_encode(df: DataFrame, vocab: DataFrame, max_len: int = 128,
     table = {r["token"]: int(r["token_id"]) for r in vocab.select("token", "token_id").collect()}
     bv = df.sparkSession.sparkContext.broadcast(table)
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    @arrow_udf(T.ArrayType(T.IntegerType()))
     def enc(texts: pd.Series) -> pd.Series:
         v = bv.value
         unk, cls, sep = v[UNK], v[CLS], v[SEP]

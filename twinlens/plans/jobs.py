@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinlens.functions.udf import arrow_udf
 from twinlens.functions.labels import decode_label
 from twinlens.operators import evaluate as ev
 from twinlens.operators.audit import audit_rows, audit_summary
@@ -164,7 +165,7 @@ def bad_case_job(spark: SparkSession, split_path: str, data_dir: str, head_path:
     return ev.bad_case_count(bad), first.drop("order_key")
 
 
-@F.pandas_udf(T.BooleanType())
+@arrow_udf(T.BooleanType())
 def _all_black(data: pd.Series, n_ch: pd.Series) -> pd.Series:
     out = []
     for d, c in zip(data, n_ch):
