@@ -17,6 +17,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import unicodedata
 
@@ -41,6 +42,9 @@ SPECIALS = [PAD, UNK, CLS, SEP]
 # Broadcast guard for vocabularies (entries).
 MAX_BROADCAST_VOCAB = 2_000_000
 
+# Largest hash bucket numbered by one window task in ``assign_batches`` (rows).
+MAX_BUCKET_ROWS = 1_000_000
+
 
 def word_tokens(c: Column | str) -> Column:
     """lower-case, split on non a-z runs, drop empty tokens (native)."""
@@ -270,14 +274,19 @@ def wordpiece_encode(df: DataFrame, vocab: DataFrame, max_len: int = 128,
 
 # ---------------------------------------------------------------- batches
 
-def assign_batches(df: DataFrame, batch_size: int = 16, n_buckets: int = 8,
-                   order_col: str = "row_no", bucket_key: Column | None = None) -> DataFrame:
+def assign_batches(df: DataFrame, batch_size: int = 16, min_buckets: int = 8,
+                   order_col: str = "row_no", bucket_key: Column | None = None,
+                   n_rows: int | None = None) -> DataFrame:
     """``bucket``/``batch_id`` for consecutive rows inside hash buckets.
 
     The bucket comes from md5 of the unique row key, so a hot guid spreads over
     all buckets; rows are numbered inside a bucket only (one shuffle, no
-    single-partition step).
+    single-partition step). The bucket count grows with the data: at least
+    ``min_buckets`` and enough that one window task numbers at most
+    ``MAX_BUCKET_ROWS`` rows. ``n_rows`` skips the count when it is known.
     """
+    n = n_rows if n_rows is not None else df.count()
+    n_buckets = max(min_buckets, math.ceil(n / MAX_BUCKET_ROWS))
     key = bucket_key if bucket_key is not None else F.col(order_col).cast("string")
     b = (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % n_buckets).cast("int")
     w = Window.partitionBy("bucket").orderBy(order_col)
@@ -296,10 +305,9 @@ def pad_batches(df: DataFrame, ids_col: str = "input_ids", mode: str = "longest"
         target = F.lit(max_len)
     else:
         raise ValueError(mode)
-    df = df.withColumn("padded_len", target)
-    padded = F.concat(F.col(ids_col), F.array_repeat(F.lit(0), F.col("padded_len") - size))
+    df = df.withColumn("padded_len", target).withColumn("seq_len", size)
+    n = F.col("seq_len")            # the unpadded length, fixed before ids are replaced
+    padded = F.concat(F.col(ids_col), F.array_repeat(F.lit(0), F.col("padded_len") - n))
     mask = F.transform(F.sequence(F.lit(0), F.col("padded_len") - 1),
-                       lambda i: F.when(i < size, 1).otherwise(0))
-    return (df.withColumn("seq_len", size)
-            .withColumn(ids_col, padded)
-            .withColumn("attention_mask", mask))
+                       lambda i: F.when(i < n, 1).otherwise(0))
+    return df.withColumn(ids_col, padded).withColumn("attention_mask", mask)

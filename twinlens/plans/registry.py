@@ -233,7 +233,8 @@ def q_encode_text(spark, sf):
 
 
 @register("pad_batch", _tok_query(f"""
-SELECT guid, bucket, batch_id, seq_len, max(seq_len) OVER (PARTITION BY bucket, batch_id) AS padded_len
+SELECT guid, bucket, batch_id, seq_len, max(seq_len) OVER (PARTITION BY bucket, batch_id) AS padded_len,
+       seq_len AS n_mask
 FROM (SELECT guid, bucket, seq_len,
              CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY row_no) - 1) / 16) AS BIGINT)
                AS batch_id
@@ -247,9 +248,11 @@ def q_pad_batch(spark, sf):
     ids = (e.groupBy("guid").agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_s"))
            .select("guid", F.transform("_s", lambda x: x["token_id"]).alias("input_ids"),
                    F.col("guid").cast("bigint").alias("row_no")))
+    # at least 8 buckets; the SQL's fixed 8 holds up to 8 * MAX_BUCKET_ROWS rows
     b = assign_batches(ids, 16, 8, "row_no", bucket_key=F.col("guid"))
     p = pad_batches(b, "input_ids", "longest")
-    return p.select("guid", "bucket", "batch_id", "seq_len", "padded_len")
+    n_mask = F.aggregate("attention_mask", F.lit(0), lambda acc, x: acc + x)
+    return p.select("guid", "bucket", "batch_id", "seq_len", "padded_len", n_mask.alias("n_mask"))
 
 
 # ------------------------------------------------------ fusion, scoring
