@@ -58,13 +58,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df, min_partitions: int | None = None):
-    """Round-robin a DataFrame with fewer partitions than cores.
+    """Round-robin a DataFrame read from fewer files than cores.
 
     A single-row-group parquet file scans as one task; per-row heavy work
-    (tokenising, hashing, Arrow UDFs) would then run on one core. Inputs that
-    already have many splits, as at scale, pass through unchanged.
+    (tokenising, hashing, Arrow UDFs) would then run on one core. Inputs spread
+    over at least as many files as cores, as at scale, pass through unchanged.
+    The decision uses the file listing only (``inputFiles``): asking a joined
+    frame for its partition count would run its exchanges an extra time.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    n_files = len(df.inputFiles())        # 0: in-memory data, already parallelised
+    if 0 < n_files < target:
         return df.repartition(target)
     return df
