@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from twinlens.functions.udf import arrow_udf
 from twinlens.functions.arrays import zeros
 from twinlens.functions.labels import NUM_CLASSES
-from twinlens.session import scratch_path
+from twinlens.session import materialize  # noqa: F401  (re-exported: M6)
 
 # Largest head broadcast to executors (float64 parameters).
 MAX_HEAD_BYTES = 512 * 1024 * 1024
@@ -124,17 +124,6 @@ def default_blocks(img_dim: int = 64, txt_dim: int = 32) -> list[Block]:
     return [Block("img", 0, img_dim), Block("txt", img_dim, img_dim + txt_dim)]
 
 
-def materialize(df: DataFrame, name: str = "features") -> DataFrame:
-    """Write once to the shared checkpoint folder and read back (M6).
-
-    Later epochs, modes and reports scan the parquet copy: the encoders run
-    once, and a lost executor re-reads files instead of recomputing lineage.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 # ------------------------------------------------------------ centroid head
 
 def class_sums(df: DataFrame, features_col: str = "features", label_col: str = "label") -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinlens.functions.udf import arrow_udf
-from twinlens.session import checkpoint_dir, spread
+from twinlens.session import materialize, spread
 
 TOKEN_SPLIT = "[^a-z]+"
 _SPLIT_RE = re.compile(TOKEN_SPLIT)
@@ -136,8 +136,7 @@ def build_vocab(df: DataFrame, size: int, text_col: str = "text") -> DataFrame:
     specials = spark.createDataFrame(
         [(t, None, i) for i, t in enumerate(SPECIALS)], "token string, cnt bigint, token_id int")
     # a fitted artefact (<= size rows): materialise once in the shared folder
-    checkpoint_dir(spark)
-    return specials.unionByName(ranked).coalesce(1).checkpoint(eager=True)
+    return materialize(specials.unionByName(ranked).coalesce(1), "vocab")
 
 
 def load_vocab(spark: SparkSession, path: str) -> DataFrame:

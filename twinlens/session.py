@@ -57,6 +57,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.urandom(6).hex()}"
 
 
+def materialize(df, name: str = "features"):
+    """Write once to the shared checkpoint folder and read back (M6).
+
+    Later epochs, modes and reports scan the parquet copy: the encoders run
+    once, and a lost executor re-reads files instead of recomputing lineage.
+    One job computes the rows (an RDD checkpoint of an unpersisted plan would
+    compute them twice).
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin a DataFrame read from fewer files than cores.
 
