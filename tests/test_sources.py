@@ -54,3 +54,19 @@ def test_head_save_load(spark, tmpdir_path):
     h2 = load_head(spark, f"{tmpdir_path}/head")
     x = rng.normal(size=(5, 6))
     assert np.allclose(h2.forward(x), head.forward(x)) and h2.blocks == head.blocks
+
+
+def test_manifest_keys_cut_blobs_before_decoding(spark, tmpdir_path, monkeypatch):
+    from twinlens.sources import blobs
+    d = tmpdir_path
+    for g in ("1", "2", "3"):
+        with open(f"{d}/{g}.txt", "wb") as fh:
+            fh.write(f"text {g}".encode("gb18030"))
+    m = spark.createDataFrame([("2",), ("2",), ("9",)], "guid string")
+    keys = blobs.manifest_keys(m)
+    t = blobs.read_text_blobs(spark, d, guids=keys)
+    assert [(r.guid, r.text) for r in t.collect()] == [("2", "text 2")]
+    assert "LeftSemi" in t._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(blobs, "MAX_SEMI_KEYS", 1)
+    assert blobs.manifest_keys(m) is None                       # 2 distinct guids > 1
+    assert sorted(r.guid for r in blobs.read_text_blobs(spark, d, guids=None).collect()) == ["1", "2", "3"]

@@ -31,7 +31,8 @@ from twinlens.operators.modality import attach_images, attach_text, prepare_mani
 from twinlens.operators.split import split_manifest, split_order_key
 from twinlens.operators.text_prep import text_features
 from twinlens.operators.training import fit_fusion_head, history_frame, mark_improvements
-from twinlens.sources.blobs import first_per_guid, read_image_blobs, read_text_blobs
+from twinlens.sources.blobs import (first_per_guid, manifest_keys, read_image_blobs,
+                                    read_text_blobs)
 from twinlens.sources.manifest import (read_manifest, read_split, write_bad_cases,
                                        write_predictions, write_split)
 from twinlens.sources.model_io import load_head, save_head
@@ -59,19 +60,22 @@ class FeatureSpec:
 
 
 def blob_features(spark: SparkSession, data_dir: str, spec: FeatureSpec | None = None,
-                  train: bool = False, epoch: int = 1, seed: int = 42):
+                  train: bool = False, epoch: int = 1, seed: int = 42,
+                  guids: DataFrame | None = None):
     """Per-guid text and image features, encoded where the blobs are read.
 
     Returns ``(texts, images)``: ``(guid, text, txt_feat)`` and
     ``(guid, image_ok, img_feat)``, one row per guid. Encoding happens before
     deduplication, so the shuffles carry vectors, not rasters or raw bytes.
+    ``guids`` (``manifest_keys``) restricts the work to the manifest's blobs.
     """
     spec = spec or FeatureSpec()
-    texts = text_features(read_text_blobs(spark, data_dir, spec.encoding, dedupe=False),
-                          "text", spec.txt_dim)
+    texts = text_features(read_text_blobs(spark, data_dir, spec.encoding, dedupe=False,
+                                          guids=guids), "text", spec.txt_dim)
     texts = first_per_guid(texts.drop("text_ok"), "path")
-    imgs = image_features(read_image_blobs(spark, data_dir, dedupe=False), "image", "guid",
-                          spec.image_encoder, spec.img_dim, train, epoch, seed, spec.image_size)
+    imgs = image_features(read_image_blobs(spark, data_dir, dedupe=False, guids=guids),
+                          "image", "guid", spec.image_encoder, spec.img_dim, train, epoch, seed,
+                          spec.image_size)
     imgs = first_per_guid(imgs.select("guid", "origin", "image_ok", "img_feat"), "origin")
     return texts, imgs
 
@@ -94,8 +98,13 @@ def attach_features(manifest: DataFrame, texts: DataFrame, imgs: DataFrame,
 def build_features(spark: SparkSession, manifest: DataFrame, data_dir: str,
                    spec: FeatureSpec | None = None, train: bool = False, epoch: int = 1,
                    seed: int = 42) -> DataFrame:
-    """Blob features for a manifest (see ``blob_features`` / ``attach_features``)."""
-    texts, imgs = blob_features(spark, data_dir, spec, train, epoch, seed)
+    """Blob features for a manifest (see ``blob_features`` / ``attach_features``).
+
+    Only the manifest's blobs are decoded and encoded when its guids fit the
+    broadcast bound (a folder usually holds train and test blobs together).
+    """
+    texts, imgs = blob_features(spark, data_dir, spec, train, epoch, seed,
+                                guids=manifest_keys(manifest))
     return attach_features(manifest, texts, imgs, spec)
 
 
@@ -185,8 +194,9 @@ def audit_job(spark: SparkSession, manifest_file: str, data_dir: str, labelled:
     """
     spec = spec or FeatureSpec()
     m = prepare_manifest(read_manifest(spark, manifest_file, labelled=labelled), labelled=labelled)
-    texts = read_text_blobs(spark, data_dir, spec.encoding)
-    raw = read_image_blobs(spark, data_dir, dedupe=False)
+    keys = manifest_keys(m)
+    texts = read_text_blobs(spark, data_dir, spec.encoding, guids=keys)
+    raw = read_image_blobs(spark, data_dir, dedupe=False, guids=keys)
     flags = raw.select("guid", "origin", "image_ok", F.col("image.width").alias("width"),
                        F.col("image.height").alias("height"),
                        _all_black(F.col("image.data"), F.col("image.nChannels")).alias("image_black"))
