@@ -70,3 +70,19 @@ def test_manifest_keys_cut_blobs_before_decoding(spark, tmpdir_path, monkeypatch
     monkeypatch.setattr(blobs, "MAX_SEMI_KEYS", 1)
     assert blobs.manifest_keys(m) is None                       # 2 distinct guids > 1
     assert sorted(r.guid for r in blobs.read_text_blobs(spark, d, guids=None).collect()) == ["1", "2", "3"]
+
+
+def test_split_manifest_scan_keeps_file_order(spark, tmpdir_path):
+    from twinlens.sources.manifest import read_manifest
+    path = f"{tmpdir_path}/m.csv"
+    with open(path, "w") as fh:
+        fh.write("guid,tag\n" + "".join(f"{i * 7919 % 100003},positive\n" for i in range(20000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+        m = read_manifest(spark, path)
+        assert m.rdd.getNumPartitions() > 4                     # the file is split
+        got = [r.guid for r in m.orderBy("row_no").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [str(i * 7919 % 100003) for i in range(20000)]

@@ -22,16 +22,19 @@ def _na_to_null(c: str):
 
 
 def read_manifest(spark: SparkSession, path: str, labelled: bool = True,
-                  header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+                  header: bool = True, mode: str = "PERMISSIVE",
+                  multi_line: bool = False) -> DataFrame:
     """CSV manifest with an explicit string schema (A1).
 
     ``mode='PERMISSIVE'`` keeps malformed lines with NULL fields and records the
     raw line in ``_corrupt`` (A2); ``header=False`` reads a headerless file as
-    ``guid[, tag]``. Columns beyond ``guid``/``tag`` are ignored.
+    ``guid[, tag]``. Columns beyond ``guid``/``tag`` are ignored. Large files
+    are split across tasks; ``multi_line=True`` accepts quoted newlines inside
+    fields, at the price of one task per file.
     """
     cols = ["guid", "tag"] if labelled else ["guid"]
     reader = (spark.read.option("header", header).option("mode", mode)
-              .option("multiLine", True).option("escape", '"'))
+              .option("multiLine", multi_line).option("escape", '"'))
     if header:
         # read by header name, whatever else the file holds
         raw = reader.option("inferSchema", False).csv(path)
