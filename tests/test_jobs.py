@@ -59,6 +59,15 @@ def test_jobs_end_to_end(spark, tmpdir_path):
     n = n_bad.collect()[0].n_bad
     assert n == 18 - round(rep["multimodal"].acc * 18 / 100)
     assert first.count() == min(5, n)
+    from twinlens.sources.manifest import read_bad_cases
+    rows_bad = read_bad_cases(spark, f"{d}/bad").collect()
+    assert len(rows_bad) == n
+    for r in rows_bad:                 # the stripped text, '' where the file is missing
+        i = int(r.guid)
+        if i % 11 == 0:
+            assert not r.text
+        else:
+            assert r.text.startswith(WORDS[i % 3] + " 图 ")
 
     rows, summary = jobs.audit_job(spark, f"{d}/train.txt", d, labelled=True)
     s = summary.collect()[0]

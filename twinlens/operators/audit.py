@@ -19,11 +19,20 @@ def audit_rows(manifest: DataFrame, texts: DataFrame, images: DataFrame,
                px_col: str | None = "px") -> DataFrame:
     """Per-row flags: files present, readable, empty text, all-black image.
 
-    ``texts``: ``(guid, text[, text_ok])``; ``images``: ``(guid, px | image[, image_ok])``.
-    Image size comes from the decoded struct when present (B12).
+    ``texts``: ``(guid, text[, text_ok])``, or the flags already reduced from
+    the text, ``(guid, text_empty, text_preview[, text_ok])``; ``images``:
+    ``(guid, px | image[, image_ok])``. Image size comes from the decoded
+    struct when present (B12). Text flags are computed on the text side, so
+    the joins shuffle a flag and a 50-character preview, never whole texts.
     """
-    t = texts.select(F.col(guid_col).alias("_g"), F.col(text_col).alias("_text"),
-                     (F.col("text_ok") if "text_ok" in texts.columns else F.lit(True)).alias("_tok"))
+    tok = F.col("text_ok") if "text_ok" in texts.columns else F.lit(True)
+    if "text_empty" in texts.columns:
+        empty, prev = F.col("text_empty"), F.col("text_preview")
+    else:
+        txt = F.coalesce(F.col(text_col), F.lit(""))
+        empty, prev = is_blank(txt), preview(txt)
+    t = texts.select(F.col(guid_col).alias("_g"), tok.alias("_tok"), empty.alias("_empty"),
+                     prev.alias("_prev"))
     img_cols = [F.col(guid_col).alias("_gi"),
                 (F.col("image_ok") if "image_ok" in images.columns else F.lit(True)).alias("_iok")]
     has_size = "image" in images.columns or "width" in images.columns
@@ -43,8 +52,8 @@ def audit_rows(manifest: DataFrame, texts: DataFrame, images: DataFrame,
         *[c for c in manifest.columns],
         F.col("_g").isNotNull().alias("text_exists"),
         F.coalesce(F.col("_tok"), F.lit(False)).alias("text_readable"),
-        (F.col("_g").isNotNull() & is_blank(F.coalesce(F.col("_text"), F.lit("")))).alias("text_empty"),
-        preview(F.coalesce(F.col("_text"), F.lit(""))).alias("text_preview"),
+        (F.col("_g").isNotNull() & F.coalesce(F.col("_empty"), F.lit(True))).alias("text_empty"),
+        F.coalesce(F.col("_prev"), F.lit("")).alias("text_preview"),
         F.col("_gi").isNotNull().alias("image_exists"),
         F.coalesce(F.col("_iok"), F.lit(False)).alias("image_readable"),
         *([F.col("width"), F.col("height")] if has_size else []),

@@ -32,12 +32,16 @@ def attach_text(m: DataFrame, texts: DataFrame, guid_col: str = "guid",
     """Manifest ⟕ text; missing -> ``''`` with ``has_text = false``.
 
     ``extra`` columns of the text table (e.g. precomputed features) ride along.
+    A text table of encoded columns only (no ``text_col``) attaches just those:
+    ``has_text`` marks a match and no raw text crosses the join.
     """
-    t = texts.select(F.col(guid_col).alias(guid_col), F.col(text_col).alias("_t"), *extra)
-    j = m.join(t, guid_col, "left")
-    return (j.withColumn("has_text", F.col("_t").isNotNull())
-            .withColumn(text_col, F.coalesce(F.col("_t"), F.lit("")))
-            .drop("_t"))
+    raw = text_col in texts.columns
+    t = texts.select(F.col(guid_col).alias(guid_col),
+                     (F.col(text_col) if raw else F.lit(True)).alias("_t"), *extra)
+    j = m.join(t, guid_col, "left").withColumn("has_text", F.col("_t").isNotNull())
+    if raw:
+        j = j.withColumn(text_col, F.coalesce(F.col("_t"), F.lit("")))
+    return j.drop("_t")
 
 
 def attach_images(m: DataFrame, images: DataFrame, guid_col: str = "guid",

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from twinlens.functions.udf import arrow_udf
 from twinlens.functions.labels import decode_label
+from twinlens.functions.text import is_blank, preview
 from twinlens.operators import evaluate as ev
 from twinlens.operators.audit import audit_rows, audit_summary
 from twinlens.operators.fusion import Block, fuse_features, materialize, score, score_modes
@@ -64,15 +65,16 @@ def blob_features(spark: SparkSession, data_dir: str, spec: FeatureSpec | None =
                   guids: DataFrame | None = None):
     """Per-guid text and image features, encoded where the blobs are read.
 
-    Returns ``(texts, images)``: ``(guid, text, txt_feat)`` and
+    Returns ``(texts, images)``: ``(guid, txt_feat)`` and
     ``(guid, image_ok, img_feat)``, one row per guid. Encoding happens before
-    deduplication, so the shuffles carry vectors, not rasters or raw bytes.
+    deduplication, so the shuffles carry vectors, not texts, rasters or raw
+    bytes (reports that print text fetch it for their own rows).
     ``guids`` (``manifest_keys``) restricts the work to the manifest's blobs.
     """
     spec = spec or FeatureSpec()
     texts = text_features(read_text_blobs(spark, data_dir, spec.encoding, dedupe=False,
                                           guids=guids), "text", spec.txt_dim)
-    texts = first_per_guid(texts.drop("text_ok"), "path")
+    texts = first_per_guid(texts.select("guid", "path", "txt_feat"), "path")
     imgs = image_features(read_image_blobs(spark, data_dir, dedupe=False, guids=guids),
                           "image", "guid", spec.image_encoder, spec.img_dim, train, epoch, seed,
                           spec.image_size)
@@ -163,10 +165,17 @@ def ablation_job(spark: SparkSession, split_path: str, data_dir: str, head_path:
 
 def bad_case_job(spark: SparkSession, split_path: str, data_dir: str, head_path: str,
                  out_path: str, spec: FeatureSpec | None = None):
-    """Misclassified validation rows -> CSV; returns (count, first five) frames."""
+    """Misclassified validation rows -> CSV; returns (count, first five) frames.
+
+    Features carry no text; the text is read for the misclassified rows only.
+    """
+    spec = spec or FeatureSpec()
     head = load_head(spark, head_path)
     fe = _val_features(spark, split_path, data_dir, spec)
-    bad = ev.bad_cases(score(fe, head), keep=("row_no",))
+    wrong = materialize(score(fe, head).where(F.col("pred") != F.col("label"))
+                        .select("row_no", "guid", "label", "pred"), "misclassified")
+    texts = read_text_blobs(spark, data_dir, spec.encoding, guids=manifest_keys(wrong))
+    bad = ev.bad_cases(attach_text(wrong, texts), keep=("row_no",))
     bad = bad.withColumn("order_key", split_order_key("guid"))
     bad = materialize(bad, "bad-cases")
     write_bad_cases(bad, out_path)
@@ -195,7 +204,11 @@ def audit_job(spark: SparkSession, manifest_file: str, data_dir: str, labelled:
     spec = spec or FeatureSpec()
     m = prepare_manifest(read_manifest(spark, manifest_file, labelled=labelled), labelled=labelled)
     keys = manifest_keys(m)
-    texts = read_text_blobs(spark, data_dir, spec.encoding, guids=keys)
+    # reduce each text to its flags where it is read: dedupe and join shuffle no text
+    raw_t = read_text_blobs(spark, data_dir, spec.encoding, dedupe=False, guids=keys)
+    texts = first_per_guid(raw_t.select("guid", "path", "text_ok",
+                                        is_blank("text").alias("text_empty"),
+                                        preview("text").alias("text_preview")), "path")
     raw = read_image_blobs(spark, data_dir, dedupe=False, guids=keys)
     flags = raw.select("guid", "origin", "image_ok", F.col("image.width").alias("width"),
                        F.col("image.height").alias("height"),
