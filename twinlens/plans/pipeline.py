@@ -12,12 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinlens.operators.evaluate import ablation_report
+from twinlens.operators.evaluate import ablation_report, bad_cases
 from twinlens.operators.fusion import (Head, default_blocks, fit_centroid_head, fuse_features,
                                        materialize, score, score_modes)
 from twinlens.operators.modality import attach_images, attach_text, prepare_manifest
 from twinlens.operators.split import split_manifest
 from twinlens.operators.text_prep import text_features
+from twinlens.sources.blobs import manifest_keys
 from twinlens.plans.fixtures import (IMG_DIM, TXT_DIM, fx_image_vec, fx_manifest,
                                      fx_test_manifest, fx_text)
 
@@ -27,23 +28,28 @@ def split_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_manifest(prepare_manifest(fx_manifest(spark, sf_dir)), 0.2, 42)
 
 
+def manifest_texts(spark: SparkSession, sf_dir: str, m: DataFrame) -> DataFrame:
+    """The text table cut to the manifest's guids when they fit the broadcast bound."""
+    t = fx_text(spark, sf_dir)
+    keys = manifest_keys(m)
+    return t if keys is None else t.join(keys, "guid", "left_semi")
+
+
 def attach_features(spark: SparkSession, sf_dir: str, m: DataFrame) -> DataFrame:
-    """Manifest ⟕ text ⟕ image, then text features and fusion.
+    """Manifest ⟕ text features ⟕ image vectors, then fusion.
 
-    Raw text joins first and features are computed on joined rows only, so the
-    encoder never runs on blobs outside the manifest.
+    Texts are encoded where they are read (only the manifest's, see
+    ``manifest_texts``), so the join carries 32-dim vectors, never whole texts.
     """
-    j = attach_text(m, fx_text(spark, sf_dir))
+    t = text_features(manifest_texts(spark, sf_dir, m), "text", TXT_DIM, hashing="md5")
+    j = attach_text(m, t.select("guid", "txt_feat"), extra=("txt_feat",))
     j = attach_images(j, fx_image_vec(spark, sf_dir), image_col="img_feat")
-    j = text_features(j, "text", TXT_DIM, hashing="md5")
-    j = j.withColumn("txt_feat", F.when(F.col("has_text"), F.col("txt_feat")))
     return fuse_features(j, "img_feat", "txt_feat", IMG_DIM, TXT_DIM)
 
 
 def labelled_features(spark: SparkSession, sf_dir: str, persist: bool = True) -> DataFrame:
     fe = attach_features(spark, sf_dir, split_fixture(spark, sf_dir))
-    fe = fe.select("row_no", "guid", "tag", "label", "split", "text", "has_text",
-                   "has_image", "features")
+    fe = fe.select("row_no", "guid", "tag", "label", "split", "has_text", "has_image", "features")
     return materialize(fe, "labelled-features") if persist else fe
 
 
@@ -79,6 +85,17 @@ def scored_val(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(fit.val, fit.head, "features")
 
 
+def misclassified(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Bad cases of the validation split (B9, M11) with their text.
+
+    The text is fetched for the misclassified rows only.
+    """
+    s = scored_val(spark, sf_dir)
+    wrong = s.where(F.col("pred") != F.col("label")).select("row_no", "guid", "label", "pred")
+    wrong = materialize(wrong, "misclassified")
+    return bad_cases(attach_text(wrong, manifest_texts(spark, sf_dir, wrong)), keep=keep)
+
+
 def predict_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch prediction of the unlabelled manifest (M9): ``(row_no, guid, tag)``."""
     from twinlens.functions.labels import decode_label

@@ -312,13 +312,14 @@ WHERE p.mode = 'multimodal' AND p.label <> p.k"""
 
 @register("bad_cases", with_ctes(_BAD_SQL, "val_pred", "fx_text"))
 def q_bad_cases(spark, sf):
-    return ev.bad_cases(pl.scored_val(spark, sf))
+    return pl.misclassified(spark, sf)
 
 
 @register("bad_case_count", with_ctes(
     "SELECT count(*) AS n_bad FROM val_pred WHERE mode = 'multimodal' AND label <> k", "val_pred"))
 def q_bad_case_count(spark, sf):
-    return ev.bad_case_count(ev.bad_cases(pl.scored_val(spark, sf)))
+    s = pl.scored_val(spark, sf)
+    return ev.bad_case_count(s.where(F.col("pred") != F.col("label")))
 
 
 @register("head_bad_cases", with_ctes(f"""
@@ -326,7 +327,7 @@ SELECT guid, {_decode_sql('label')} AS true_label, {_decode_sql('k')} AS pred_la
 FROM val_pred WHERE mode = 'multimodal' AND label <> k
 ORDER BY md5(guid || '|42'), guid, row_no LIMIT 5""", "val_pred"))
 def q_head_bad_cases(spark, sf):
-    b = ev.bad_cases(pl.scored_val(spark, sf), keep=("row_no",))
+    b = pl.misclassified(spark, sf, keep=("row_no",))
     top = ev.head_rows(b, [split_order_key("guid", 42), F.col("guid"), F.col("row_no")], 5)
     return top.select("guid", "true_label", "pred_label")
 
