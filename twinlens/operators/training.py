@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from twinlens.functions.labels import NUM_CLASSES
 from twinlens.operators.evaluate import accuracy
 from twinlens.operators.fusion import Block, Head, MAX_HEAD_BYTES, score
+from twinlens.session import spread
 
 # ------------------------------------------------------------ reports
 
@@ -155,8 +156,9 @@ def fit_fusion_head(train: DataFrame, val: DataFrame | None, blocks: list[Block]
     shapes = [p.shape for p in st.params]
     if 3 * sum(int(np.prod(s)) for s in shapes) * 8 > MAX_HEAD_BYTES:
         raise ValueError("head too large to broadcast")
-    data = train.select(F.col(guid_col).alias("_g"), F.col(label_col).cast("int").alias("_y"),
-                        F.col(features_col).alias("_x"))
+    # one trainer per partition: spread a table read from fewer files than cores
+    data = spread(train.select(F.col(guid_col).alias("_g"), F.col(label_col).cast("int").alias("_y"),
+                               F.col(features_col).alias("_x")))
     best_acc, best_head, history = 0.0, None, []
     for epoch in range(1, epochs + 1):
         bstate = sc.broadcast((_pack(st.params + st.m + st.v), st.step))
