@@ -103,3 +103,12 @@ def test_relu_affine_matches_numpy(spark):
     for g, x in zip(got, ([1.0, 2.0], [-3.0, 0.5])):
         ref = np.maximum(np.asarray(w) @ np.asarray(x) + np.asarray(b), 0)
         assert np.allclose(g, ref)
+
+
+def test_strip_ws_matches_python_for_every_whitespace_char(spark):
+    ws = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    keep = ["​", "﻿", "x", "中"]            # not whitespace for str.strip()
+    rows = [(w + "a" + k + w + w, ) for w in ws for k in keep] + [("".join(ws),), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r[0] for r in df.select(strip_ws("t")).collect()]
+    assert got == [None if t is None else t.strip() for (t,) in rows]
