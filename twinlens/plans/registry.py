@@ -248,8 +248,9 @@ def q_pad_batch(spark, sf):
     ids = (e.groupBy("guid").agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_s"))
            .select("guid", F.transform("_s", lambda x: x["token_id"]).alias("input_ids"),
                    F.col("guid").cast("bigint").alias("row_no")))
-    # at least 8 buckets; the SQL's fixed 8 holds up to 8 * MAX_BUCKET_ROWS rows
-    b = assign_batches(ids, 16, 8, "row_no", bucket_key=F.col("guid"))
+    # at least 8 buckets; the SQL's fixed 8 holds up to 8 * MAX_BUCKET_ROWS rows.
+    # One row per text: the scan's count (parquet metadata) sizes the buckets.
+    b = assign_batches(ids, 16, 8, "row_no", bucket_key=F.col("guid"), n_rows=t.count())
     p = pad_batches(b, "input_ids", "longest")
     n_mask = F.aggregate("attention_mask", F.lit(0), lambda acc, x: acc + x)
     return p.select("guid", "bucket", "batch_id", "seq_len", "padded_len", n_mask.alias("n_mask"))
