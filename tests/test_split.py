@@ -40,3 +40,25 @@ def test_split_edges(spark):
     assert {r.split for r in sp.split_manifest(df, 1.0).collect()} == {"val"}
     approx = sp.split_manifest(df, 0.5, approx=True).collect()
     assert len(approx) == 2
+
+
+def test_split_matches_brute_force_on_random_multisets(spark, monkeypatch):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    monkeypatch.setattr(sp, "RANK_LIMIT", 3)          # walk every refinement level
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(guids=st.lists(st.sampled_from(["a", "b", "hot", "7", "é", "中"]) | st.text(max_size=3),
+                          min_size=1, max_size=60),
+           frac=st.sampled_from([0.1, 0.2, 0.5, 0.9]),
+           seed=st.integers(0, 99),
+           row_base=st.sampled_from([0, -5, 2 ** 40]))
+    def check(guids, frac, seed, row_base):
+        rows = [(row_base + i * 3, g) for i, g in enumerate(guids)]
+        df = spark.createDataFrame(rows, "row_no long, guid string")
+        out = sp.split_manifest(df, frac, seed).collect()
+        assert len(out) == len(rows)
+        assert {r.row_no for r in out if r.split == "val"} == brute(rows, frac, seed)
+
+    check()
