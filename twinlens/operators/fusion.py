@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 from twinlens.functions.udf import arrow_udf
 from twinlens.functions.arrays import zeros
 from twinlens.functions.labels import NUM_CLASSES
-from twinlens.session import materialize  # noqa: F401  (re-exported: M6)
 
 # Largest head broadcast to executors (float64 parameters).
 MAX_HEAD_BYTES = 512 * 1024 * 1024

@@ -26,7 +26,7 @@ from twinlens.functions.labels import decode_label
 from twinlens.functions.text import is_blank, preview
 from twinlens.operators import evaluate as ev
 from twinlens.operators.audit import audit_rows, audit_summary
-from twinlens.operators.fusion import Block, fuse_features, materialize, score, score_modes
+from twinlens.operators.fusion import Block, fuse_features, score, score_modes
 from twinlens.operators.image_prep import SIZE, black_image_feature, grid_encoder, image_features
 from twinlens.operators.modality import attach_images, attach_text, prepare_manifest
 from twinlens.operators.split import split_manifest, split_order_key
@@ -37,6 +37,7 @@ from twinlens.sources.blobs import (first_per_guid, manifest_keys, read_image_bl
 from twinlens.sources.manifest import (read_manifest, read_split, write_bad_cases,
                                        write_predictions, write_split)
 from twinlens.sources.model_io import load_head, save_head
+from twinlens.session import materialize
 
 
 @dataclass

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from twinlens.operators.evaluate import ablation_report, bad_cases
 from twinlens.operators.fusion import (Head, default_blocks, fit_centroid_head, fuse_features,
-                                       materialize, score, score_modes)
+                                       score, score_modes)
 from twinlens.operators.modality import attach_images, attach_text, prepare_manifest
 from twinlens.operators.split import split_manifest
 from twinlens.operators.text_prep import text_features
+from twinlens.session import materialize
 from twinlens.sources.blobs import manifest_keys
 from twinlens.plans.fixtures import (IMG_DIM, TXT_DIM, fx_image_vec, fx_manifest,
                                      fx_test_manifest, fx_text)

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from twinlens.functions.labels import decode_label
-from twinlens.operators.fusion import Head, materialize, score
+from twinlens.operators.fusion import Head, score
 from twinlens.operators.modality import prepare_manifest
 from twinlens.plans.jobs import FeatureSpec, attach_features, blob_features
+from twinlens.session import materialize
 
 
 def stream_predictions(spark: SparkSession, manifest_dir: str, data_dir: str, head: Head,
