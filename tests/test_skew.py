@@ -43,3 +43,35 @@ def test_hot_guid_left_join_is_split_and_keeps_rows(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_guid_is_salted_when_aqe_skew_split_is_off(spark, monkeypatch):
+    from twinlens.operators import modality
+    conf = dict(_CONF, **{"spark.sql.adaptive.skewJoin.enabled": "false"})
+    old = {k: spark.conf.get(k, None) for k in conf}
+    monkeypatch.setattr(modality, "HOT_GUID_ROWS", 1000)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30_000
+        m = spark.range(n).select(
+            F.col("id").alias("row_no"),
+            F.when(F.col("id") % 3 == 0, F.lit("hot"))
+            .otherwise((F.col("id") % 5000).cast("string")).alias("guid"))
+        t = (spark.range(5000).select(F.col("id").cast("string").alias("guid"),
+                                      F.lit("cold text").alias("text"))
+             .union(spark.createDataFrame([("hot", "hot text")], "guid string, text string")))
+        j = attach_text(m, t)
+        rows = j.collect()
+        assert len(rows) == n and len({r.row_no for r in rows}) == n
+        assert all(r.has_text for r in rows)
+        assert sorted({(r.guid == "hot", r.text) for r in rows}) == [(False, "cold text"),
+                                                                    (True, "hot text")]
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" in plan and "SortMergeJoin(skew=true)" not in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -9,12 +9,54 @@ broadcast its right side, which is what a small blob table needs.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinlens.functions.guid import normalize_guid
 from twinlens.functions.labels import encode_label
 
+# A guid with more manifest rows than this is hot. With AQE's skew join on
+# (Spark's default) the join is split at run time; with it off, hot guids are
+# salted over several join tasks.
+HOT_GUID_ROWS = 1_000_000
+MAX_HOT_GUIDS = 10_000
+MAX_SALT = 1024
+
+
+def _aqe_splits_skew(spark) -> bool:
+    conf = spark.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+
+
+def lookup_join(m: DataFrame, side: DataFrame, key: str = "guid") -> DataFrame:
+    """``m`` left outer join ``side`` on ``key``; ``side`` has one row per key.
+
+    Without AQE's skew split, guids holding more than ``HOT_GUID_ROWS`` manifest
+    rows (at most ``MAX_HOT_GUIDS``, found by one partial + final aggregate) are
+    salted: their manifest rows spread over ``n`` salts by ``row_no`` (or a hash
+    of the row) and their one blob row is copied ``n`` times. Every manifest row
+    still meets its blob row exactly once.
+    """
+    if _aqe_splits_skew(m.sparkSession):
+        return m.join(side, key, "left")
+    hot = (m.groupBy(key).count().where(F.col("count") > HOT_GUID_ROWS)
+           .orderBy(F.desc("count")).limit(MAX_HOT_GUIDS).collect())
+    if not hot:
+        return m.join(side, key, "left")
+    n = min(MAX_SALT, math.ceil(max(r["count"] for r in hot) / HOT_GUID_ROWS))
+    is_hot = F.col(key).isin([r[key] for r in hot])
+    row_key = F.col("row_no") if "row_no" in m.columns else F.xxhash64(*m.columns)
+    ms = m.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(row_key), F.lit(n)))
+                      .otherwise(F.lit(0)).cast("bigint"))
+    ss = (side.where(is_hot)
+          .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                    F.lit(n - 1).cast("bigint"))))
+          .unionByName(side.where(~is_hot).withColumn("_salt", F.lit(0).cast("bigint"))))
+    return ms.join(ss, [key, "_salt"], "left").drop("_salt")
+
 
 def prepare_manifest(df: DataFrame, labelled: bool = True, strict: bool = True) -> DataFrame:
     """Normalise guids and (labelled mode) encode tags.
@@ -38,7 +80,7 @@ def attach_text(m: DataFrame, texts: DataFrame, guid_col: str = "guid",
     raw = text_col in texts.columns
     t = texts.select(F.col(guid_col).alias(guid_col),
                      (F.col(text_col) if raw else F.lit(True)).alias("_t"), *extra)
-    j = m.join(t, guid_col, "left").withColumn("has_text", F.col("_t").isNotNull())
+    j = lookup_join(m, t, guid_col).withColumn("has_text", F.col("_t").isNotNull())
     if raw:
         j = j.withColumn(text_col, F.coalesce(F.col("_t"), F.lit("")))
     return j.drop("_t")
@@ -55,7 +97,7 @@ def attach_images(m: DataFrame, images: DataFrame, guid_col: str = "guid",
     keep = [F.col(guid_col), F.col(image_col).alias("_i")]
     if ok_col:
         keep.append(F.col(ok_col).alias("_ok"))
-    j = m.join(images.select(*keep), guid_col, "left")
+    j = lookup_join(m, images.select(*keep), guid_col)
     ok = F.col("_i").isNotNull() & (F.col("_ok") if ok_col else F.lit(True))
     return (j.withColumn("has_image", F.coalesce(ok, F.lit(False)))
             .withColumn(image_col, F.when(F.col("has_image"), F.col("_i")))
