@@ -75,3 +75,21 @@ def test_hot_guid_is_salted_when_aqe_skew_split_is_off(spark, monkeypatch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_lookup_join_on_a_stream_skips_the_hot_key_pass(spark, tmpdir_path):
+    from twinlens.operators.modality import lookup_join
+    old = spark.conf.get("spark.sql.adaptive.skewJoin.enabled", None)
+    try:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+        with open(f"{tmpdir_path}/a.csv", "w") as fh:
+            fh.write("guid\n1\n2\n")
+        m = spark.readStream.schema("guid string").option("header", True).csv(tmpdir_path)
+        side = spark.createDataFrame([("1", "x")], "guid string, text string")
+        j = lookup_join(m, side)                       # no collect on the stream
+        assert j.isStreaming
+    finally:
+        if old is None:
+            spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+        else:
+            spark.conf.set("spark.sql.adaptive.skewJoin.enabled", old)

@@ -40,7 +40,8 @@ def lookup_join(m: DataFrame, side: DataFrame, key: str = "guid") -> DataFrame:
     of the row) and their one blob row is copied ``n`` times. Every manifest row
     still meets its blob row exactly once.
     """
-    if _aqe_splits_skew(m.sparkSession):
+    # a stream's micro-batches are bounded by its trigger; no hot-key pass there
+    if m.isStreaming or _aqe_splits_skew(m.sparkSession):
         return m.join(side, key, "left")
     hot = (m.groupBy(key).count().where(F.col("count") > HOT_GUID_ROWS)
            .orderBy(F.desc("count")).limit(MAX_HOT_GUIDS).collect())
