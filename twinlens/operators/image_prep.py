@@ -239,6 +239,25 @@ def rgb_extrema(data: bytes, height: int, width: int, n_channels: int):
     return [(int(rgb[:, :, c].min()), int(rgb[:, :, c].max())) for c in range(3)]
 
 
+def struct_extrema(image: Column) -> Column:
+    """Per-channel (min, max) of Spark image structs after RGB conversion.
+
+    ``[r_min, r_max, g_min, g_max, b_min, b_max]`` in 0-255, computed where the
+    image is decoded (Arrow batches); NULL for an undecodable image.
+    """
+    @arrow_udf(T.ArrayType(T.IntegerType()))
+    def _extrema(data: pd.Series, h: pd.Series, w: pd.Series, c: pd.Series) -> pd.Series:
+        out = []
+        for d, hh, ww, cc in zip(data, h, w, c):
+            if d is None or cc is None or cc <= 0:
+                out.append(None)
+                continue
+            out.append([v for pair in rgb_extrema(bytes(d), int(hh), int(ww), int(cc)) for v in pair])
+        return pd.Series(out)
+
+    return _extrema(image["data"], image["height"], image["width"], image["nChannels"])
+
+
 def resize_rgb(img: np.ndarray, oh: int = SIZE, ow: int = SIZE) -> np.ndarray:
     wr, wc = resize_weights(img.shape[0], oh), resize_weights(img.shape[1], ow)
     return np.einsum("oh,hwc,pw->opc", wr, img, wc)

@@ -555,6 +555,43 @@ def q_channel_stats(spark, sf):
     return st.select("n", F.round("mean", 8).alias("mean"), F.round("std", 8).alias("std"))
 
 
+def _image_structs(spark, sf) -> DataFrame:
+    """Spark image structs (8x8, BGR bytes) derived from ``embeddings``.
+
+    ``q = clip(round((v + 4) * 32), 0, 255)``; pixel p is (B, G, R) =
+    (255 - q[p], q[63 - p] div 2, q[p]). Built natively: hex digits, unhex.
+    """
+    emb = table(spark, sf, "embeddings")
+    q = F.transform("embedding", lambda x: F.least(F.greatest(F.round((x + 4.0) * 32.0), F.lit(0.0)),
+                                                   F.lit(255.0)).cast("int"))
+    bgr = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(_G * _G - 1)), lambda p: F.array(
+        255 - F.get(q, p), (F.get(q, _G * _G - 1 - p) / 2).cast("int"), F.get(q, p))))
+    data = F.unhex(F.array_join(F.transform(bgr, lambda v: F.lpad(F.hex(v), 2, "0")), ""))
+    guid = F.col("vec_id").cast("string")
+    img = F.struct(F.concat(F.lit("embeddings/"), guid).alias("origin"), F.lit(_G).alias("height"),
+                   F.lit(_G).alias("width"), F.lit(3).alias("nChannels"), F.lit(16).alias("mode"),
+                   data.alias("data"))
+    return emb.select(guid.alias("guid"), img.alias("image"))
+
+
+@register("image_struct_extrema", """
+WITH q AS (
+  SELECT CAST(e.vec_id AS VARCHAR) AS guid,
+         CAST(least(greatest(round((CAST(u.v AS DOUBLE) + 4.0) * 32.0), 0.0), 255.0) AS INTEGER) AS q
+  FROM embeddings e, unnest(e.embedding) AS u(v))
+SELECT guid, CAST(min(q) AS INTEGER) AS r_min, CAST(max(q) AS INTEGER) AS r_max,
+       CAST(min(q) // 2 AS INTEGER) AS g_min, CAST(max(q) // 2 AS INTEGER) AS g_max,
+       CAST(255 - max(q) AS INTEGER) AS b_min, CAST(255 - min(q) AS INTEGER) AS b_max,
+       max(q) = 0 AND max(q) // 2 = 0 AND 255 - min(q) = 0 AS is_black
+FROM q GROUP BY guid""")
+def q_image_struct_extrema(spark, sf):
+    ext = _image_structs(spark, sf).select("guid", ip.struct_extrema(F.col("image")).alias("e"))
+    names = ["r_min", "r_max", "g_min", "g_max", "b_min", "b_max"]
+    cols = [F.col("e")[i].cast("int").alias(n) for i, n in enumerate(names)]
+    black = (F.col("e")[1] == 0) & (F.col("e")[3] == 0) & (F.col("e")[5] == 0)
+    return ext.select("guid", *cols, black.alias("is_black"))
+
+
 # ---------------------------------------------- training (rows-only check)
 
 @register("mlp_head_fit")
