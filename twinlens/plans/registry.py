@@ -561,11 +561,13 @@ def _image_structs(spark, sf) -> DataFrame:
     ``q = clip(round((v + 4) * 32), 0, 255)``; pixel p is (B, G, R) =
     (255 - q[p], q[63 - p] div 2, q[p]). Built natively: hex digits, unhex.
     """
-    emb = table(spark, sf, "embeddings")
     q = F.transform("embedding", lambda x: F.least(F.greatest(F.round((x + 4.0) * 32.0), F.lit(0.0)),
                                                    F.lit(255.0)).cast("int"))
+    # q is its own column: the pixel lambda reads it three times per pixel
+    emb = table(spark, sf, "embeddings").select("vec_id", q.alias("q"))
+    qc = F.col("q")
     bgr = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(_G * _G - 1)), lambda p: F.array(
-        255 - F.get(q, p), (F.get(q, _G * _G - 1 - p) / 2).cast("int"), F.get(q, p))))
+        255 - F.get(qc, p), (F.get(qc, _G * _G - 1 - p) / 2).cast("int"), F.get(qc, p))))
     data = F.unhex(F.array_join(F.transform(bgr, lambda v: F.lpad(F.hex(v), 2, "0")), ""))
     guid = F.col("vec_id").cast("string")
     img = F.struct(F.concat(F.lit("embeddings/"), guid).alias("origin"), F.lit(_G).alias("height"),
@@ -592,6 +594,19 @@ def q_image_struct_extrema(spark, sf):
     return ext.select("guid", *cols, black.alias("is_black"))
 
 
+@register("image_struct_features")
+def q_image_struct_features(spark, sf):
+    """Eval-mode image pipeline (I1, I4-I7) on the structs above: RGB, resize to
+    224, normalise, grid encoder, in Arrow batches where the images sit.
+
+    Rows-only check: bilinear resampling and value histograms have no SQL form here.
+    """
+    imgs = spread(_image_structs(spark, sf))
+    f = ip.image_features(imgs, "image", "guid", ip.grid_encoder, 72, train=False)
+    sq = F.aggregate("img_feat", F.lit(0.0), lambda a, x: a + x * x)
+    return f.select("guid", F.size("img_feat").alias("n_dims"), F.round(sq, 9).alias("sq_norm"))
+
+
 # ---------------------------------------------- training (rows-only check)
 
 @register("mlp_head_fit")
