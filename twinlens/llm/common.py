@@ -28,6 +28,50 @@ def ascii_lower(c: Column) -> Column:
 
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, inside one projection."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Matches whose positions are summed up together.
+_STRIDE = 256
+
+
+def match_spans(text: Column, pattern: str) -> Column:
+    """``array<struct<start, end, m>>`` of the pattern's matches, positions in code points.
+
+    Positions are running sums of the lengths of what lies between matches and
+    of the matches; sums over strides of matches keep this near linear in
+    their number.
+    """
+    def build(pieces: Column, found: Column) -> Column:
+        steps = F.transform(found, lambda m, i: F.char_length(F.get(pieces, i)) + F.char_length(m))
+
+        def upto(lens: Column, start: Column, n: Column) -> Column:
+            return F.aggregate(F.slice(lens, start, n), F.lit(0), lambda s, x: s + x)
+
+        def place(lens: Column) -> Column:
+            strides = F.transform(F.sequence(F.lit(0), F.floor((F.size(lens) - 1) / _STRIDE).cast("int")),
+                                  lambda c: upto(lens, c * _STRIDE + 1, F.lit(_STRIDE)))
+            ahead = F.aggregate(strides, F.array(F.lit(0)), lambda acc, s: F.concat(
+                acc, F.array(F.element_at(acc, -1) + s)))
+
+            def one(offsets: Column) -> Column:
+                def span(m: Column, i: Column) -> Column:
+                    c = F.floor(i / _STRIDE).cast("int")
+                    end = F.get(offsets, c) + upto(lens, c * _STRIDE + 1, i - c * _STRIDE + 1)
+                    return let(end, lambda e: F.struct((e - F.char_length(m)).alias("start"), e.alias("end"),
+                                                       m.alias("m")))
+                return F.transform(found, span)
+            return let(ahead, one)
+        return let(steps, place)
+
+    none = F.array().cast("array<struct<start:int,end:int,m:string>>")
+    spans = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(
+        F.size(found) == 0, none).otherwise(let(F.split(text, pattern, -1), lambda pieces: build(pieces, found))))
+    return F.coalesce(spans, none)
+
+
 def _not_stars(edges: DataFrame) -> bool:
     """True if some node hangs from two roots, or a root hangs from another node."""
     roles = (edges.select(F.explode(F.array(

@@ -76,12 +76,16 @@ def fingerprint(text: str | None, n: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     """``(doc_id, fp)``: fp is the fingerprint as a signed 64-bit integer."""
+    return docs.select("doc_id", _fp_column(n)(F.col("text")).alias("fp"))
+
+
+def _fp_column(n: int):
     @F.pandas_udf("long")
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(np.array([fingerprint(t, n) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select("doc_id", fp(F.col("text")).alias("fp"))
+    return fp.asNondeterministic()
 
 
 class Trees:
@@ -198,7 +202,7 @@ def links(distinct: DataFrame) -> DataFrame:
     parted = parted.select("shard", "parts", F.explode("all_parts").alias("part"), "fp", "stored").withColumn(
         "stored", F.col("stored") & (F.col("part") == F.pmod(F.xxhash64("fp"), "parts")))
 
-    def search(key, group: pd.DataFrame) -> pd.DataFrame:
+    def search(group: pd.DataFrame) -> pd.DataFrame:
         hi, lo = shard_links(group["fp"].to_numpy(np.int64).view(np.uint64), group["stored"].to_numpy(bool))
         return pd.DataFrame({"hi": hi, "lo": lo})
 
@@ -206,15 +210,19 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def components(fps: DataFrame) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for ``(doc_id, fp)``: the smallest doc_id reachable over links."""
+    """``(doc_id, fp, component_id, root)`` for ``(doc_id, fp)``: the smallest doc_id reachable over links.
+
+    ``root`` names the component also where no member has a doc_id.
+    """
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fps")
     roots = connected_components(links(distinct), "hi", "lo")
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     # written out, so that the join with all documents can be split where one fingerprint holds many
-    of = materialize(rooted.join(ids, "root").select(F.col("fp").alias("of_fp"), "component_id"), "components")
-    return fps.join(of, F.col("fp") == F.col("of_fp"), "left").select("doc_id", "fp", "component_id")
+    of = materialize(rooted.join(ids, "root").select(F.col("fp").alias("of_fp"), "component_id", "root"), "components")
+    return fps.join(of, F.col("fp") == F.col("of_fp"), "left").select(
+        "doc_id", "fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -222,3 +230,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     fps = materialize(fingerprints(docs, shingle), "fingerprints")
     return components(fps).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row of each component: one that has the smallest doc_id.
+
+    Rows without a doc_id stay only where their whole component has none.
+    """
+    fps = materialize(fingerprints(docs, shingle), "fingerprints")
+    found = materialize(components(fps), "members")
+    chosen = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = found.where(F.col("component_id").isNull())
+    if nameless.isEmpty():
+        return kept.select(*docs.columns)
+    roots = nameless.select("fp", "root").distinct().groupBy("root").agg(F.min("fp").alias("_fp"))
+    extra = docs.where(F.col("doc_id").isNull())
+    extra = extra.select("*", _fp_column(shingle)(F.col("text")).alias("_fp")).join(
+        roots.select("_fp"), "_fp", "left_semi").dropDuplicates(["_fp"])
+    return kept.select(*docs.columns).union(extra.select(*docs.columns))
