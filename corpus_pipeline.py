@@ -19,9 +19,7 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the divergence rules keep."""
-    cols = docs.columns
-    judged = quality_divergence.judge(docs, *cols)
-    return judged.where("kept").select(*cols)
+    return quality_divergence.judge(docs, docs.columns).where("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

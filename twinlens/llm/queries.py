@@ -38,7 +38,7 @@ def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_divergence.judge(_table(spark, sf_dir, "documents"), "doc_id")
+    return quality_divergence.judge(_table(spark, sf_dir, "documents"), ["doc_id"]).select("row.*", "*").drop("row")
 
 
 def op6_secrets_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
