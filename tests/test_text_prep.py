@@ -70,3 +70,13 @@ def test_pad_batches_longest_and_mask(spark):
     assert out[0].padded_len == 3 and out[1].input_ids == [2, 3, 0]
     assert out[1].attention_mask == [1, 1, 0]
     assert out[2].padded_len == 5 and out[2].seq_len == 5
+
+
+def test_words_of_any_script_count(spark):
+    from twinlens.operators.text_prep import text_features, word_tokens
+    df = spark.createDataFrame([("été über",), ("图像很好",), ("a1-b",), (None,)], "text string")
+    toks = [r.w for r in df.select(word_tokens("text").alias("w")).collect()]
+    assert toks[:3] == [["été", "über"], list("图像很好"), ["a1", "b"]]
+    for hashing in ("md5", "murmur3"):
+        vecs = [r.txt_feat for r in text_features(df, hashing=hashing).orderBy(F.col("text").isNull()).collect()]
+        assert all(any(v) for v in vecs[:3])

@@ -18,11 +18,11 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 import unicodedata
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,8 +32,10 @@ from pyspark.sql import types as T
 from twinlens.functions.udf import arrow_udf
 from twinlens.session import materialize, spread
 
-TOKEN_SPLIT = "[^a-z]+"
-_SPLIT_RE = re.compile(TOKEN_SPLIT)
+# Words are runs of Unicode letters and digits; each Han character is a word.
+TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+_SPLIT_RE = regex.compile(TOKEN_SPLIT)
+_HAN_RE = regex.compile(r"(\p{Han})")
 
 # Special tokens of the BERT vocabulary layout used here.
 PAD, UNK, CLS, SEP = "[PAD]", "[UNK]", "[CLS]", "[SEP]"
@@ -46,10 +48,15 @@ MAX_BROADCAST_VOCAB = 2_000_000
 MAX_BUCKET_ROWS = 1_000_000
 
 
+def _spaced(col: Column) -> Column:
+    """Lower-cased, a space around every Han character."""
+    return F.regexp_replace(F.lower(col), r"(\p{IsHan})", " $1 ")
+
+
 def word_tokens(c: Column | str) -> Column:
-    """lower-case, split on non a-z runs, drop empty tokens (native)."""
+    """lower-case, split on runs of neither letters nor digits, drop empty tokens (native)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.filter(F.split(F.lower(col), TOKEN_SPLIT), lambda w: w != "")
+    return F.filter(F.split(_spaced(col), TOKEN_SPLIT), lambda w: w != "")
 
 
 def md5_bucket(w: Column, dim: int) -> Column:
@@ -64,7 +71,7 @@ def _bow_md5_batch(texts: pd.Series, dim: int) -> pd.Series:
             out.append(np.zeros(dim))
             continue
         ids = []
-        for w in _SPLIT_RE.split(t.lower()):
+        for w in _SPLIT_RE.split(_HAN_RE.sub(r" \1 ", t.lower())):
             if not w:
                 continue
             b = cache.get(w)
@@ -88,13 +95,14 @@ def text_features(df: DataFrame, text_col: str = "text", dim: int = 32,
             return _bow_md5_batch(texts, dim)
         return df.withColumn(out_col, bow(F.col(text_col)))
     if hashing == "murmur3":
-        tok = RegexTokenizer(inputCol=text_col, outputCol="_toks", pattern=TOKEN_SPLIT,
+        tok = RegexTokenizer(inputCol="_spaced", outputCol="_toks", pattern=TOKEN_SPLIT,
                              gaps=True, toLowercase=True, minTokenLength=1)
         tf = HashingTF(inputCol="_toks", outputCol="_tf", numFeatures=dim)
         norm = Normalizer(inputCol="_tf", outputCol="_nv", p=2.0)
-        out = norm.transform(tf.transform(tok.transform(df.fillna({text_col: ""}))))
+        out = norm.transform(tf.transform(tok.transform(
+            df.withColumn("_spaced", _spaced(F.coalesce(F.col(text_col), F.lit("")))))))
         return (out.withColumn(out_col, vector_to_array(F.col("_nv"), "float64"))
-                .drop("_toks", "_tf", "_nv"))
+                .drop("_spaced", "_toks", "_tf", "_nv"))
     raise ValueError(f"unknown hashing {hashing!r}")
 
 

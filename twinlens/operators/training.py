@@ -219,7 +219,8 @@ def fit_fusion_head(train: DataFrame, val: DataFrame | None, blocks: list[Block]
         val_acc = None
         if val is not None:
             acc = accuracy(score(val, head, features_col), "pred", label_col).collect()[0]
-            val_acc = float(acc["accuracy"]) if acc["accuracy"] is not None else None
+            # selection compares the unrounded ratio
+            val_acc = 100.0 * acc["correct"] / acc["total"] if acc["total"] else None
         is_best = val_acc is not None and val_acc > best_acc
         if is_best:
             best_acc, best_head = val_acc, head

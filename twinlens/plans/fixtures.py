@@ -138,7 +138,7 @@ SQL_CTES["split"] = """split AS (
          CASE WHEN rn <= ceil(0.2::DOUBLE * n) THEN 'val' ELSE 'train' END AS split
   FROM split_rank)"""
 SQL_CTES["txt_tok"] = """txt_tok AS (
-  SELECT guid, unnest(string_split_regex(lower(text), '[^a-z]+')) AS w FROM fx_text)"""
+  SELECT guid, unnest(string_split_regex(regexp_replace(lower(text), '(\\p{Han})', ' \\1 ', 'g'), '[^\\p{L}\\p{N}]+')) AS w FROM fx_text)"""
 SQL_CTES["txt_bucket"] = """txt_bucket AS (
   SELECT guid, ('0x' || substr(md5(w), 1, 8))::BIGINT % 32 AS pos, count(*) AS c
   FROM txt_tok WHERE w <> '' GROUP BY 1, 2)"""

@@ -125,7 +125,8 @@ def train_job(spark: SparkSession, train_file: str, data_dir: str, out_dir: str,
                                        fe.where(F.col("split") == "val"), spec.blocks(),
                                        hidden=hidden, epochs=epochs, lr=lr,
                                        batch_size=batch_size, seed=seed)
-    save_head(spark, best if best is not None else last, f"{out_dir}/best_head")
+    if best is not None:  # only an epoch that improved leaves a head
+        save_head(spark, best, f"{out_dir}/best_head")
     return mark_improvements(history_frame(spark, hist))
 
 

@@ -209,7 +209,7 @@ def q_vocab(spark, sf):
 
 
 _TOK_SQL = """tok AS (
-  SELECT guid, list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda w: w <> '') AS ws
+  SELECT guid, list_filter(string_split_regex(regexp_replace(lower(text), '(\\p{Han})', ' \\1 ', 'g'), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS ws
   FROM fx_text)"""
 
 
