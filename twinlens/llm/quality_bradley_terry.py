@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from twinlens.llm.common import bounded_sample
 from twinlens.session import materialize
 
 #: Contract values.
@@ -115,8 +116,10 @@ def fit(features: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking
     """A ranking from labelled rows outside the held-out fifth; None unless both labels occur."""
     own = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("y")).where(
         F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
-    rows = (features.join(own, F.col("doc_id") == F.col("_id")).select(F.xxhash64("_id").alias("h"), "_id", "f", "y")
-            .orderBy("h", "_id", "y", "f").limit(sample).collect())
+    # labels are few and narrow; a bounded share of them is cut out before features are joined
+    own = bounded_sample(own, sample, "_id", "y")
+    rows = (features.join(own, F.col("doc_id") == F.col("_id")).select("_id", "f", "y")
+            .orderBy("_id", "y", "f").limit(sample).collect())
     y = np.array([r.y for r in rows])
     return Ranking(np.array([r.f for r in rows]), y) if 0 < y.sum() < len(y) else None
 

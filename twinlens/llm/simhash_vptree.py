@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinlens.llm.common import connected_components
+from twinlens.llm.common import bounded_sample, connected_components
 from twinlens.session import materialize
 
 #: Contract values: shingle length in words, seed and largest bit distance.
@@ -184,7 +184,7 @@ def links(distinct: DataFrame) -> DataFrame:
     n = distinct.count()
     depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(n, 1) / SHARD_ROWS))))
     # the sample's size is fixed, so what reaches the driver is bounded
-    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("fp").toPandas()["fp"]
+    sample = bounded_sample(distinct.select("fp"), SAMPLE, "fp").toPandas()["fp"]
     trees = spark.sparkContext.broadcast(Trees(sample.to_numpy(np.int64).view(np.uint64), depth))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
