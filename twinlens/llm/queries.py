@@ -38,7 +38,8 @@ def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_divergence.judge(_table(spark, sf_dir, "documents"), ["doc_id"]).select("row.*", "*").drop("row")
+    out = quality_divergence.judge(_table(spark, sf_dir, "documents"), ["doc_id"]).select("row.*", "*").drop("row")
+    return out.withColumns({c: F.round(c, 9) for c in ("class_distance", "word_distance")})
 
 
 def op6_secrets_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
