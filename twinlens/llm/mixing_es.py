@@ -12,8 +12,9 @@ keys until the budget is full. The one at the budget's edge gives the words
 still missing, so a source's total is its target, rounded down.
 
 A source's documents are never sorted in one task: keys fall into ``BUCKETS``
-ranges whose sizes are summed per task; the running total over the ranges
-finds the one holding the edge, and only that range's rows are put in order.
+ranges whose sizes are summed per task; running totals, first over groups of
+``2 ** GROUP_BITS`` ranges and then inside one group, find the range holding the
+edge, and only that range's rows are put in order.
 Texts are never shuffled; documents learn their share from one small row per
 source (key of the edge, words there, epochs).
 
@@ -38,6 +39,7 @@ MAX_REPEAT = 2.0
 #: Parameters of the sampling.
 SEED = 7
 BUCKETS = 1 << 14
+GROUP_BITS = 7
 MIN_QUALITY = 0.1
 
 
@@ -93,6 +95,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return df.withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key") * 0.8)) * BUCKETS).cast("int"))
 
 
+def _holding(parts: DataFrame, key: str) -> DataFrame:
+    """The part of each source, in the order of ``key``, in which ``base`` and the sums so far reach ``left_over``."""
+    line = Window.partitionBy("src").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.col("base") + F.coalesce(F.sum("n").over(line), F.lit(0)))
+    return parts.where((F.col("before") < F.col("left_over")) & (F.col("before") + F.col("n") >= F.col("left_over")))
+
+
 def _edges(rows: DataFrame, share: float) -> DataFrame:
     """``(src, source_size, target, epochs, e_key, e_tie, e_words)``, one row per source.
 
@@ -105,11 +114,13 @@ def _edges(rows: DataFrame, share: float) -> DataFrame:
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     plan = materialize(plan.withColumn("left_over", F.floor(
         F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")), "mix-plan")
-    by_range = Window.partitionBy("src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    edge = (ranges.withColumn("before", F.coalesce(F.sum("n").over(by_range), F.lit(0)))
-            .join(plan.select(F.col("src").alias("s"), "left_over"), F.col("src").eqNullSafe(F.col("s"))).drop("s")
-            .where((F.col("before") < F.col("left_over")) & (F.col("before") + F.col("n") >= F.col("left_over"))))
-    edge = materialize(edge.select(F.col("src").alias("s"), F.col("_bucket").alias("b"), "before", "left_over"), "mix-edge")
+    left = plan.select(F.col("src").alias("s"), F.lit(0).cast("long").alias("base"), "left_over")
+    groups = ranges.groupBy("src", F.shiftright("_bucket", GROUP_BITS).alias("g")).agg(F.sum("n").alias("n"))
+    group = _holding(groups.join(left, F.col("src").eqNullSafe(F.col("s"))), "g").select(
+        F.col("src").alias("s"), F.col("g").alias("e_g"), F.col("before").alias("base"), "left_over")
+    own = ranges.join(group, F.col("src").eqNullSafe(F.col("s")) & (F.shiftright("_bucket", GROUP_BITS) == F.col("e_g")))
+    edge = materialize(_holding(own, "_bucket").select(
+        F.col("src").alias("s"), F.col("_bucket").alias("b"), "before", "left_over"), "mix-edge")
     # only the rows of one range per source; equal documents are one row
     inside = (rows.join(edge, F.col("src").eqNullSafe(F.col("s")) & (F.col("_bucket") == F.col("b")))
               .groupBy("src", "_key", "_tie", "before", "left_over")
