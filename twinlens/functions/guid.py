@@ -19,24 +19,35 @@ FLOAT_RE = (f"^[+-]?(?:{_DIGITS}(?:[.](?:{_DIGITS})?)?|[.]{_DIGITS})"
             f"(?:[eE][+-]?{_DIGITS})?$")
 
 _BIGINT_SAFE = 9.2e18   # below this a double -> bigint cast is exact
-_DECIMAL_MAX = 1e38     # decimal(38,0) range
+_LIMB = 10**9           # digits of larger integers are kept nine at a time
+_SHIFT = 29             # bits multiplied in at once: limb * 2**29 fits a bigint
 
 
 def _exact_big_integer(x: Column) -> Column:
-    """Exact decimal digits of an integral double in [2**63, 1e38).
+    """Exact decimal digits of an integral double of 2**63 or more.
 
-    The double is m * 2**e with m < 2**54; 2**e is built from two exact
-    bigint powers so no digit is lost to a shortest-repr conversion.
+    The double is m * 2**e with m < 2**55; m is split into limbs (least first)
+    and multiplied by 2**e in steps, so no digit is lost.
     """
-    e = F.floor(F.log2(x)).cast("int") - F.lit(52)
+    def times(limbs: Column, factor: Column) -> Column:
+        start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("bigint").alias("carry"))
+
+        def step(acc: Column, limb: Column) -> Column:
+            v = limb * factor + acc["carry"]
+            return F.struct(F.concat(acc["out"], F.array(v % _LIMB)).alias("out"),
+                            F.call_function("div", v, F.lit(_LIMB)).alias("carry"))
+
+        return F.aggregate(limbs, start, step, lambda acc: F.when(
+            acc["carry"] > 0, F.concat(acc["out"], F.array(acc["carry"]))).otherwise(acc["out"]))
+
+    e = F.floor(F.log2(x)).cast("int") - F.lit(53)
     m = (x / F.pow(F.lit(2.0), e)).cast("bigint")
-    e1 = F.floor(e / 2).cast("int")
-    e2 = e - e1
-    # 2**e1, 2**e2 (each <= 2**40) are exact doubles and exact bigints
-    p1 = F.pow(F.lit(2.0), e1).cast("bigint").cast("decimal(19,0)")
-    p2 = F.pow(F.lit(2.0), e2).cast("bigint").cast("decimal(19,0)")
-    prod = F.try_multiply(F.try_multiply(m.cast("decimal(17,0)"), p1), p2)
-    return prod.cast("decimal(38,0)").cast("string")
+    first = F.array(m % _LIMB, F.call_function("div", m, F.lit(_LIMB)))
+    steps = F.sequence(F.lit(0), F.floor((e - 1) / _SHIFT).cast("int"))
+    limbs = F.aggregate(steps, first, lambda acc, i: times(
+        acc, F.pow(F.lit(2.0), F.least(F.lit(_SHIFT), e - i * _SHIFT)).cast("bigint")))
+    return F.concat_ws("", F.transform(F.reverse(limbs), lambda v, i: F.when(i == 0, v.cast("string")).otherwise(
+        F.lpad(v.cast("string"), 9, "0"))))
 
 
 def normalize_guid(c: Column | str) -> Column:
@@ -45,7 +56,7 @@ def normalize_guid(c: Column | str) -> Column:
     num = F.regexp_replace(t, "_", "").try_cast("double")
     as_int = (
         F.when(F.abs(num) < F.lit(_BIGINT_SAFE), num.cast("bigint").cast("string"))
-        .when(F.abs(num) < F.lit(_DECIMAL_MAX),
+        .when(F.abs(num) < F.lit(float("inf")),
               F.when(num < 0, F.concat(F.lit("-"), _exact_big_integer(-num)))
               .otherwise(_exact_big_integer(num)))
     )
