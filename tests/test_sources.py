@@ -86,3 +86,30 @@ def test_split_manifest_scan_keeps_file_order(spark, tmpdir_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [str(i * 7919 % 100003) for i in range(20000)]
+
+
+def test_manifest_order_over_files_of_different_size(spark, tmpdir_path):
+    for name, n in (("a", 3), ("b", 2000), ("c", 7)):
+        with open(f"{tmpdir_path}/{name}.csv", "w") as fh:
+            fh.write("guid,tag\n" + "".join(f"{name}{i},neutral\n" for i in range(n)))
+    rows = mf.read_manifest(spark, tmpdir_path).orderBy("row_no").collect()
+    assert [r.guid for r in rows] == [f"{name}{i}" for name, n in (("a", 3), ("b", 2000), ("c", 7)) for i in range(n)]
+    assert [r.row_no for r in rows] == list(range(2010))
+
+
+def test_corrupt_manifest_lines_are_reported(spark, tmpdir_path):
+    with open(f"{tmpdir_path}/m.csv", "w") as fh:
+        fh.write("guid,tag\n1,neutral\n2\n3,positive,x,y\n")
+    rows = mf.read_manifest(spark, tmpdir_path, corrupt=True).orderBy("row_no").collect()
+    assert [r.guid for r in rows] == ["1", "2", "3"]
+    assert [r["_corrupt"] for r in rows] == [None, "2", "3,positive,x,y"]
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    import pytest
+    from twinlens.session import checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc, conf={}))

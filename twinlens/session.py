@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,7 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for materialised tables.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one; only when it is
-    unset (local tests) a fresh scratch folder is made and registered.
+    unset in local mode (tests) a fresh scratch folder is made and registered.
+    On a cluster executors would each write to their own disk, so it is an error there.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -48,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="twinlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)

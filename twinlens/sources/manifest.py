@@ -7,8 +7,11 @@ rows back in manifest order with a distributed sort instead of a driver list.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from twinlens.session import materialize
 
 # Strings pandas' CSV reader treats as missing by default.
 NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -21,34 +24,49 @@ def _na_to_null(c: str):
     return F.when(col.isin(NA_STRINGS), F.lit(None).cast("string")).otherwise(col)
 
 
+def _numbered(raw: DataFrame, cols: list[str]) -> DataFrame:
+    """``cols`` of a file scan with ``row_no``, 0 to n - 1 in the order of file path, block and line.
+
+    Scans pack files into tasks by size, so a task's number says nothing about
+    file order. Rows are written out with their file, block and position; one
+    row per block then gives the block's first number.
+    """
+    at = raw.select(*cols, F.col("_metadata.file_path").alias("_file"),
+                    F.col("_metadata.file_block_start").alias("_block"))
+    at = materialize(at.withColumn("_at", F.monotonically_increasing_id()), "manifest")
+    blocks = at.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return at.join(blocks, ["_file", "_block"]).select(
+        (F.col("_base") + F.col("_at") - F.col("_first")).alias("row_no"), *cols)
+
+
 def read_manifest(spark: SparkSession, path: str, labelled: bool = True,
                   header: bool = True, mode: str = "PERMISSIVE",
-                  multi_line: bool = False) -> DataFrame:
+                  multi_line: bool = False, corrupt: bool = False) -> DataFrame:
     """CSV manifest with an explicit string schema (A1).
 
-    ``mode='PERMISSIVE'`` keeps malformed lines with NULL fields and records the
-    raw line in ``_corrupt`` (A2); ``header=False`` reads a headerless file as
-    ``guid[, tag]``. Columns beyond ``guid``/``tag`` are ignored. Large files
-    are split across tasks; ``multi_line=True`` accepts quoted newlines inside
-    fields, at the price of one task per file.
+    ``mode='PERMISSIVE'`` keeps malformed lines with NULL fields; ``corrupt``
+    adds ``_corrupt``, the raw text of such lines (A2). ``header=False`` reads a
+    headerless file as ``guid[, tag]``. Columns beyond ``guid``/``tag`` are
+    ignored. Large files are split across tasks; ``multi_line=True`` accepts
+    quoted newlines inside fields, at the price of one task per file.
     """
     cols = ["guid", "tag"] if labelled else ["guid"]
     reader = (spark.read.option("header", header).option("mode", mode)
               .option("multiLine", multi_line).option("escape", '"'))
+    names = cols
     if header:
-        # read by header name, whatever else the file holds
-        raw = reader.option("inferSchema", False).csv(path)
-        missing = [c for c in cols if c not in raw.columns]
+        # by header name, whatever else the file holds
+        names = reader.option("inferSchema", False).csv(path).columns
+        missing = [c for c in cols if c not in names]
         if missing:
             raise ValueError(f"manifest {path} lacks column(s) {missing}")
-        df = raw.select(*cols)
-    else:
-        schema = ", ".join(f"{c} string" for c in cols) + ", _corrupt string"
-        df = (reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt")
-              .csv(path).select(*cols))
-    df = df.select(*[_na_to_null(c).alias(c) for c in cols])
-    # Order key: partition index << 33 | position, monotone in file order.
-    return df.withColumn("row_no", F.monotonically_increasing_id()).select("row_no", *cols)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_corrupt"]])
+    raw = reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt").csv(path)
+    kept = [*cols, "_corrupt"] if corrupt else cols
+    df = _numbered(raw, kept)
+    return df.select("row_no", *[_na_to_null(c).alias(c) for c in cols], *kept[len(cols):])
 
 
 def write_split(df: DataFrame, path: str) -> None:
