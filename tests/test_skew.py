@@ -93,3 +93,35 @@ def test_lookup_join_on_a_stream_skips_the_hot_key_pass(spark, tmpdir_path):
             spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
         else:
             spark.conf.set("spark.sql.adaptive.skewJoin.enabled", old)
+
+
+def test_hot_guid_is_split_with_both_modalities_and_in_the_audit(spark):
+    from twinlens.operators.audit import audit_rows
+    from twinlens.operators.modality import attach_modalities
+    old = {k: spark.conf.get(k, None) for k in _CONF}
+    try:
+        for k, v in _CONF.items():
+            spark.conf.set(k, v)
+        n = 60_000
+        m = spark.range(n).select(
+            F.col("id").alias("row_no"),
+            F.when(F.col("id") % 3 == 0, F.lit("hot"))
+            .otherwise((F.col("id") % 5000).cast("string")).alias("guid"))
+        keys = spark.range(4000).select(F.col("id").cast("string").alias("guid")).union(
+            spark.createDataFrame([("hot",)], "guid string"))
+        # the sides are aggregates, as the file jobs' are
+        t = keys.groupBy("guid").agg(F.first(F.lit("text")).alias("text"))
+        i = keys.where("guid != '7'").groupBy("guid").agg(F.first(F.array(F.lit(0.5))).alias("img_feat"))
+        for j in (attach_modalities(m, t, i, extra=("text",)), audit_rows(m, t, i, px_col=None)):
+            rows = j.collect()
+            assert len(rows) == n and len({r.row_no for r in rows}) == n
+            assert "SortMergeJoin(skew=true)" in j._jdf.queryExecution().executedPlan().toString()
+        both = attach_modalities(m, t, i, extra=("text",)).where("guid in ('7', 'hot', '4500')")
+        assert {(r.guid, r.has_text, r.has_image) for r in both.collect()} == {
+            ("7", True, False), ("hot", True, True), ("4500", False, False)}
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -1,7 +1,6 @@
 """Corpus and probability audits.
 
-The reference inspects one sample; here every manifest row is audited with one
-left join per modality, and the summary is a single aggregate.
+Every manifest row is audited with one left join to both modalities, and the summary is a single aggregate.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from twinlens.functions.arrays import softmax
 from twinlens.functions.labels import decode_label
 from twinlens.functions.text import is_blank, preview
+from twinlens.operators.modality import join_sides, lookup_join
 
 
 def audit_rows(manifest: DataFrame, texts: DataFrame, images: DataFrame,
@@ -41,13 +41,13 @@ def audit_rows(manifest: DataFrame, texts: DataFrame, images: DataFrame,
     elif "width" in images.columns:
         img_cols += [F.col("width"), F.col("height")]
     if px_col and px_col in images.columns:
-        img_cols.append(F.col(px_col).alias("_px"))
+        img_cols.append(((F.array_max(px_col) == 0) & (F.array_min(px_col) == 0)).alias("_px"))
     has_black = "image_black" in images.columns
     if has_black:
         img_cols.append(F.col("image_black").alias("_blk"))
     i = images.select(*img_cols)
-    j = (manifest.join(t, manifest[guid_col] == t["_g"], "left")
-         .join(i, manifest[guid_col] == i["_gi"], "left"))
+    t, i = t.withColumn(guid_col, F.col("_g")), i.withColumn(guid_col, F.col("_gi"))
+    j = lookup_join(manifest, join_sides(t, i, guid_col), guid_col)
     out = j.select(
         *[c for c in manifest.columns],
         F.col("_g").isNotNull().alias("text_exists"),
@@ -57,7 +57,7 @@ def audit_rows(manifest: DataFrame, texts: DataFrame, images: DataFrame,
         F.col("_gi").isNotNull().alias("image_exists"),
         F.coalesce(F.col("_iok"), F.lit(False)).alias("image_readable"),
         *([F.col("width"), F.col("height")] if has_size else []),
-        *([((F.array_max("_px") == 0) & (F.array_min("_px") == 0)).alias("image_black")]
+        *([F.col("_px").alias("image_black")]
           if px_col and px_col in images.columns else []),
         *([F.coalesce(F.col("_blk"), F.lit(False)).alias("image_black")] if has_black else []),
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from twinlens.functions.guid import normalize_guid
 from twinlens.functions.labels import encode_label
+from twinlens.session import materialize
 
 # A guid with more manifest rows than this is hot. With AQE's skew join on
 # (Spark's default) the join is split at run time; with it off, hot guids are
@@ -59,6 +60,16 @@ def lookup_join(m: DataFrame, side: DataFrame, key: str = "guid") -> DataFrame:
     return ms.join(ss, [key, "_salt"], "left").drop("_salt")
 
 
+def join_sides(a: DataFrame, b: DataFrame, key: str = "guid") -> DataFrame:
+    """One row per key with the columns of two modality tables, written out.
+
+    Either table has one row per key, so this join has no hot key. The manifest
+    then needs one join, between plain scans: adaptive execution can split a
+    hot guid there, which it can't in a chain of joins or beside an aggregate.
+    """
+    return materialize(a.join(b, key, "full_outer"), "modalities")
+
+
 def prepare_manifest(df: DataFrame, labelled: bool = True, strict: bool = True) -> DataFrame:
     """Normalise guids and (labelled mode) encode tags.
 
@@ -103,3 +114,18 @@ def attach_images(m: DataFrame, images: DataFrame, guid_col: str = "guid",
     return (j.withColumn("has_image", F.coalesce(ok, F.lit(False)))
             .withColumn(image_col, F.when(F.col("has_image"), F.col("_i")))
             .drop("_i", *(["_ok"] if ok_col else [])))
+
+
+def attach_modalities(m: DataFrame, texts: DataFrame, images: DataFrame, extra: tuple[str, ...] = (),
+                      guid_col: str = "guid", image_col: str = "img_feat", ok_col: str | None = None) -> DataFrame:
+    """Manifest ⟕ (texts ⟗ images) with a single manifest join.
+
+    Adds ``has_text``, the ``extra`` text columns, ``has_image`` and
+    ``image_col`` as ``attach_text`` followed by ``attach_images`` would.
+    """
+    t = texts.select(guid_col, F.lit(True).alias("_t"), *extra)
+    i = images.select(guid_col, F.col(image_col).alias("_i"), (F.col(ok_col) if ok_col else F.lit(True)).alias("_ok"))
+    j = lookup_join(m, join_sides(t, i, guid_col), guid_col)
+    return (j.withColumn("has_text", F.col("_t").isNotNull())
+            .withColumn("has_image", F.coalesce(F.col("_i").isNotNull() & F.col("_ok"), F.lit(False)))
+            .withColumn(image_col, F.when(F.col("has_image"), F.col("_i"))).drop("_t", "_i", "_ok"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from twinlens.operators.evaluate import ablation_report, bad_cases
 from twinlens.operators.fusion import (Head, default_blocks, fit_centroid_head, fuse_features,
                                        score, score_modes)
-from twinlens.operators.modality import attach_images, attach_text, prepare_manifest
+from twinlens.operators.modality import attach_modalities, attach_text, prepare_manifest
 from twinlens.operators.split import split_manifest
 from twinlens.operators.text_prep import text_features
 from twinlens.session import materialize
@@ -37,14 +37,13 @@ def manifest_texts(spark: SparkSession, sf_dir: str, m: DataFrame) -> DataFrame:
 
 
 def attach_features(spark: SparkSession, sf_dir: str, m: DataFrame) -> DataFrame:
-    """Manifest ⟕ text features ⟕ image vectors, then fusion.
+    """Manifest ⟕ (text features ⟗ image vectors), then fusion.
 
     Texts are encoded where they are read (only the manifest's, see
     ``manifest_texts``), so the join carries 32-dim vectors, never whole texts.
     """
     t = text_features(manifest_texts(spark, sf_dir, m), "text", TXT_DIM, hashing="md5")
-    j = attach_text(m, t.select("guid", "txt_feat"), extra=("txt_feat",))
-    j = attach_images(j, fx_image_vec(spark, sf_dir), image_col="img_feat")
+    j = attach_modalities(m, t, fx_image_vec(spark, sf_dir), extra=("txt_feat",))
     return fuse_features(j, "img_feat", "txt_feat", IMG_DIM, TXT_DIM)
 
 
