@@ -58,3 +58,14 @@ def test_loss_falls_on_separable_data(spark):
     losses = [h[1] for h in hist]
     assert losses[-1] < losses[0]
     assert hist[-1][3] > 80.0 and best is not None
+
+
+def test_head_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, f"g{i % 40}", i % 3, rng.normal(size=6).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_no long, guid string, label int, features array<double>")
+    blocks = [Block("img", 0, 3), Block("txt", 3, 6)]
+    heads = [tr.fit_fusion_head(df.repartition(n), None, blocks, hidden=8, epochs=2, lr=0.01, trainers=3)[1]
+             for n in (1, 5)]
+    for (w, b), (w2, b2) in zip(heads[0].layers, heads[1].layers, strict=True):
+        assert np.allclose(w, w2, atol=1e-12) and np.allclose(b, b2, atol=1e-12)

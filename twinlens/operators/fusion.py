@@ -26,8 +26,6 @@ from twinlens.functions.labels import NUM_CLASSES
 # Largest head broadcast to executors (float64 parameters).
 MAX_HEAD_BYTES = 512 * 1024 * 1024
 
-LOGIT_DECIMALS = 9
-
 
 @dataclass
 class Block:
@@ -92,8 +90,8 @@ def _stack(series: pd.Series, width: int) -> np.ndarray:
 
 
 def predict_logits(z: np.ndarray) -> np.ndarray:
-    """Round logits, then the first index of the maximum (ties -> lowest class)."""
-    return np.argmax(np.round(z, LOGIT_DECIMALS), axis=1).astype(np.int32)
+    """First index of the maximum (ties -> lowest class)."""
+    return np.argmax(z, axis=1).astype(np.int32)
 
 
 def _broadcast_head(spark, head: Head):
@@ -163,7 +161,7 @@ def fit_centroid_head(df: DataFrame, blocks: list[Block], features_col: str = "f
 
 def score(df: DataFrame, head: Head, features_col: str = "features",
           logits_col: str = "logits", pred_col: str = "pred") -> DataFrame:
-    """Add logits (rounded to 9 dp) and the predicted class.
+    """Add logits and the predicted class.
 
     The head is a broadcast variable; each Arrow batch is one matrix product.
     """
@@ -173,14 +171,14 @@ def score(df: DataFrame, head: Head, features_col: str = "features",
     @arrow_udf(T.ArrayType(T.DoubleType()))
     def logits_udf(x: pd.Series) -> pd.Series:
         h = bh.value
-        z = np.round(h.forward(_stack(x, width)), LOGIT_DECIMALS)
-        return pd.Series(list(z))
+        return pd.Series(list(h.forward(_stack(x, width))))
 
     from twinlens.functions.arrays import argmax
     return (df.withColumn(logits_col, logits_udf(F.col(features_col)))
             .withColumn(pred_col, argmax(logits_col)))
 
 
+#: Mode names of the ablation.
 MODES = ("multimodal", "text_only", "image_only")
 MODE_ACTIVE = {
     "multimodal": {"img": True, "txt": True},

@@ -1,22 +1,26 @@
 """Training jobs and history reports.
 
 ``fit_fusion_head`` trains Linear -> ReLU -> Dropout -> Linear with
-cross-entropy and AdamW. One Spark job per epoch: every partition runs seeded
-mini-batches (keyed shuffle order, batch 16) from the broadcast parameters,
-and the partitions' parameters and optimiser moments are averaged, weighted by
-rows, with ``treeReduce`` on the executors. Only the averaged head (bounded by
-the layer sizes) reaches the driver. It is local SGD with per-epoch averaging,
-a different trajectory from one sequential optimiser; one partition
-reproduces the sequential loop.
+cross-entropy and AdamW. One Spark job per epoch: ``trainers`` partitions, dealt
+anew each epoch by a hash of the rows, run seeded mini-batches (keyed shuffle
+order, batch 16) from the broadcast parameters. Their parameters and optimiser
+moments are averaged, weighted by rows, as chunks summed on the executors, so
+one averaged head (bounded by the layer sizes) reaches the driver however many
+trainers there are. It is local SGD with per-epoch averaging, a different
+trajectory from one sequential optimiser; one trainer reproduces the
+sequential loop. Files, cores and input partitions don't change the result.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +28,6 @@ from pyspark.sql import types as T
 from twinlens.functions.labels import NUM_CLASSES
 from twinlens.operators.evaluate import accuracy
 from twinlens.operators.fusion import Block, Head, MAX_HEAD_BYTES, score
-from twinlens.session import spread
 
 # ------------------------------------------------------------ reports
 
@@ -130,39 +133,52 @@ def _unpack(buf, shapes) -> list[np.ndarray]:
     return out
 
 
+#: Parameters: partitions that train side by side, and numbers merged in one row.
+TRAINERS = 8
+CHUNK = 1 << 16
+
 _PART_SCHEMA = T.StructType([
-    T.StructField("n", T.LongType()), T.StructField("loss_sum", T.DoubleType()),
+    T.StructField("chunk", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("loss_sum", T.DoubleType()),
     T.StructField("n_batches", T.LongType()), T.StructField("correct", T.LongType()),
-    T.StructField("steps", T.LongType()), T.StructField("blob", T.BinaryType()),
+    T.StructField("steps", T.LongType()), T.StructField("v", T.ArrayType(T.DoubleType())),
 ])
 
 
-def fit_fusion_head(train: DataFrame, val: DataFrame | None, blocks: list[Block],
+def _train_rows(df: DataFrame, epoch: int, seed: int, trainers: int, guid_col: str, label_col: str,
+                features_col: str) -> DataFrame:
+    """An epoch's rows dealt to the trainers and put in its order; ``row_no`` tells equal guids apart."""
+    row = F.col("row_no") if "row_no" in df.columns else F.xxhash64(features_col)
+    data = df.select(F.col(guid_col).alias("_g"), F.col(label_col).cast("int").alias("_y"),
+                     F.col(features_col).alias("_x"), row.alias("_r"))
+    return (data.repartition(trainers, F.xxhash64("_g", "_r", F.lit(epoch), F.lit(seed)))
+            .sortWithinPartitions(epoch_order_key("_g", epoch, seed), "_r", "_y"))
+
+
+def fit_fusion_head(train: DataFrame | Callable[[int], DataFrame], val: DataFrame | None, blocks: list[Block],
                     features_col: str = "features", label_col: str = "label",
                     guid_col: str = "guid", hidden: int = 512, epochs: int = 5,
                     lr: float = 2e-5, batch_size: int = 16, dropout: float = 0.3,
                     weight_decay: float = 0.01, seed: int = 42,
-                    num_classes: int = NUM_CLASSES):
+                    num_classes: int = NUM_CLASSES, trainers: int = TRAINERS):
     """Train the fusion head; returns ``(best_head, last_head, history rows)``.
 
+    ``train`` is a table, or a function of the epoch where features are
+    augmented anew each epoch.
+
     History rows: ``(epoch, train_loss, train_acc, val_acc, is_best)``;
     train loss is the mean of batch means, the best head is kept on a strict
     improvement over the best validation accuracy so far (start 0).
     """
-    spark = train.sparkSession
-    sc = spark.sparkContext
+    rows_of = train if callable(train) else lambda _: train
     d = blocks[-1].stop
     st = init_mlp(d, hidden, num_classes, seed)
     shapes = [p.shape for p in st.params]
     if 3 * sum(int(np.prod(s)) for s in shapes) * 8 > MAX_HEAD_BYTES:
         raise ValueError("head too large to broadcast")
-    # one trainer per partition: spread a table read from fewer files than cores
-    data = spread(train.select(F.col(guid_col).alias("_g"), F.col(label_col).cast("int").alias("_y"),
-                               F.col(features_col).alias("_x")))
     best_acc, best_head, history = 0.0, None, []
     for epoch in range(1, epochs + 1):
-        bstate = sc.broadcast((_pack(st.params + st.m + st.v), st.step))
-        ordered = data.sortWithinPartitions(epoch_order_key("_g", epoch, seed))
+        ordered = _train_rows(rows_of(epoch), epoch, seed, trainers, guid_col, label_col, features_col)
+        bstate = ordered.sparkSession.sparkContext.broadcast((_pack(st.params + st.m + st.v), st.step))
 
         def run(batches, _b=bstate, _e=epoch):
             from pyspark import TaskContext
@@ -197,21 +213,22 @@ def fit_fusion_head(train: DataFrame, val: DataFrame | None, blocks: list[Block]
                 loss_sum, nb, correct, n = loss_sum + loss, nb + 1, correct + c, n + len(buf_x)
             if n == 0:
                 return
-            scaled = [a * n for a in local.params + local.m + local.v]
-            yield pd.DataFrame({"n": [n], "loss_sum": [loss_sum], "n_batches": [nb],
-                                "correct": [correct], "steps": [local.step - step0],
-                                "blob": [_pack(scaled)]})
-
-        parts = ordered.mapInPandas(run, _PART_SCHEMA)
-
-        def merge(a, b):
-            return (a[0] + b[0], a[1] + b[1], a[2] + b[2], a[3] + b[3], max(a[4], b[4]),
-                    a[5] + b[5])
-
-        n, loss_sum, nb, correct, steps, total = (
-            parts.rdd.map(lambda r: (r.n, r.loss_sum, r.n_batches, r.correct, r.steps,
-                                     np.frombuffer(r.blob, dtype=np.float64).copy()))
-            .treeReduce(merge, depth=2))
+            flat = np.concatenate([a.ravel() for a in local.params + local.m + local.v]) * n
+            for c, at in enumerate(range(0, len(flat), CHUNK)):
+                yield pd.DataFrame({"chunk": [c], "n": [n], "loss_sum": [loss_sum], "n_batches": [nb],
+                                    "correct": [correct], "steps": [local.step - step0],
+                                    "v": [flat[at:at + CHUNK]]})
+
+        merged = (ordered.mapInPandas(run, _PART_SCHEMA).groupBy("chunk")
+                  .agg(*[F.sum(c).alias(c) for c in ("n", "loss_sum", "n_batches", "correct")],
+                       F.max("steps").alias("steps"), Summarizer.sum(array_to_vector(F.col("v"))).alias("v"))
+                  .withColumn("v", vector_to_array("v")).collect())
+        bstate.destroy()
+        if not merged:
+            raise ValueError("no training rows")
+        merged.sort(key=lambda r: r.chunk)
+        n, loss_sum, nb, correct, steps = (merged[0][c] for c in ("n", "loss_sum", "n_batches", "correct", "steps"))
+        total = np.concatenate([np.asarray(r.v) for r in merged])
         arrs = _unpack((total / n).tobytes(), shapes * 3)
         st = TrainState(arrs[:4], arrs[4:8], arrs[8:], st.step + int(steps))
         head = Head(layers=[(st.params[0], st.params[1]), (st.params[2], st.params[3])],

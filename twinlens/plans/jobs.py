@@ -28,7 +28,7 @@ from twinlens.operators import evaluate as ev
 from twinlens.operators.audit import audit_rows, audit_summary
 from twinlens.operators.fusion import Block, fuse_features, score, score_modes
 from twinlens.operators.image_prep import SIZE, black_image_feature, grid_encoder, image_features
-from twinlens.operators.modality import attach_images, attach_text, prepare_manifest
+from twinlens.operators.modality import attach_modalities, attach_text, prepare_manifest
 from twinlens.operators.split import split_manifest, split_order_key
 from twinlens.operators.text_prep import text_features
 from twinlens.operators.training import fit_fusion_head, history_frame, mark_improvements
@@ -85,15 +85,14 @@ def blob_features(spark: SparkSession, data_dir: str, spec: FeatureSpec | None =
 
 def attach_features(manifest: DataFrame, texts: DataFrame, imgs: DataFrame,
                     spec: FeatureSpec | None = None) -> DataFrame:
-    """Manifest ⟕ text features ⟕ image features -> ``features`` (image block first).
+    """Manifest ⟕ (text features ⟗ image features) -> ``features`` (image block first).
 
     Missing text is ``''`` (its encoding is the zero vector); a missing or
     undecodable image gets the encoder's output for the black image: one
     constant, never a per-row default raster.
     """
     spec = spec or FeatureSpec()
-    j = attach_text(manifest, texts, extra=("txt_feat",))
-    j = attach_images(j, imgs, image_col="img_feat", ok_col="image_ok")
+    j = attach_modalities(manifest, texts, imgs, extra=("txt_feat",), ok_col="image_ok")
     black = F.array(*[F.lit(float(v)) for v in spec.black_feature()])
     return fuse_features(j, "img_feat", "txt_feat", spec.img_dim, spec.txt_dim, img_missing=black)
 
@@ -114,16 +113,25 @@ def build_features(spark: SparkSession, manifest: DataFrame, data_dir: str,
 def train_job(spark: SparkSession, train_file: str, data_dir: str, out_dir: str,
               spec: FeatureSpec | None = None, epochs: int = 5, lr: float = 2e-5,
               batch_size: int = 16, hidden: int = 512, seed: int = 42) -> DataFrame:
-    """Split, materialise features, train, keep the best head; returns the history."""
+    """Split, train on features augmented anew each epoch, keep the best head; returns the history.
+
+    Texts are encoded once. Training images are flipped and rotated by draws
+    keyed on guid, epoch and seed; validation images are not (I6).
+    """
     spec = spec or FeatureSpec()
     m = prepare_manifest(read_manifest(spark, train_file))
-    s = split_manifest(m, 0.2, seed)
+    s = materialize(split_manifest(m, 0.2, seed), "split-manifest")
     write_split(s.select("row_no", "guid", "tag", "split"), f"{out_dir}/split")
-    fe = materialize(build_features(spark, s, data_dir, spec)
-                     .select("row_no", "guid", "label", "split", "features"), "train-features")
-    best, last, hist = fit_fusion_head(fe.where(F.col("split") == "train"),
-                                       fe.where(F.col("split") == "val"), spec.blocks(),
-                                       hidden=hidden, epochs=epochs, lr=lr,
+    own, held = s.where(F.col("split") == "train"), s.where(F.col("split") == "val")
+    texts = materialize(blob_features(spark, data_dir, spec, guids=manifest_keys(s))[0], "text-features")
+
+    def features(rows: DataFrame, train: bool, epoch: int = 1) -> DataFrame:
+        imgs = blob_features(spark, data_dir, spec, train, epoch, seed, guids=manifest_keys(rows))[1]
+        fe = attach_features(rows, texts, imgs, spec)
+        return materialize(fe.select("row_no", "guid", "label", "features"), "train-features")
+
+    best, last, hist = fit_fusion_head(lambda epoch: features(own, True, epoch), features(held, False),
+                                       spec.blocks(), hidden=hidden, epochs=epochs, lr=lr,
                                        batch_size=batch_size, seed=seed)
     if best is not None:  # only an epoch that improved leaves a head
         save_head(spark, best, f"{out_dir}/best_head")
