@@ -99,3 +99,17 @@ def test_streaming_predictions(spark, tmpdir_path):
     rows = spark.read.parquet(f"{out}/pred").collect()
     assert sorted(r.guid for r in rows) == ["1", "2", "3", "999"]
     assert {r.tag for r in rows} <= {"negative", "neutral", "positive"}
+
+
+def test_text_encoder_plugs_into_the_jobs(spark, tmpdir_path):
+    def encoder():
+        return lambda texts: np.asarray([[len(t), 1.0] for t in texts], dtype=float)
+    for name, text in (("1", "abc"), ("2", "")):
+        with open(f"{tmpdir_path}/{name}.txt", "wb") as fh:
+            fh.write(text.encode("gb18030"))
+    spec = jobs.FeatureSpec(txt_dim=2, text_encoder=encoder, image_size=16)
+    texts, imgs = jobs.blob_features(spark, tmpdir_path, spec)
+    m = spark.createDataFrame([(0, "1"), (1, "2"), (2, "3")], "row_no long, guid string")
+    rows = jobs.attach_features(m, texts, imgs, spec).orderBy("row_no").collect()
+    assert [r.features[spec.img_dim:] for r in rows] == [[3.0, 1.0], [0.0, 1.0], [0.0, 1.0]]
+    assert list(spec.empty_text_feature()) == [0.0, 1.0]

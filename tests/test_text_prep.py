@@ -48,24 +48,18 @@ def test_pluggable_text_encoder(spark):
     assert out == [[6.0, 3.0], [0.0, 0.0]]
 
 
-def test_assign_batches_buckets_grow_with_rows(spark, monkeypatch):
-    monkeypatch.setattr(tp, "MAX_BUCKET_ROWS", 50)
-    df = spark.range(0, 1000).withColumnRenamed("id", "row_no")
-    out = tp.assign_batches(df, batch_size=16, min_buckets=4).collect()
-    buckets = {}
-    for r in out:
-        buckets.setdefault(r.bucket, []).append((r.row_no, r.batch_id))
-    assert len(buckets) == 20                          # ceil(1000 / 50), not the minimum 4
-    assert max(len(v) for v in buckets.values()) < 100   # md5 buckets stay balanced
-    for rows in buckets.values():
-        rows.sort()
-        assert [b for _, b in rows] == [i // 16 for i in range(len(rows))]
+def test_batches_follow_the_row_order(spark):
+    keys = [(7 * i) % 1000 for i in range(1000)]
+    df = spark.createDataFrame([(k,) for k in keys], "row_no long").repartition(5)
+    out = {r.row_no: r.batch_id for r in tp.assign_batches(df, batch_size=16).collect()}
+    assert out == {k: i // 16 for i, k in enumerate(sorted(keys))}
+    assert tp.assign_batches(df.limit(0)).count() == 0
 
 
 def test_pad_batches_longest_and_mask(spark):
     df = spark.createDataFrame([(0, [2, 5, 3]), (1, [2, 3]), (2, [2, 7, 8, 9, 3])],
                                "row_no long, input_ids array<int>")
-    b = tp.assign_batches(df, batch_size=2, min_buckets=1, n_rows=3)
+    b = tp.assign_batches(df, batch_size=2)
     out = {r.row_no: r for r in tp.pad_batches(b).collect()}
     assert out[0].padded_len == 3 and out[1].input_ids == [2, 3, 0]
     assert out[1].attention_mask == [1, 1, 0]

@@ -17,7 +17,6 @@
 from __future__ import annotations
 
 import hashlib
-import math
 import unicodedata
 
 import numpy as np
@@ -44,9 +43,6 @@ SPECIALS = [PAD, UNK, CLS, SEP]
 # Broadcast guard for vocabularies (entries).
 MAX_BROADCAST_VOCAB = 2_000_000
 
-# Largest hash bucket numbered by one window task in ``assign_batches`` (rows).
-MAX_BUCKET_ROWS = 1_000_000
-
 
 def _spaced(col: Column) -> Column:
     """Lower-cased, a space around every Han character."""
@@ -281,25 +277,48 @@ def wordpiece_encode(df: DataFrame, vocab: DataFrame, max_len: int = 128,
 
 # ---------------------------------------------------------------- batches
 
-def assign_batches(df: DataFrame, batch_size: int = 16, min_buckets: int = 8,
-                   order_col: str = "row_no", bucket_key: Column | None = None,
-                   n_rows: int | None = None) -> DataFrame:
-    """``bucket``/``batch_id`` for consecutive rows inside hash buckets.
+def number_rows(df: DataFrame, order_col: str = "row_no", out_col: str = "row_index") -> DataFrame:
+    """Position of every row in the order of the unique ``order_col``, 0 first, with no single-task sort.
+
+    Rows are range-partitioned, sorted and written out with partition and
+    position; one count per partition gives the partition's first number.
+    """
+    at = materialize(df.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col)
+                     .withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    at = at.withColumn("_p", F.shiftright("_at", 33))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = at.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    parts = parts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    place = F.col("_base") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return at.join(parts, "_p").withColumn(out_col, place).drop("_p", "_at", "_base")
+
+
+def assign_batches(df: DataFrame, batch_size: int = 16, order_col: str = "row_no") -> DataFrame:
+    """``batch_id`` of consecutive rows in the order of ``order_col`` (E2); only the last batch may be short."""
+    out = number_rows(df, order_col, "_i")
+    return out.withColumn("batch_id", F.floor(F.col("_i") / batch_size).cast("bigint")).drop("_i")
 
-    The bucket comes from md5 of the unique row key, so a hot guid spreads over
-    all buckets; rows are numbered inside a bucket only (one shuffle, no
-    single-partition step). The bucket count grows with the data: at least
-    ``min_buckets`` and enough that one window task numbers at most
-    ``MAX_BUCKET_ROWS`` rows. ``n_rows`` skips the count when it is known.
+
+def encode_rows(df: DataFrame, vocab: DataFrame, max_len: int = 128, text_col: str = "text",
+                out_col: str = "input_ids") -> DataFrame:
+    """``[CLS]``, the ids of the first ``max_len - 2`` words, ``[SEP]``, without leaving the row.
+
+    ``vocab`` is ``build_vocab``'s: its k tokens are broadcast, checked against
+    ``MAX_BROADCAST_VOCAB``.
     """
-    n = n_rows if n_rows is not None else df.count()
-    n_buckets = max(min_buckets, math.ceil(n / MAX_BUCKET_ROWS))
-    key = bucket_key if bucket_key is not None else F.col(order_col).cast("string")
-    b = (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % n_buckets).cast("int")
-    w = Window.partitionBy("bucket").orderBy(order_col)
-    return (df.withColumn("bucket", b)
-            .withColumn("batch_id", F.floor((F.row_number().over(w) - 1) / batch_size)
-                        .cast("bigint")))
+    rows = vocab.select("token", "token_id").limit(MAX_BROADCAST_VOCAB + 1).collect()
+    if len(rows) > MAX_BROADCAST_VOCAB:
+        raise ValueError("vocabulary exceeds the broadcast guard")
+    known = df.sparkSession.sparkContext.broadcast({r.token: r.token_id for r in rows})
+
+    @arrow_udf(T.ArrayType(T.IntegerType()))
+    def enc(words: pd.Series) -> pd.Series:
+        v = known.value
+        unk = v[UNK]
+        return pd.Series([[v[CLS], *[v.get(w, unk) for w in (() if ws is None else ws)], v[SEP]]
+                          for ws in words], dtype=object)
+
+    return df.withColumn(out_col, enc(F.slice(word_tokens(text_col), 1, max_len - 2)))
 
 
 def pad_batches(df: DataFrame, ids_col: str = "input_ids", mode: str = "longest",
@@ -307,7 +326,7 @@ def pad_batches(df: DataFrame, ids_col: str = "input_ids", mode: str = "longest"
     """Pad ids to the batch's longest (or to ``max_len``) and add the mask."""
     size = F.size(F.col(ids_col))
     if mode == "longest":
-        target = F.max(size).over(Window.partitionBy("bucket", "batch_id"))
+        target = F.max(size).over(Window.partitionBy("batch_id"))
     elif mode == "max_length":
         target = F.lit(max_len)
     else:

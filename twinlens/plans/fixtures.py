@@ -65,6 +65,23 @@ def fx_image_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("embedding").cast("array<double>").alias("px"))
 
 
+def fx_edge_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text; by id, one in six each is blank, padded, or has CR LF or CR line ends."""
+    n, text = F.col("doc_id") % 6, F.col("text")
+    edge = (F.when(n == 0, F.lit(" \r\n\t\u3000")).when(n == 1, F.concat(F.lit("\u3000\r\n "), text, F.lit(" \n")))
+            .when(n == 2, F.replace(text, F.lit(" "), F.lit("\r\n"))).when(n == 3, F.replace(text, F.lit(" "), F.lit("\r")))
+            .otherwise(text))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("guid"), edge.alias("text"))
+
+
+def fx_edge_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raster; by id, one in nine is black and one in seven unreadable."""
+    px = F.col("embedding").cast("array<double>")
+    black = F.when(F.col("vec_id") % 9 == 0, F.transform(px, lambda x: x * 0)).otherwise(px)
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("guid"), black.alias("px"), (F.col("vec_id") % 7 != 0).alias("image_ok"))
+
+
 def fx_batch_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sample, every event: ``(epoch, batch_id, loss)``.
 
@@ -103,6 +120,16 @@ SQL_CTES: dict[str, str] = {
   WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id))""",
     "fx_text": """fx_text AS (
   SELECT CAST(doc_id AS VARCHAR) AS guid, text FROM documents)""",
+    "fx_edge_text": """fx_edge_text AS (
+  SELECT CAST(doc_id AS VARCHAR) AS guid,
+    CASE doc_id % 6 WHEN 0 THEN ' ' || chr(13) || chr(10) || chr(9) || chr(12288)
+      WHEN 1 THEN chr(12288) || chr(13) || chr(10) || ' ' || text || ' ' || chr(10)
+      WHEN 2 THEN replace(text, ' ', chr(13) || chr(10)) WHEN 3 THEN replace(text, ' ', chr(13))
+      ELSE text END AS text FROM documents)""",
+    "fx_edge_image": """fx_edge_image AS (
+  SELECT CAST(vec_id AS VARCHAR) AS guid, vec_id % 7 <> 0 AS image_ok,
+    CASE WHEN vec_id % 9 = 0 THEN list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * 0)
+      ELSE CAST(embedding AS DOUBLE[]) END AS px FROM embeddings)""",
     "fx_image_vec": """fx_image_vec AS (
   SELECT CAST(vec_id AS VARCHAR) AS guid, CAST(embedding AS DOUBLE[]) AS img_feat
   FROM embeddings)""",

@@ -30,7 +30,7 @@ from twinlens.operators.fusion import Block, fuse_features, score, score_modes
 from twinlens.operators.image_prep import SIZE, black_image_feature, grid_encoder, image_features
 from twinlens.operators.modality import attach_modalities, attach_text, prepare_manifest
 from twinlens.operators.split import split_manifest, split_order_key
-from twinlens.operators.text_prep import text_features
+from twinlens.operators.text_prep import text_features, text_features_with
 from twinlens.operators.training import fit_fusion_head, history_frame, mark_improvements
 from twinlens.sources.blobs import (first_per_guid, manifest_keys, read_image_blobs,
                                     read_text_blobs)
@@ -48,6 +48,7 @@ class FeatureSpec:
     image_size: int = SIZE
     encoding: str = "gb18030"
     image_encoder: object = grid_encoder
+    text_encoder: object = None   # factory of list[str] -> array[n, txt_dim]; None: hashed bag of words
 
     def blocks(self) -> list[Block]:
         return [Block("img", 0, self.img_dim), Block("txt", self.img_dim, self.img_dim + self.txt_dim)]
@@ -56,6 +57,18 @@ class FeatureSpec:
         """Image feature of the default black image (missing/undecodable)."""
         return black_image_feature(self.image_encoder(), self.image_size)
 
+    def encode_texts(self, texts: DataFrame) -> DataFrame:
+        """Adds ``txt_feat`` by the text encoder."""
+        if self.text_encoder is None:
+            return text_features(texts, "text", self.txt_dim)
+        return text_features_with(texts, self.text_encoder, self.txt_dim)
+
+    def empty_text_feature(self) -> np.ndarray:
+        """Text feature of the empty text: missing texts and the image-only mode."""
+        if self.text_encoder is None:
+            return np.zeros(self.txt_dim)
+        return np.asarray(self.text_encoder()([""]), dtype=np.float64)[0]
+
     def masked_image_feature(self) -> np.ndarray:
         """Image feature of an all-zero tensor after normalisation (text-only mode)."""
         return self.image_encoder()(np.zeros((1, 3, self.image_size, self.image_size)))[0]
@@ -73,8 +86,7 @@ def blob_features(spark: SparkSession, data_dir: str, spec: FeatureSpec | None =
     ``guids`` (``manifest_keys``) restricts the work to the manifest's blobs.
     """
     spec = spec or FeatureSpec()
-    texts = text_features(read_text_blobs(spark, data_dir, spec.encoding, dedupe=False,
-                                          guids=guids), "text", spec.txt_dim)
+    texts = spec.encode_texts(read_text_blobs(spark, data_dir, spec.encoding, dedupe=False, guids=guids))
     texts = first_per_guid(texts.select("guid", "path", "txt_feat"), "path")
     imgs = image_features(read_image_blobs(spark, data_dir, dedupe=False, guids=guids),
                           "image", "guid", spec.image_encoder, spec.img_dim, train, epoch, seed,
@@ -87,14 +99,14 @@ def attach_features(manifest: DataFrame, texts: DataFrame, imgs: DataFrame,
                     spec: FeatureSpec | None = None) -> DataFrame:
     """Manifest ⟕ (text features ⟗ image features) -> ``features`` (image block first).
 
-    Missing text is ``''`` (its encoding is the zero vector); a missing or
-    undecodable image gets the encoder's output for the black image: one
+    Missing text gets the encoding of ``''``; a missing or undecodable image gets the encoder's output for the black image: one
     constant, never a per-row default raster.
     """
     spec = spec or FeatureSpec()
     j = attach_modalities(manifest, texts, imgs, extra=("txt_feat",), ok_col="image_ok")
     black = F.array(*[F.lit(float(v)) for v in spec.black_feature()])
-    return fuse_features(j, "img_feat", "txt_feat", spec.img_dim, spec.txt_dim, img_missing=black)
+    empty = F.array(*[F.lit(float(v)) for v in spec.empty_text_feature()])
+    return fuse_features(j, "img_feat", "txt_feat", spec.img_dim, spec.txt_dim, img_missing=black, txt_missing=empty)
 
 
 def build_features(spark: SparkSession, manifest: DataFrame, data_dir: str,
@@ -164,12 +176,12 @@ def ablation_job(spark: SparkSession, split_path: str, data_dir: str, head_path:
     """Accuracy for multimodal / text_only / image_only in one pass.
 
     text_only replaces the image block by the encoder output of a zero tensor;
-    image_only replaces the text block by the encoding of no tokens (zeros).
+    image_only replaces the text block by the encoding of the empty text.
     """
     spec = spec or FeatureSpec()
     head = load_head(spark, head_path)
     fe = _val_features(spark, split_path, data_dir, spec)
-    consts = {"img": spec.masked_image_feature()[None, :], "txt": np.zeros((1, spec.txt_dim))}
+    consts = {"img": spec.masked_image_feature()[None, :], "txt": spec.empty_text_feature()[None, :]}
     return ev.ablation_report(score_modes(fe, head, consts=consts))
 
 

@@ -21,13 +21,13 @@ from twinlens.operators.audit import audit_probabilities, audit_rows, audit_summ
 from twinlens.operators.fusion import centroids
 from twinlens.operators.modality import attach_images, attach_text, prepare_manifest
 from twinlens.operators.split import split_counts, split_order_key
-from twinlens.operators.text_prep import (assign_batches, build_vocab, encode_words, pad_batches,
-                                          text_features)
+from twinlens.operators.text_prep import (assign_batches, build_vocab, encode_rows, encode_words,
+                                          pad_batches, text_features)
 from twinlens.operators.training import batch_mean_loss, best_epoch, mark_improvements
 from twinlens.plans import pipeline as pl
-from twinlens.plans.fixtures import (TXT_DIM, fx_batch_loss, fx_history, fx_image_grid,
+from twinlens.plans.fixtures import (TXT_DIM, fx_batch_loss, fx_edge_image, fx_edge_text, fx_history, fx_image_grid,
                                      fx_image_vec, fx_manifest, fx_test_manifest, fx_text, with_ctes)
-from twinlens.session import spread
+from twinlens.session import materialize, spread
 from twinlens.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,9 +155,9 @@ def q_split_counts(spark, sf):
 SELECT guid, substring({_strip_sql('text')}, 1, 50) AS preview,
        CAST(length({_strip_sql('text')}) AS BIGINT) AS n_chars,
        length({_strip_sql('text')}) = 0 AS is_empty
-FROM fx_text""", "fx_text"))
+FROM fx_edge_text""", "fx_edge_text"))
 def q_strip(spark, sf):
-    t = fx_text(spark, sf)
+    t = fx_edge_text(spark, sf)
     s = strip_ws("text")
     return t.select("guid", preview(s).alias("preview"),
                     F.length(s).cast("bigint").alias("n_chars"), is_blank("text").alias("is_empty"))
@@ -165,9 +165,9 @@ def q_strip(spark, sf):
 
 @register("gb18030_decode", with_ctes(f"""
 SELECT guid, {_strip_sql("replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))")} AS text
-FROM fx_text""", "fx_text"))
+FROM fx_edge_text""", "fx_edge_text"))
 def q_gb18030(spark, sf):
-    t = spread(fx_text(spark, sf)).select("guid", encode_gb18030(F.col("text")).alias("blob"))
+    t = spread(fx_edge_text(spark, sf)).select("guid", encode_gb18030(F.col("text")).alias("blob"))
     return t.select("guid", decode_text(F.col("blob"), "gb18030").alias("text"))
 
 
@@ -233,27 +233,20 @@ def q_encode_text(spark, sf):
 
 
 @register("pad_batch", _tok_query(f"""
-SELECT guid, bucket, batch_id, seq_len, max(seq_len) OVER (PARTITION BY bucket, batch_id) AS padded_len,
-       seq_len AS n_mask
-FROM (SELECT guid, bucket, seq_len,
-             CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY row_no) - 1) / 16) AS BIGINT)
-               AS batch_id
+SELECT guid, batch_id, seq_len, max(seq_len) OVER (PARTITION BY batch_id) AS padded_len, seq_len AS n_mask
+FROM (SELECT guid, seq_len,
+             CAST(floor((row_number() OVER (ORDER BY row_no) - 1) / 16) AS BIGINT) AS batch_id
       FROM (SELECT guid, CAST(guid AS BIGINT) AS row_no,
-                   CAST(('0x' || substr(md5(guid), 1, 8))::BIGINT % 8 AS INTEGER) AS bucket,
                    CAST(least(len(ws), {MAX_LEN - 2}) + 2 AS INTEGER) AS seq_len
             FROM tok) x) y"""))
 def q_pad_batch(spark, sf):
     t = fx_text(spark, sf)
-    e = encode_words(t, build_vocab(t, VOCAB_SIZE), MAX_LEN)
-    ids = (e.groupBy("guid").agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_s"))
-           .select("guid", F.transform("_s", lambda x: x["token_id"]).alias("input_ids"),
-                   F.col("guid").cast("bigint").alias("row_no")))
-    # at least 8 buckets; the SQL's fixed 8 holds up to 8 * MAX_BUCKET_ROWS rows.
-    # One row per text: the scan's count (parquet metadata) sizes the buckets.
-    b = assign_batches(ids, 16, 8, "row_no", bucket_key=F.col("guid"), n_rows=t.count())
-    p = pad_batches(b, "input_ids", "longest")
+    e = encode_rows(spread(t), build_vocab(t, VOCAB_SIZE), MAX_LEN)
+    # written out: the range partitioning of the batches samples its input
+    ids = materialize(e.select("guid", F.col("guid").cast("bigint").alias("row_no"), "input_ids"), "encoded")
+    p = pad_batches(assign_batches(ids, 16, "row_no"), "input_ids", "longest")
     n_mask = F.aggregate("attention_mask", F.lit(0), lambda acc, x: acc + x)
-    return p.select("guid", "bucket", "batch_id", "seq_len", "padded_len", n_mask.alias("n_mask"))
+    return p.select("guid", "batch_id", "seq_len", "padded_len", n_mask.alias("n_mask"))
 
 
 # ------------------------------------------------------ fusion, scoring
@@ -437,27 +430,27 @@ SELECT count(*) AS total,
        CAST(sum(CASE WHEN t.guid IS NOT NULL AND length({_strip_sql('t.text')}) = 0 THEN 1 ELSE 0 END)
             AS BIGINT) AS n_text_empty,
        CAST(sum(CASE WHEN i.guid IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_image,
-       CAST(sum(CASE WHEN i.guid IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_image_readable,
-       CAST(sum(CASE WHEN list_max(i.img_feat) = 0 AND list_min(i.img_feat) = 0 THEN 1 ELSE 0 END)
+       CAST(sum(CASE WHEN i.image_ok THEN 1 ELSE 0 END) AS BIGINT) AS n_image_readable,
+       CAST(sum(CASE WHEN list_max(i.px) = 0 AND list_min(i.px) = 0 THEN 1 ELSE 0 END)
             AS BIGINT) AS n_image_black
-FROM norm_manifest m LEFT JOIN fx_text t ON t.guid = m.guid
-LEFT JOIN fx_image_vec i ON i.guid = m.guid""", "norm_manifest", "fx_text", "fx_image_vec"))
+FROM norm_manifest m LEFT JOIN fx_edge_text t ON t.guid = m.guid
+LEFT JOIN fx_edge_image i ON i.guid = m.guid""", "norm_manifest", "fx_edge_text", "fx_edge_image"))
 def q_audit_corpus(spark, sf):
     m = prepare_manifest(fx_manifest(spark, sf))
-    rows = audit_rows(m, fx_text(spark, sf), fx_image_grid(spark, sf), px_col="px")
+    rows = audit_rows(m, fx_edge_text(spark, sf), fx_edge_image(spark, sf), px_col="px")
     return audit_summary(rows)
 
 
 @register("audit_probabilities", _val_wide_query("""
 SELECT CASE pred WHEN 0 THEN 'negative' WHEN 1 THEN 'neutral' ELSE 'positive' END AS pred_tag,
        count(*) AS n,
-       CAST(sum(CASE WHEN exp(z0 - mx) / s > 0.9 THEN 1 ELSE 0 END) AS BIGINT) AS n_over,
+       CAST(sum(CASE WHEN exp(z0 - mx) / s > 0.4 THEN 1 ELSE 0 END) AS BIGINT) AS n_over,
        round(avg(exp(z0 - mx) / s), 6) AS mean_p
 FROM (SELECT *, exp(z0 - mx) + exp(z1 - mx) + exp(z2 - mx) AS s
       FROM (SELECT *, greatest(z0, z1, z2) AS mx FROM val_wide) a) b
 GROUP BY 1"""))
 def q_audit_probabilities(spark, sf):
-    a = audit_probabilities(pl.scored_val(spark, sf), "logits", "pred", 0, 0.9)
+    a = audit_probabilities(pl.scored_val(spark, sf), "logits", "pred", 0, 0.4)
     return overconfidence_report(a, 0)
 
 
