@@ -107,6 +107,8 @@ def test_text_encoder_plugs_into_the_jobs(spark, tmpdir_path):
     for name, text in (("1", "abc"), ("2", "")):
         with open(f"{tmpdir_path}/{name}.txt", "wb") as fh:
             fh.write(text.encode("gb18030"))
+    with open(f"{tmpdir_path}/1.jpg", "wb") as fh:
+        fh.write(b"corrupt")
     spec = jobs.FeatureSpec(txt_dim=2, text_encoder=encoder, image_size=16)
     texts, imgs = jobs.blob_features(spark, tmpdir_path, spec)
     m = spark.createDataFrame([(0, "1"), (1, "2"), (2, "3")], "row_no long, guid string")
