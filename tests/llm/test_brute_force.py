@@ -132,12 +132,11 @@ def test_keep_one(docs, rows):
     assert ids.count(4) == 1 and 2 not in ids and 1 in ids and ids.count(None) == 1
 
 
-def test_suffix_dedup(docs, rows, none):
+def check_suffix_dedup(texts, got):
+    """``got`` has the rows of ``report`` by doc_id; ``texts`` are ``(doc_id, bytes)``."""
     seen = collections.Counter()
-    texts = [(i, (t or "").encode()) for i, t, *_ in rows]
     for _, b in texts:
         seen.update(b[k:k + 400] for k in range(len(b) - 399))
-    got = by_id(suffix_dedup.report(docs))
     for i, b in texts:
         gone = [False] * len(b)
         for k in range(len(b) - 399):
@@ -148,14 +147,25 @@ def test_suffix_dedup(docs, rows, none):
         for r in got[i]:
             assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (
                 len(b), len(b) - len(kept), runs, hashlib.sha256(kept).hexdigest())
+
+
+def test_suffix_dedup(docs, rows, none):
+    check_suffix_dedup([(i, (t or "").encode()) for i, t, *_ in rows], by_id(suffix_dedup.report(docs)))
     assert suffix_dedup.report(none).count() == 0
 
 
-def test_suffix_dedup_splits_names(docs, rows, monkeypatch):
-    expected = sorted(map(tuple, suffix_dedup.report(docs).collect()), key=str)
+def test_suffix_dedup_tells_many_contexts_apart(spark, docs, rows, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "NAME_ROWS", 1)
-    monkeypatch.setattr(suffix_dedup, "BATCH", 2)
-    assert sorted(map(tuple, suffix_dedup.report(docs).collect()), key=str) == expected
+    check_suffix_dedup([(i, (t or "").encode()) for i, t, *_ in rows], by_id(suffix_dedup.report(docs)))
+    rng = np.random.default_rng(5)
+    common = prose(99, 400)[:1500]
+    made = []
+    for i, n in enumerate([398, 399, 400, 401, 407, 430, 600, 1100] * 5):
+        at = int(rng.integers(0, 3 if i % 3 else len(common) - n))
+        made.append((i, prose(200 + i, (0, 3, 90)[i % 3]) + common[at:at + n] + prose(300 + i, (90, 3, 0)[i // 8 % 3])))
+    got = by_id(suffix_dedup.report(spark.createDataFrame(made, "doc_id long, text string")))
+    check_suffix_dedup([(i, t.encode()) for i, t in made], got)
+    assert sum(r.n_removed > 0 for own in got.values() for r in own) > 20
 
 
 def luhn(d):

@@ -16,8 +16,12 @@ follow from it:
    step by step leftwards of the sampled suffix: a window's name follows from
    that of the window one byte to its right. The tuples of a name lie together
    after Spark's external sort (sorted runs on disk, merged by a priority
-   queue), and stream through a task in bounded batches. A name with very many
-   contexts is split by window offset.
+   queue), and stream through a task in bounded batches.
+4. Names with very many contexts are never brought together. Their windows are
+   told apart in levels: a range of offsets is named by the bytes that all its
+   windows share, ranges whose name occurs once are out, the others are cut
+   into smaller ranges, down to single windows. A level only counts names, with
+   partial sums before any shuffle.
 
 All windows of a context hold its gram, so those found twice cover one run of
 bytes, given by the least and the greatest offset. Texts are read as UTF-8
@@ -43,11 +47,13 @@ from twinlens.session import materialize
 
 #: Contract value: length of the strings.
 LENGTH = 400
-#: Parameters: gram length, bytes handled at once, contexts of a name handled by one task, tuples per batch.
+#: Parameters: gram length, bytes handled at once, contexts of a name handled by one task, tuples per batch,
+#: offsets in a range by level (each a multiple of the next).
 GRAM = 48
 STEP = 1 << 19
 NAME_ROWS = 8192
 BATCH = 4096
+WIDTHS = (48, 8, 1)
 
 LEFT = LENGTH - GRAM
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -143,12 +149,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        whole_text("text").alias("text"))
 
 
-def window_names(contexts: list[bytes], left: np.ndarray, grams: np.ndarray, first: np.ndarray, last: np.ndarray
-                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(name, row, offset)`` of each context's whole windows with ``first <= offset < last``.
+def range_names(contexts: list[bytes], left: np.ndarray, grams: np.ndarray, width: int = 1
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(name, row, first)`` of each context's ranges of ``width`` offsets that hold a whole window.
 
-    The offset counts bytes leftwards from the sampled suffix to the window's
-    start; the name covers gram, offset and the window's bytes.
+    An offset counts bytes leftwards from the sampled suffix to the window's
+    start. A range starts at ``first``; its name covers gram, ``first`` and the
+    bytes that all its windows share. With a width of one, that is the window.
     """
     data = np.zeros((len(contexts), LEFT + LENGTH), np.uint8)
     size = np.zeros(len(contexts), np.int64)
@@ -156,13 +163,13 @@ def window_names(contexts: list[bytes], left: np.ndarray, grams: np.ndarray, fir
         size[i] = len(c)
         data[i, LEFT - left[i]:LEFT - left[i] + len(c)] = np.frombuffer(c, np.uint8)
     sums = _prefix(data)
-    d = np.arange(LEFT + 1)
-    h = (sums[:, LEFT - d + LENGTH] - sums[:, LEFT - d]) * _INV[LEFT - d]
-    h = _mixed(h ^ (d.astype(np.uint64) * _MULT)) ^ (grams[:, None] * _MIX)
-    whole = ((d <= left[:, None]) & (LENGTH - d <= (size - left)[:, None])
-             & (d >= first[:, None]) & (d < last[:, None]))
-    row, offset = np.nonzero(whole)
-    return h[whole], row, offset
+    first = np.arange(0, LEFT + 1, width)
+    last = np.minimum(first + width - 1, LEFT)
+    h = (sums[:, LEFT - last + LENGTH] - sums[:, LEFT - first]) * _INV[LEFT - first]
+    h = _mixed(h ^ (first.astype(np.uint64) * _MULT)) ^ (grams[:, None] * _MIX)
+    least = LENGTH - (size - left)  # the first offset whose window ends inside the text
+    row, at = np.nonzero(np.maximum(first, least[:, None]) <= np.minimum(last, left[:, None]))
+    return h[row, at], row, first[at]
 
 
 def _twice(name: np.ndarray) -> np.ndarray:
@@ -176,14 +183,13 @@ def _twice(name: np.ndarray) -> np.ndarray:
 
 
 def _induce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Least and greatest offset of the windows found twice, per context; rows arrive ordered by gram and part.
+    """Least and greatest offset of the windows found twice, per context; rows arrive ordered by gram.
 
-    Keeps the window names of whole grams only, up to BATCH contexts (more
-    where one gram has more, whose names are split into parts by offset).
+    Keeps the window names of whole grams only, up to BATCH contexts and one gram's more.
     """
     ids: list[np.ndarray] = []
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    count, last_key = 0, None
+    count, last_gram = 0, None
 
     def flush() -> pd.DataFrame:
         name, row, offset = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -198,32 +204,64 @@ def _induce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         if not len(b):
             continue
-        gram, part = b["gram"].to_numpy(np.int64), b["part"].to_numpy(np.int64)
-        edges = np.flatnonzero((gram[1:] != gram[:-1]) | (part[1:] != part[:-1])) + 1
+        gram = b["gram"].to_numpy(np.int64)
+        edges = np.flatnonzero(gram[1:] != gram[:-1]) + 1
         start = 0
         for end in [*edges.tolist(), len(b)]:
             if end < len(b) and end - start < BATCH and count + end - start < BATCH:
                 continue  # take several grams together
             for i in range(start, end, BATCH):
                 rows = b.iloc[i:min(end, i + BATCH)]
-                key = (int(gram[i]), int(part[i]))
-                if count >= BATCH and key != last_key:
+                if count >= BATCH and int(gram[i]) != last_gram:
                     yield flush()
                     ids, parts, count = [], [], 0
-                n = rows["parts"].to_numpy(np.int64)
-                p = rows["part"].to_numpy(np.int64)
-                name, row, offset = window_names(
-                    rows["bytes"].tolist(), rows["left"].to_numpy(np.int64),
-                    rows["gram"].to_numpy(np.int64).view(np.uint64), p * (LEFT + 1) // n, (p + 1) * (LEFT + 1) // n)
+                own = rows["gram"].to_numpy(np.int64)
+                name, row, offset = range_names(rows["bytes"].tolist(), rows["left"].to_numpy(np.int64),
+                                                own.view(np.uint64))
                 parts.append((name, row + count, offset))
-                ids.append((rows["gram"].to_numpy(np.int64), rows["context"].to_numpy(np.int64)))
+                ids.append((own, rows["context"].to_numpy(np.int64)))
                 count += len(rows)
-                last_key = (int(gram[min(end, i + BATCH) - 1]), int(part[min(end, i + BATCH) - 1]))
+                last_gram = int(own[-1])
             start = end
     if count:
         yield flush()
 
 
+def _named(width: int, above: int | None):
+    """Names of the ranges of ``width`` offsets, of those inside the ``open`` ranges of width ``above`` if given."""
+    def names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i in range(0, len(b), BATCH // 4):
+                rows = b.iloc[i:i + BATCH // 4]
+                gram = rows["gram"].to_numpy(np.int64)
+                name, row, first = range_names(rows["bytes"].tolist(), rows["left"].to_numpy(np.int64),
+                                               gram.view(np.uint64), width)
+                if above is not None:
+                    is_open = np.zeros((len(rows), LEFT // above + 1), bool)
+                    for j, own in enumerate(rows["open"]):
+                        is_open[j, np.asarray(own) // above] = True
+                    keep = is_open[row, first // above]
+                    name, row, first = name[keep], row[keep], first[keep]
+                yield pd.DataFrame({"gram": gram[row], "context": rows["context"].to_numpy(np.int64)[row],
+                                    "first": first, "name": name.view(np.int64)})
+
+    return names
+
+
+def told_apart(tuples: DataFrame) -> DataFrame:
+    """``(gram, context, low, high)``: what ``_induce`` gives, level by level without bringing a gram together."""
+    above, ranges = None, None
+    for width in WIDTHS:
+        rows = tuples if above is None else tuples.join(
+            ranges.groupBy("gram", "context").agg(F.collect_list("first").alias("open")), ["gram", "context"])
+        named = materialize(rows.mapInPandas(
+            _named(width, above), "gram long, context long, first long, name long"), "range-names")
+        twice = materialize(named.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+                            .select("name"), "range-twice")
+        ranges, above = named.join(twice, "name"), width
+    return ranges.groupBy("gram", "context").agg(F.min("first").alias("low"), F.max("first").alias("high"))
+
+
 def repeated(docs: DataFrame) -> DataFrame:
     """``(doc_id, key, start, end)``: runs of bytes that cover all repeated strings, possibly overlapping."""
     all_suffixes = materialize(suffixes(docs), "suffixes")
@@ -233,9 +271,9 @@ def repeated(docs: DataFrame) -> DataFrame:
     contexts = materialize(found.groupBy("gram", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("at", "doc_id", "key")).alias("where")), "contexts")
     several = materialize(contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1).select(
-        "gram", F.least(F.ceil(F.col("m") / NAME_ROWS), F.lit(LEFT + 1)).alias("parts")), "names")
+        "gram", (F.col("m") > NAME_ROWS).alias("many")), "names")
     wanted = contexts.join(several, "gram").select(
-        "where.doc_id", "where.key", F.struct("where.at", "gram", "context", "parts").alias("w"))
+        "where.doc_id", "where.key", F.struct("where.at", "gram", "context", "many").alias("w"))
     wanted = wanted.groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(F.collect_list("w").alias("w"))
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -244,20 +282,24 @@ def repeated(docs: DataFrame) -> DataFrame:
             for text, want in zip(b["text"], b["w"], strict=True):
                 raw = _raw(text)
                 for w in want:
-                    out.append((w["gram"], w["context"], w["parts"], *_context(raw, w["at"])))
+                    out.append((w["gram"], w["context"], w["many"], *_context(raw, w["at"])))
                     if len(out) >= 4 * BATCH:
-                        yield pd.DataFrame(out, columns=["gram", "context", "parts", "left", "bytes"])
+                        yield pd.DataFrame(out, columns=["gram", "context", "many", "left", "bytes"])
                         out = []
-            yield pd.DataFrame(out, columns=["gram", "context", "parts", "left", "bytes"])
+            yield pd.DataFrame(out, columns=["gram", "context", "many", "left", "bytes"])
 
     texts = _keyed(docs).join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")))
     # equal rows fetch the same contexts: one of them is enough
     texts = texts.select("text", "w", "doc_id", "key").dropDuplicates(["doc_id", "key"]) if _has_twins(docs) else texts
     tuples = texts.select("text", "w").mapInPandas(
-        fetch, "gram long, context long, parts long, left long, bytes binary")
-    tuples = tuples.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    induced = (tuples.repartition("gram", "part").sortWithinPartitions("gram", "part")
+        fetch, "gram long, context long, many boolean, left long, bytes binary")
+    crowded = not several.where("many").isEmpty()
+    if crowded:
+        tuples = materialize(tuples, "tuples")
+    induced = (tuples.where(~F.col("many")).repartition("gram").sortWithinPartitions("gram")
                .mapInPandas(_induce, "gram long, context long, low long, high long"))
+    if crowded:
+        induced = induced.union(told_apart(tuples.where("many")))
     induced = induced.select("gram", "context", "low", "high", F.lit(False).alias("whole"))
     twice = contexts.where(F.col("n") > 1).select("gram", "context", F.lit(0).cast("long").alias("low"), F.lit(LEFT).cast(
         "long").alias("high"), F.lit(True).alias("whole"))
