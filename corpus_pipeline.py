@@ -18,8 +18,8 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the divergence rules keep."""
-    return quality_divergence.judge(docs, docs.columns).where("kept").select("row.*")
+    """Documents that the divergence rules keep, the check against the longer word lists among them."""
+    return quality_divergence.judge(docs, docs.columns, whole=True).where("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
