@@ -301,6 +301,42 @@ def test_decontamination(spark, docs, none):
     assert len(decontaminate_bm25.indexes(bench, max_items=10)) > 4
 
 
+def test_decontamination_of_altered_copies(spark):
+    """Every item with its last word dropped or one word changed; a question alone is no copy."""
+    items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()]
+    ix = decontaminate_bm25.Index(items)
+    around = " ".join(f"zq{k}x" for k in range(150))
+    last = changed = alone = 0
+
+    def found(i, words):
+        return any(h[0] == i for h in ix.hits(f"{around} {' '.join(words)} {around}"))
+
+    def shingles(words):
+        t = decontaminate_bm25.terms(" ".join(words))
+        return {tuple(t[k:k + 5]) for k in range(len(t) - 4)}
+
+    for i, text in items:
+        question, answer = decontaminate_bm25.question_and_answer(text)
+        w = text.split()
+        if question != answer:
+            assert len(w) > len(answer)
+            asked = w[:-len(answer)] if len(decontaminate_bm25.terms(" ".join(w))) == len(w) else None
+            if asked and b" ".join(answer) not in b" ".join(question):
+                alone += 1
+                assert not found(i, asked)
+        if min(len(question), len(answer)) < 2:
+            continue  # a part of one word is either there or not
+        assert found(i, w) and found(i, w[:-1])
+        last += 1
+        whole = shingles(w)
+        for k in range(0, len(w), 3):
+            other = [*w[:k], "zzchanged" + w[k][-1] * (w[k][-1] in ".?!"), *w[k + 1:]]
+            if len(whole & shingles(other)) >= 0.8 * len(whole):
+                changed += 1
+                assert found(i, other)
+    assert last > 150 and changed > 1500 and alone > 100
+
+
 def test_wand_finds_all_above_threshold():
     rng = np.random.default_rng(4)
     ix = decontaminate_bm25.Index([(i, prose(i, int(rng.integers(3, 40)))) for i in range(60)])

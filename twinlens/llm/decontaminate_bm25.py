@@ -3,7 +3,9 @@
 An inverted index of the test items is built once from the benchmark table and
 broadcast; every training text is cut into overlapping passages, each passage
 is a query, and all items that score above the threshold are checked for
-overlap of both their question and their answer with the passage.
+overlap of both their question and their answer with the passage. A part of
+few shingles, which one altered word can bring below the limit, also passes by
+its words, if the item as a whole keeps enough of its shingles.
 
 Scores are shares of the item's own score (the sum of its terms' weights), so
 one threshold fits long and short items. A passage is twice as long as the
@@ -40,6 +42,8 @@ POSTING_BLOCK = 4
 MIN_PASSAGE = 128
 SHINGLE = 5
 MIN_OVERLAP = 0.8
+#: Parts of fewer shingles than this lose the overlap by one altered word.
+SHORT_PART = round(SHINGLE / (1 - MIN_OVERLAP))
 MAX_ITEMS = 20_000
 
 _TO_TERMS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
@@ -68,6 +72,19 @@ def question_and_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     return terms(" ".join(parts[:-1])), terms(parts[-1])
 
 
+def words_there(part: list[bytes], other: list[bytes], whole: set[tuple[bytes, ...]], passage: list[bytes]) -> bool:
+    """True if the part's words, all but one or a fifth of them and never under half, lie where the item's shingles do.
+
+    The place reaches from the first of the passage's words in a shingle of the item to the last,
+    and as many words beyond as the part has; the words of the item's other part there don't count.
+    """
+    n = len(next(iter(whole)))
+    at = [i for i in range(len(passage) - n + 1) if tuple(passage[i:i + n]) in whole]
+    near = Counter(passage[max(0, at[0] - len(part)):at[-1] + n + len(part)])
+    there = sum((Counter(part) & (near - Counter(other))).values())
+    return len(part) - there <= max(1.0, (1 - MIN_OVERLAP) * len(part)) and 2 * there >= len(part)
+
+
 class Index:
     """Postings by item, and the largest weight of each term in each block of items.
 
@@ -81,7 +98,9 @@ class Index:
         seen = Counter(t for _, c, _ in bags for t in c)
         bags.sort(key=lambda x: (max(x[1], key=lambda t: (seen[t], t)), sum(x[1].values()), x[0]))
         self.ids = [i for i, _, _ in bags]
-        self.parts = [tuple(map(_shingles, question_and_answer(t))) for _, _, t in bags]
+        self.words = [question_and_answer(t) for _, _, t in bags]
+        self.parts = [tuple(map(_shingles, qa)) for qa in self.words]
+        self.whole = [_shingles(terms(t)) for _, _, t in bags]
         lengths = [sum(c.values()) for _, c, _ in bags]
         mean = sum(lengths) / max(1, len(lengths))
         idf = {t: math.log(1 + (len(bags) - n + 0.5) / (n + 0.5)) for t, n in seen.items()}
@@ -179,11 +198,25 @@ class Index:
             found = self.search(query.tolist(), blocks.tolist(), threshold)
             inside = _shingle_sets(ts[a:a + self.passage]) if found else {}
             for k, score in found:
-                q, w = (sum(s in inside[len(s)] for s in part) / len(part) for part in self.parts[k])
-                if q >= MIN_OVERLAP and w >= MIN_OVERLAP and (k not in best or score > best[k][1]):
+                q, w = (_overlap(part, inside) for part in self.parts[k])
+                if (k not in best or score > best[k][1]) and self._copied(k, (q, w), inside, ts[a:a + self.passage]):
                     best[k] = (self.ids[k], score, q, w, a)
         return [best[k] for k in sorted(best)]
 
+    def _copied(self, k: int, overlaps: tuple[float, float], inside: dict[int, set], passage: list[bytes]) -> bool:
+        """True if question and answer of an item overlap enough, a short one by its words."""
+        low = [j for j in (0, 1) if overlaps[j] < MIN_OVERLAP]
+        if not low:
+            return True
+        return (all(len(self.parts[k][j]) < SHORT_PART for j in low)
+                and _overlap(self.whole[k], inside) >= MIN_OVERLAP
+                and all(words_there(self.words[k][j], self.words[k][1 - j], self.whole[k], passage) for j in low))
+
+
+def _overlap(part: set[tuple[bytes, ...]], inside: dict[int, set[tuple[bytes, ...]]]) -> float:
+    """The share of the part's shingles that the passage has."""
+    return sum(s in inside[len(s)] for s in part) / len(part)
+
 
 def _shingle_sets(ts: list[bytes]) -> dict[int, set[tuple[bytes, ...]]]:
     return {n: {tuple(ts[i:i + n]) for i in range(len(ts) - n + 1)} for n in range(1, SHINGLE + 1)}
