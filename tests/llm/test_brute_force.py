@@ -372,6 +372,27 @@ def test_url_redirects(spark):
     assert url_redirects.judge(pages.limit(0)).count() == 0
 
 
+def test_link_targets_that_are_no_pages(spark):
+    def canonical(to):
+        return f"<link rel='canonical' href='{to}'>"
+
+    def refresh(to):
+        return f"<meta http-equiv='refresh' content='0; url={to}'>"
+
+    rows = [(1, "http://a.net/x", canonical("http://b.com/de/9")), (2, "http://a2.net/x", refresh("https://b.com/de/9.html")),
+            (3, "http://c.net/x", canonical("//B.com/de/8")),
+            (4, "http://d.net/x", canonical("http://b.com/de/7") + refresh("http://f.com/fr/1")),
+            (5, "http://e.net/x", canonical("/de/9")), (6, "http://g.net/s/p?q=/z/", canonical("page2")),
+            (7, "http://g.net/s/page2", refresh("//b.com/de/6")), (8, "http://h.net", canonical("k/../page3")),
+            (9, "http://h.net/page3", canonical("http://b.com/de/5")), (10, "http://i.net/x", canonical("mailto:a@b.com")),
+            (11, None, canonical("page2")), (12, "no scheme", canonical("//b.com/de/4"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_redirects.judge(pages).collect()}
+    blocked = {i for i, (_, v) in got.items() if v == "block"}
+    assert blocked == {1, 2, 3, 6, 7, 8, 9} and len(got) == len(rows)
+    assert all(rule is None for rule, _ in got.values())
+
+
 def test_warc_round_trip(spark, tmpdir_path):
     html = "<title>T</title><p>A &amp; B<script>var x='</p>'</script><br>é<a href='/q?a=1&amp;b=2'>go</a><!-- <a href=no> -->"
     pages = spark.createDataFrame([(1, "http://a/", html), (2, None, None), (3, "http://c/", "plain"), (3, "http://c/", "plain")],

@@ -4,7 +4,8 @@ A url's verdict is that of its longest fitting rule. Urls without a rule share
 the decisions of their aliases: urls that differ only in scheme, query,
 fragment, a trailing slash or ``.html`` are one node, and nodes linked by
 canonical links, refresh redirects in the page or rows of a redirect table form
-components. In a component an explicit allow goes before any block; without
+components. Linked urls count with their rules whether or not they are rows of
+``pages``. In a component an explicit allow goes before any block; without
 either the verdict is allow. A rule that fits the url itself always decides.
 
 Nodes are summed up before anything is linked, so a url repeated by a third of
@@ -55,18 +56,42 @@ def node(url: Column) -> Column:
     return F.when(h != "", F.xxhash64(h, p))
 
 
-def page_links(pages: DataFrame) -> DataFrame:
-    """``(a, b)``: nodes that a page links to itself by a canonical link or a refresh redirect.
+def resolved(base: Column, to: Column) -> Column:
+    """``to`` as a whole url: an absolute one as it is, any other against the page's url ``base``.
 
-    A target that starts with a slash belongs to the page's host.
+    Without ``.`` and ``..`` segments. Null where ``to`` is empty, names
+    another scheme without ``//`` (``mailto:``), or ``base`` has no host.
     """
+    site = F.regexp_extract(base, r"^((?s:.*?)://[^/?#]*)", 1)
+    scheme = F.regexp_extract(base, r"^((?s:.*?):)//", 1)
+    folder = F.regexp_replace(path(base), r"[^/]*$", "")
+    joined = (F.when(F.startswith(to, F.lit("//")), F.concat(scheme, to))
+              .when(F.startswith(to, F.lit("/")), F.concat(site, to))
+              .when(F.startswith(to, F.lit("?")) | F.startswith(to, F.lit("#")), F.concat(site, path(base), to))
+              .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), to)))
+    segments = F.split(F.regexp_replace(path(joined), "^/", ""), "/", -1)
+    dot = F.lit(".")
+    up = F.lit("..")
+    walked = F.aggregate(segments, F.array().cast("array<string>"), lambda out, x: F.when(
+        x == up, F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).when(x == dot, out).otherwise(
+        F.concat(out, F.array(x))))
+    # a path that ends in a dot segment names a folder
+    tail = F.when(F.element_at(segments, -1).isin(".", ".."), "/").otherwise("")
+    straight = F.when(path(joined).rlike(r"(?:^|/)\.{1,2}(?:/|$)"), F.concat(
+        F.regexp_extract(joined, r"^((?s:.*?)://[^/?#]*)", 1), F.lit("/"), F.array_join(walked, "/"), tail,
+        F.regexp_extract(joined, r"^(?s:.*?)://[^/?#]*[^?#]*((?s:.*))$", 1))).otherwise(joined)
+    return F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to).when(
+        (to != "") & (host(base) != "") & ~to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), straight)
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    """``(a, b, to)``: nodes that a page links to itself by a canonical link or a refresh redirect, and the target's url."""
     html = F.coalesce("html", F.lit(""))
     targets = F.array(F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1),
                       F.regexp_extract(F.regexp_extract(html, REFRESH, 0), REFRESH_URL, 1))
     found = pages.where(html.rlike(r"(?i)canonical|http-equiv")).select("url", F.explode(targets).alias("to"))
-    whole = F.when(F.startswith("to", F.lit("/")), F.concat(F.lit("http://"), host(F.col("url")), F.col("to"))).otherwise(
-        F.col("to"))
-    return found.select(node(F.col("url")).alias("a"), node(whole).alias("b"))
+    whole = found.select("url", resolved(F.col("url"), F.col("to")).alias("to"))
+    return whole.select(node(F.col("url")).alias("a"), node(F.col("to")).alias("b"), "to")
 
 
 def judge(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES) -> DataFrame:
@@ -74,12 +99,14 @@ def judge(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES) ->
     url = F.col("url")
     df = pages.select("page_id", host(url).alias("host"), path(url).alias("path"), node(url).alias("node"))
     df = df.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
-    edges = page_links(pages)
+    # written out: the pages' texts are read once for the links and their targets
+    linked = materialize(page_links(pages).where(F.col("a").isNotNull() & F.col("b").isNotNull()), "url-links")
+    edges, ends = linked.select("a", "b"), linked.select(F.col("to").alias("url"))
     if redirects is not None:
         edges = edges.union(redirects.select(node(F.col("source_url")), node(F.col("target_url"))))
-        extra = redirects.select(F.explode(F.array("source_url", "target_url")).alias("url")).select(
-            node(F.col("url")).alias("node"), rule_of(host(F.col("url")), path(F.col("url")), rules).alias("r"))
-    said = df.select("node", "r") if redirects is None else df.select("node", "r").union(extra)
+        ends = ends.union(redirects.select(F.explode(F.array("source_url", "target_url"))))
+    extra = ends.select(node(url).alias("node"), rule_of(host(url), path(url), rules).alias("r"))
+    said = df.select("node", "r").union(extra)
     nodes = materialize(said.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.max(F.coalesce(F.col("r.verdict") == "allow", F.lit(False))).alias("allow"),
         F.max(F.coalesce(F.col("r.verdict") == "block", F.lit(False))).alias("block")), "url-nodes")
