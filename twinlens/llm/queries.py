@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinlens.llm import (decontaminate_bm25, mixing_es, pii_boosting, quality_bradley_terry, quality_divergence,
-                          secrets_cnn, simhash_vptree, suffix_dedup, url_redirects, warc_derivatives)
+from twinlens.llm import (conversation_repair, decontaminate_bm25, embedding_cover_tree, mixing_es, pii_boosting,
+                          quality_bradley_terry, quality_divergence, secrets_cnn, simhash_vptree, suffix_dedup,
+                          token_alignment, url_redirects, warc_derivatives)
 from twinlens.llm import oracles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,9 +64,21 @@ def op10_decontaminate_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate_bm25.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignments(_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(_table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_cover_tree.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 _QUERIES = [op1_warc_derivatives, op2_quality_bradley_terry, op3_url_redirects, op4_simhash_vptree,
             op5_quality_divergence, op6_secrets_cnn, op7_mixing_es, op8_suffix_dedup, op9_pii_boosting,
-            op10_decontaminate_bm25]
+            op10_decontaminate_bm25, op11_token_alignment, op12_conversation_repair, op13_embedding_cover_tree]
 
 
 def queries() -> dict[str, Query]:
