@@ -19,10 +19,12 @@ Differences of the ranks of common ends are the group's tokens on either side.
 So pairs travel once a chunk and not once a document, and no task holds more
 than a chunk and its pairs. A chunk is the unit of recovery, too.
 
-Long texts are encoded in pieces, cut at a space between two ASCII letters
-where neither tokenizer joins across (``Pair`` checks that no piece of B's
-vocabulary holds a space after another character). A group of many tokens is
-counted by its distinct ids and never spelled out as pairs of positions.
+Neither tokenizer joins across a single space between two characters that are no
+white space (``Pair`` checks that no piece of B's vocabulary holds a space after
+another character), so texts are cut there into units. A chunk encodes and
+aligns each distinct unit once, and a document is the sequence of its units; a
+very long text is never one string to a tokenizer unless it has no spaces. A group of
+many tokens is counted by its distinct ids and never spelled out as pairs of positions.
 
 Defined cases: null and empty texts and texts that either tokenizer doesn't
 give back byte for byte have no tokens: zeros and an empty hash; equal rows are
@@ -45,30 +47,19 @@ from pyspark.sql import functions as F
 
 from twinlens.session import materialize
 
-#: Parameters: the tokenizers' files (never copied here), text bytes of a chunk, of a piece and of a call.
+#: Parameters: the tokenizers' files (never copied here), characters of a chunk of documents and of a tokenizer's
+#: line, lines of a call.
 TOKENIZERS = "/opt/tokenizers"
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_BYTES = 4 << 20
-PIECE_CHARS = 1 << 16
-CALL_BYTES = 1 << 18
+LINE_CHARS = 1 << 12
+LINES = 64
 #: Links of a group that are spelled out one by one; larger groups are counted by distinct ids.
 SPELLED = 4096
 #: An id pair as one number: A's id, then B's in this many bits.
 SHIFT = 32
 
-_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
-
-
-def pieces(text: str, size: int = PIECE_CHARS) -> list[str]:
-    """``text`` cut at single spaces between ASCII letters into parts of ``size`` characters or a little more."""
-    out, start = [], 0
-    while len(text) - start > size:
-        cut = _CUT.search(text, start + size)
-        if not cut:
-            break
-        out.append(text[start:cut.start()])
-        start = cut.end()
-    return [*out, text[start:]]
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -104,34 +95,46 @@ class Pair:
         self.text_a = [str(i) for i in range(len(self.bytes_a))]
         self.text_b = [str(i) for i in range(len(self.bytes_b))]
 
-    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of both sides for each text, None for one without tokens."""
-        parts, of = [], []
-        for i, t in enumerate(texts):
-            if t:
-                cut = pieces(t)
-                parts += cut
-                of += [i] * len(cut)
-        a: list = [[] for _ in texts]
-        b: list = [[] for _ in texts]
-        start, size = 0, 0
-        for end in range(1, len(parts) + 1):
-            size += len(parts[end - 1])
-            if size >= CALL_BYTES or end == len(parts):
-                call = parts[start:end]
-                ids_a = [e.ids for e in self.a.encode_batch_fast([" " + x for x in call], add_special_tokens=False)]
-                for k, x, y in zip(of[start:end], ids_a, self.b.encode(call, num_threads=1), strict=True):
-                    a[k] += x
-                    b[k] += y
-                start, size = end, 0
-        out: list = []
-        for t, x, y in zip(texts, a, b, strict=True):
-            whole = (" " + t).encode() if t else b""
-            good = x and (b"".join([self.bytes_a[i] for i in x]) == whole
-                          and b"".join([self.bytes_b[i] for i in y]) == whole)
-            # tokens without bytes would end where others do
-            out.append((np.array(x, np.int64), np.array(y, np.int64)) if good else None)
-        return out
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(ids of A, ids of B, A's tokens in each unit, B's, given back whole)`` of a space and each unit.
+
+        Units that either side doesn't give back byte for byte have no tokens. They go to the tokenizers in
+        lines, whose tokens are told apart by their bytes.
+        """
+        lines, line, size = [], [], 0
+        for u in units:
+            line.append(u)
+            size += len(u) + 1
+            if size >= LINE_CHARS:
+                lines.append(line)
+                line, size = [], 0
+        lines += [line] if line else []
+        found, good = [], []
+        for i in range(0, len(lines), LINES):
+            for f, g in self._lines(lines[i:i + LINES]):
+                found.append(f)
+                good += g
+        join = lambda k: np.concatenate([np.zeros(0, np.int64), *[f[k] for f in found]])
+        return join(0), join(1), join(2), join(3), np.array(good, bool)
+
+    def _lines(self, lines: list[list[str]]) -> Iterator[tuple[list[np.ndarray], list[bool]]]:
+        texts = [" ".join(x) for x in lines]
+        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        for line, text, a, b in zip(lines, texts, ids_a, self.b.encode(texts, num_threads=1), strict=True):
+            whole = (" " + text).encode()
+            if b"".join([self.bytes_a[i] for i in a]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole:
+                ends = np.cumsum(np.fromiter(((len(u) if u.isascii() else len(u.encode())) + 1 for u in line), np.int64,
+                                             len(line)))
+                a, b = np.array(a, np.int64), np.array(b, np.int64)
+                n_a, n_b = (np.diff(np.searchsorted(np.cumsum(size[ids]), ends, side="right"), prepend=0)
+                            for size, ids in ((self.length_a, a), (self.length_b, b)))
+                yield [a, b, n_a, n_b], [True] * len(line)
+            elif len(line) > 1:  # one by one, so that only what isn't given back is left out
+                one = list(self._lines([[u] for u in line]))
+                yield [np.concatenate([f[k] for f, _ in one]) for k in range(4)], [g[0] for _, g in one]
+            else:
+                none, zero = np.zeros(0, np.int64), np.zeros(1, np.int64)
+                yield [none, none, zero, zero], [False]
 
 
 def gallop(short: np.ndarray, long: np.ndarray, guess: np.ndarray) -> np.ndarray:
@@ -192,67 +195,88 @@ def _runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def linked(ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, text_of: np.ndarray):
-    """``(text, pair, times)`` of the links in groups that start at ``cut_a`` and ``cut_b`` (with the lists' lengths)."""
+    """Links in the groups that start at ``cut_a`` and ``cut_b`` (with the lists' lengths), in order of ``text_of``.
+
+    ``(text, pair)`` one by one, and ``(text, pair, times)`` of groups with over ``SPELLED`` links.
+    """
     na, nb = np.diff(cut_a), np.diff(cut_b)
     plain = na * nb <= SPELLED
     ga = np.flatnonzero(plain)
     a_at = _runs(cut_a[ga], na[ga])
     group = np.repeat(ga, na[ga])
-    times_b = nb[group]
-    left, right = np.repeat(a_at, times_b), _runs(cut_b[group], times_b)
-    text = [np.repeat(text_of[group], times_b)]
-    pair = [(ids_a[left] << SHIFT) | ids_b[right]]
-    times = [np.ones(len(left), np.int64)]
+    left, right = np.repeat(a_at, nb[group]), _runs(cut_b[group], nb[group])
+    one = np.repeat(text_of[group], nb[group]), (ids_a[left] << SHIFT) | ids_b[right]
+    text, pair, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for g in np.flatnonzero(~plain):
         ua, ca = np.unique(ids_a[cut_a[g]:cut_a[g + 1]], return_counts=True)
         ub, cb = np.unique(ids_b[cut_b[g]:cut_b[g + 1]], return_counts=True)
         pair.append(((ua[:, None] << SHIFT) | ub).ravel())
         times.append((ca[:, None] * cb).ravel())
         text.append(np.full(len(pair[-1]), text_of[g]))
-    return np.concatenate(text), np.concatenate(pair), np.concatenate(times)
+    return one, (np.concatenate(text), np.concatenate(pair), np.concatenate(times))
 
 
-_DOC = ["n_a", "n_b", "n_groups", "n_links"]
+def _starts(n: np.ndarray) -> np.ndarray:
+    """First ranks of runs of lengths ``n``, and their total."""
+    out = np.zeros(len(n) + 1, np.int64)
+    np.cumsum(n, out=out[1:])
+    return out
 
 
 def _chunk(pair: Pair, ids: list, texts: list[str | None], name: str) -> dict:
     """One chunk's row: its pairs, their documents, and its documents as a compressed table."""
-    found = pair.encode(texts)
-    have = [i for i, f in enumerate(found) if f is not None]
-    a = [found[i][0] for i in have]
-    b = [found[i][1] for i in have]
-    empty = np.zeros(0, np.int64)
-    ids_a, ids_b = np.concatenate([empty, *a]), np.concatenate([empty, *b])
-    starts_a = np.concatenate([[0], np.cumsum([len(x) for x in a], dtype=np.int64)]).astype(np.int64)
-    starts_b = np.concatenate([[0], np.cumsum([len(x) for x in b], dtype=np.int64)]).astype(np.int64)
-    # both sides of a text have the same bytes, so the texts of a chunk can follow one another
+    cut = [_CUT.split(t) if t else [] for t in texts]
+    doc_starts = _starts(np.array([len(c) for c in cut], np.int64))
+    seq, units = pd.factorize(np.array([u for c in cut for u in c], object))
+    del cut
+    ids_a, ids_b, n_a, n_b, good = pair.encode(units.tolist())
+    # both sides of a unit have the same bytes, so the units can follow one another
+    starts_a, starts_b = _starts(n_a), _starts(n_b)
     at_a, at_b = common_ends(np.cumsum(pair.length_a[ids_a]), np.cumsum(pair.length_b[ids_b]), starts_a, starts_b)
     cut_a, cut_b = np.concatenate([[0], at_a + 1]), np.concatenate([[0], at_b + 1])
-    text_of = np.searchsorted(starts_a, at_a, side="right") - 1
-    text, code, times = linked(ids_a, ids_b, cut_a, cut_b, text_of)
-    codes, local = np.unique(code, return_inverse=True)
-    width = max(1, len(codes))
-    key, where = np.unique(text * width + local, return_inverse=True)
-    total = np.bincount(where, weights=times, minlength=len(key)).astype(np.int64)
-    doc, local = key // width, key % width
-    bounds = np.searchsorted(doc, np.arange(len(have) + 1))
-    first = np.searchsorted(text_of, np.arange(len(have) + 1))
-    numbers = {c: np.zeros(len(ids), np.int64) for c in _DOC}
-    sha, pairs, counts = [""] * len(ids), [empty] * len(ids), [empty] * len(ids)
-    names_a = [pair.text_a[i] for i in ids_a.tolist()]
-    names_b = [pair.text_b[i] for i in ids_b.tolist()]
-    ca, cb = cut_a.tolist(), cut_b.tolist()
-    for k, i in enumerate(have):
-        lo, hi = int(first[k]), int(first[k + 1])
-        own = slice(bounds[k], bounds[k + 1])
-        pairs[i], counts[i] = local[own], total[own]
-        for c, v in zip(_DOC, (len(a[k]), len(b[k]), hi - lo, total[own].sum()), strict=True):
-            numbers[c][i] = v
-        sha[i] = hashlib.sha256(";".join([
-            ",".join(names_a[ca[g]:ca[g + 1]]) + "|" + ",".join(names_b[cb[g]:cb[g + 1]])
-            for g in range(lo, hi)]).encode()).hexdigest()
-    table = pa.table({"doc_id": pa.array(ids, pa.int64()), **numbers, "groups_sha256": sha,
-                      "pairs": pa.array(pairs, pa.list_(pa.int32())), "times": pa.array(counts, pa.list_(pa.int64()))})
+    unit_of = np.searchsorted(starts_a, at_a, side="right") - 1
+    (unit, code), (far_unit, far_code, far_times) = linked(ids_a, ids_b, cut_a, cut_b, unit_of)
+    codes, local = np.unique(np.concatenate([code, far_code]), return_inverse=True)
+    local, far_local = local[:len(code)], local[len(code):]
+    edges = np.arange(len(good) + 1)
+    first, far_first, group = (np.searchsorted(x, edges) for x in (unit, far_unit, unit_of))
+    names_a, names_b = ([names[i] for i in x.tolist()] for names, x in ((pair.text_a, ids_a), (pair.text_b, ids_b)))
+    groups = [a + "|" + b for a, b in zip([names_a[i] for i in cut_a[:-1].tolist()],
+                                          [names_b[i] for i in cut_b[:-1].tolist()], strict=True)]
+    for g in np.flatnonzero((np.diff(cut_a) > 1) | (np.diff(cut_b) > 1)).tolist():
+        groups[g] = ",".join(names_a[cut_a[g]:cut_a[g + 1]]) + "|" + ",".join(names_b[cut_b[g]:cut_b[g + 1]])
+    gr = group.tolist()
+    shown = [";".join(groups[gr[u]:gr[u + 1]]) for u in range(len(good))]
+    del names_a, names_b, groups, unit, code, units
+    # documents: sequences of units, of which all are given back
+    size = np.diff(doc_starts)
+    doc = np.repeat(np.arange(len(texts)), size)
+    fine = (size > 0) & (np.bincount(doc, weights=~good[seq], minlength=len(texts)) == 0)
+    said = [shown[u] for u in seq.tolist()]
+    sha = [hashlib.sha256(";".join(said[lo:hi]).encode()).hexdigest() if f else ""
+           for f, lo, hi in zip(fine.tolist(), doc_starts[:-1].tolist(), doc_starts[1:].tolist(), strict=True)]
+    del said, shown
+    seq, doc = seq[fine[doc]], doc[fine[doc]]
+    numbers = {c: np.bincount(doc, weights=n[seq], minlength=len(ids)).astype(np.int64)
+               for c, n in (("n_a", n_a), ("n_b", n_b), ("n_groups", np.diff(group)))}
+    width, n = max(1, len(codes)), np.diff(first)[seq]
+    key = np.repeat(doc * width, n) + local[_runs(first[seq], n)]
+    key.sort()
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    key, times = key[new], np.diff(np.append(new, len(key)))
+    n = np.diff(far_first)[seq]
+    if n.any():
+        at = _runs(far_first[seq], n)
+        key, where = np.unique(np.concatenate([key, np.repeat(doc * width, n) + far_local[at]]), return_inverse=True)
+        more, times = np.concatenate([times, far_times[at]]), np.zeros(len(key), np.int64)
+        np.add.at(times, where, more)
+    of, local = key // width, (key % width).astype(np.int32)
+    numbers["n_links"] = np.zeros(len(ids), np.int64)
+    np.add.at(numbers["n_links"], of, times)
+    bounds = pa.array(np.searchsorted(of, np.arange(len(ids) + 1)).astype(np.int32))
+    table = pa.table({"doc_id": pa.array(ids, pa.int64()), **numbers, "groups_sha256": pa.array(sha, pa.string()),
+                      "pairs": pa.ListArray.from_arrays(bounds, pa.array(local)),
+                      "times": pa.ListArray.from_arrays(bounds, pa.array(times))})
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_table(table)
