@@ -2,9 +2,11 @@ import math
 import struct
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from twinlens.operators import image_prep as ip
+from twinlens.operators import image_steps as st
 from twinlens.sources.blobs import read_image_blobs, read_text_blobs
 
 
@@ -94,3 +96,49 @@ def test_text_blobs_gb18030(spark, tmpdir_path):
         fh.write(b"ok\xff\xfe")
     got = {r.guid: r.text for r in read_text_blobs(spark, tmpdir_path).collect()}
     assert got == {"7": "你好 world", "8": b"ok\xff\xfe".decode("gb18030", "ignore").strip()}
+
+
+def _structs(spark, n=6):
+    rng = np.random.default_rng(9)
+    rows = [(str(i), ("", 5, 4, 3, 16, bytes(rng.integers(0, 256, 60, dtype=np.uint8)))) for i in range(n)]
+    rows += [("bad", ("", -1, -1, -1, -1, b"")), ("none", None)]
+    return spark.createDataFrame(
+        rows, "guid string, image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>")
+
+
+def test_own_chain_and_nested_encoder(spark):
+    seen = []
+
+    def darker(images, draws):
+        return [x * u for x, u in zip(images, draws.uniform("dark", 0.5, 1.0), strict=True)]
+
+    darker.train_only = True
+    chain = st.Transform((st.Resize(4, 6), darker))
+
+    def pooled():
+        return lambda batch: batch.mean(axis=(2, 3)).reshape(len(batch), 3, 1, 1)
+
+    plain, train = ({r.guid: r.f for r in ip.image_features(_structs(spark), encoder_factory=pooled, dim=3, transform=chain,
+                                                            train=t, epoch=2, out_col="f").collect()} for t in (False, True))
+    assert plain["bad"] is None and plain["none"] is None and len(plain) == 8
+    for g in map(str, range(6)):
+        u = 0.5 + 0.5 * ip.draw_py(g, 2, 42, "dark") / 2 ** 32
+        assert np.allclose(np.array(plain[g]) * u, train[g])
+        seen.append(u)
+    assert len(set(seen)) == 6
+    assert chain.black().shape == (1, 3, 4, 6)
+
+
+def test_draws_do_not_depend_on_batches(spark):
+    chain = st.standard(6)
+    one, many = ({r.guid: r.t for r in ip.image_tensors(_structs(spark).repartition(n), chain, train=True, epoch=3,
+                                                        out_col="t", batch=b).collect()} for n, b in ((1, 32), (4, 1)))
+    assert one == many and len(one["0"]) == 108
+
+
+def test_wrong_shapes_are_told(spark):
+    with pytest.raises(ValueError, match="shape"):
+        st.flat_features(np.zeros((2, 5)), 2, 4)
+    assert st.flat_features(np.zeros((2, 4, 1, 1)), 2, 4).shape == (2, 4)
+    with pytest.raises(ValueError, match="several shapes"):
+        st.Transform(())([np.zeros((2, 3, 3)), np.zeros((3, 3, 3))], ["a", "b"])

@@ -115,3 +115,32 @@ def test_text_encoder_plugs_into_the_jobs(spark, tmpdir_path):
     rows = jobs.attach_features(m, texts, imgs, spec).orderBy("row_no").collect()
     assert [r.features[spec.img_dim:] for r in rows] == [[3.0, 1.0], [0.0, 1.0], [0.0, 1.0]]
     assert list(spec.empty_text_feature()) == [0.0, 1.0]
+
+
+def test_own_transform_reaches_train_predict_and_ablation(spark, tmpdir_path):
+    """A chain that keeps only how red an image is, and an encoder with nested output, through every job."""
+    from twinlens.operators.image_steps import Normalize, Resize, Transform
+    d = tmpdir_path
+    _corpus(d, 45)
+
+    def red_only(images, draws):
+        return [x * np.array([1.0, 0.0, 0.0]) for x in images]
+
+    def pooled():
+        return lambda batch: batch.mean(axis=(2, 3)).reshape(len(batch), 3, 1, 1)
+
+    chain = Transform((Resize(4, 4), red_only, Normalize((0.0,) * 3, (0.5,) * 3)))
+    spec = jobs.FeatureSpec(img_dim=3, image_encoder=pooled, transform=chain)
+    texts, imgs = jobs.blob_features(spark, d, spec)
+    got = {int(r.guid): r.img_feat for r in imgs.collect()}
+    for i, f in got.items():
+        if i % 13 == 0:
+            assert f is None
+        else:
+            assert np.allclose(f, [COLORS[i % 3][0] / 255 / 0.5, 0.0, 0.0])
+    assert list(spec.black_feature()) == [0.0, 0.0, 0.0] and list(spec.masked_image_feature()) == [0.0, 0.0, 0.0]
+    jobs.train_job(spark, f"{d}/train.txt", d, f"{d}/out", spec, epochs=3, lr=0.05, hidden=8).collect()
+    dist = jobs.predict_job(spark, f"{d}/test_without_label.txt", d, f"{d}/out/best_head", f"{d}/pred", spec).collect()
+    assert sum(r.n for r in dist) == 5
+    rep = {r.mode: r.total for r in jobs.ablation_job(spark, f"{d}/out/split", d, f"{d}/out/best_head", spec).collect()}
+    assert rep == dict.fromkeys(("multimodal", "text_only", "image_only"), 9)

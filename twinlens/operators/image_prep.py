@@ -5,10 +5,10 @@ Two realisations of the same steps:
 * array expressions on small rasters stored as ``ARRAY<DOUBLE>`` (the 8x8
   fixture grids): flip, rotation, resize, normalise, extrema and channel
   statistics run JVM-side and are checked against SQL;
-* ``image_features``: one Arrow-batch ``mapInPandas`` over decoded image
-  structs that converts to RGB, resizes, augments (train only), normalises and
-  encodes. The 3x224x224 tensor lives only inside the batch; what leaves the
-  task is the feature vector.
+* ``image_features``: one Arrow-batch column function over decoded image
+  structs that converts to RGB, runs a chain of steps (``image_steps``: resize,
+  augment in training, normalise, or any other) and encodes. The tensor lives
+  only inside the batch; what leaves Python is the feature vector.
 
 Random augmentation is keyed: the draw for a row is
 ``md5(guid|epoch|seed|step)``, identical in both realisations and in SQL, and
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -280,15 +280,10 @@ def rotate_rgb(img: np.ndarray, angle: float, fill: float = 0.0) -> np.ndarray:
 
 
 def prepare_one(img: np.ndarray, guid: str, train: bool, epoch: int, seed: int,
-                size: int = SIZE, mean=MEAN, std=STD) -> np.ndarray:
-    """Resize -> (train: flip, rotate) -> normalise; returns ``[3, size, size]``."""
-    x = resize_rgb(img, size, size)
-    if train:
-        if draw_py(guid, epoch, seed, "flip") < flip_threshold(0.5):
-            x = x[:, ::-1, :]
-        x = rotate_rgb(x, angle_of(draw_py(guid, epoch, seed, "rot")))
-    x = (x - np.asarray(mean)) / np.asarray(std)
-    return np.ascontiguousarray(x.transpose(2, 0, 1))
+                size: int = SIZE) -> np.ndarray:
+    """The standard chain on one image; returns ``[3, size, size]``."""
+    from twinlens.operators.image_steps import standard
+    return standard(size)([img], [guid], train, epoch, seed)[0]
 
 
 def grid_encoder(grid: int = 4, bins: int = 8, lo: float = -2.5, hi: float = 2.75):
@@ -304,44 +299,68 @@ def grid_encoder(grid: int = 4, bins: int = 8, lo: float = -2.5, hi: float = 2.7
     return encode
 
 
-def black_image_feature(encoder: Callable[[np.ndarray], np.ndarray], size: int = SIZE,
-                        mean=MEAN, std=STD) -> np.ndarray:
+def black_image_feature(encoder: Callable[[np.ndarray], np.ndarray], size: int = SIZE, transform=None) -> np.ndarray:
     """Encoder output of the default black image (a missing image), computed once."""
-    black = np.zeros((size, size, 3))
-    x = ((black - np.asarray(mean)) / np.asarray(std)).transpose(2, 0, 1)[None]
-    return encoder(x)[0]
+    from twinlens.operators.image_steps import standard
+    out = np.asarray(encoder((transform or standard(size)).black()), dtype=np.float64)
+    return out.reshape(-1)
+
+
+def _decoded(batches: Iterator[tuple[pd.Series, ...]], use: Callable[[list[np.ndarray], list[str]], np.ndarray],
+             batch: int) -> Iterator[pd.Series]:
+    """``use`` over the decodable images of Arrow batches, ``batch`` at a time; None for the others."""
+    for guid, data, height, width, channels in batches:
+        out: list = [None] * len(guid)
+        found = [i for i, (d, c) in enumerate(zip(data, channels, strict=True))
+                 if d is not None and c is not None and c > 0]
+        for s in range(0, len(found), batch):
+            at = found[s:s + batch]
+            rgb = [to_rgb(data.iloc[i], int(height.iloc[i]), int(width.iloc[i]), int(channels.iloc[i])) for i in at]
+            for i, f in zip(at, use(rgb, [str(guid.iloc[i]) for i in at]), strict=True):
+                out[i] = f
+        yield pd.Series(out, dtype=object)
+
+
+def _per_image(df: DataFrame, image_col: str, guid_col: str, make: Callable[[], Callable], batch: int) -> Column:
+    """A column of ``make()``'s arrays: only the decoded image goes to Python, only the array comes back."""
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        yield from _decoded(batches, make(), batch)
+
+    image = F.col(image_col)
+    return run.asNondeterministic()(F.col(guid_col), image["data"], image["height"], image["width"], image["nChannels"])
 
 
 def image_features(df: DataFrame, image_col: str = "image", guid_col: str = "guid",
                    encoder_factory: Callable[[], Callable[[np.ndarray], np.ndarray]] = grid_encoder,
                    dim: int = 72, train: bool = False, epoch: int = 1, seed: int = 42,
-                   size: int = SIZE, out_col: str = "img_feat", batch: int = 32) -> DataFrame:
-    """Decoded image struct -> feature vector in Arrow batches.
-
-    Rows whose image is missing or undecodable get NULL (apply the constant
-    ``black_image_feature`` afterwards). Only ``out_col`` is added.
+                   size: int = SIZE, out_col: str = "img_feat", batch: int = 32, transform=None) -> DataFrame:
+    """Decoded image struct -> feature vector in Arrow batches.
+
+    ``transform`` is a chain of steps (``image_steps``; by default the standard
+    one at ``size``). The encoder gets ``[n, channels, h, w]`` and returns n rows of
+    ``dim`` values, nested or not. Rows whose image is missing or undecodable get
+    NULL (apply the constant ``black_image_feature`` afterwards). Only
+    ``out_col`` is added.
     """
-    fields = [f for f in df.schema.fields]
-    out_schema = T.StructType(fields + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
+    from twinlens.operators.image_steps import flat_features, standard
+    chain = transform or standard(size)
 
-    def run(it):
+    def make():
         enc = encoder_factory()
-        for pdf in it:
-            feats = [None] * len(pdf)
-            todo, idx = [], []
-            for i, (g, im) in enumerate(zip(pdf[guid_col], pdf[image_col])):
-                if im is None or im["nChannels"] is None or im["nChannels"] <= 0:
-                    continue
-                rgb = to_rgb(im["data"], im["height"], im["width"], im["nChannels"])
-                todo.append(prepare_one(rgb, str(g), train, epoch, seed, size))
-                idx.append(i)
-                if len(todo) == batch:
-                    for j, f in zip(idx, enc(np.stack(todo))):
-                        feats[j] = f.tolist()
-                    todo, idx = [], []
-            if todo:
-                for j, f in zip(idx, enc(np.stack(todo))):
-                    feats[j] = f.tolist()
-            yield pdf.assign(**{out_col: pd.Series(feats, dtype=object)})
-
-    return df.mapInPandas(run, out_schema)
+        return lambda images, guids: flat_features(enc(chain(images, guids, train, epoch, seed)), len(guids), dim)
+
+    return df.withColumn(out_col, _per_image(df, image_col, guid_col, make, batch))
+
+
+def image_tensors(df: DataFrame, transform, image_col: str = "image", guid_col: str = "guid", train: bool = False,
+                  epoch: int = 1, seed: int = 42, out_col: str = "tensor", batch: int = 32) -> DataFrame:
+    """The transformed image itself, channel by channel and row by row, as one array.
+
+    For small sizes and inspection: models read the tensor inside
+    ``image_features`` and never ship it.
+    """
+    def make():
+        return lambda images, guids: transform(images, guids, train, epoch, seed).reshape(len(guids), -1)
+
+    return df.withColumn(out_col, _per_image(df, image_col, guid_col, make, batch))

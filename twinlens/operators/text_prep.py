@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinlens.functions.udf import arrow_udf
+from twinlens.operators.image_steps import flat_features
 from twinlens.session import materialize, spread
 
 # Words are runs of Unicode letters and digits; each Han character is a word.
@@ -104,7 +105,7 @@ def text_features(df: DataFrame, text_col: str = "text", dim: int = 32,
 
 def text_features_with(df: DataFrame, encoder, dim: int, text_col: str = "text",
                        out_col: str = "txt_feat", batch_size: int = 64) -> DataFrame:
-    """Pluggable encoder: ``encoder(list[str]) -> np.ndarray[n, dim]``.
+    """Pluggable encoder: ``encoder(list[str])`` returns n rows of ``dim`` values, nested or not.
 
     Runs once per Arrow batch through ``predict_batch_udf``; the encoder is
     built once per Python worker by the factory ``encoder``.
@@ -115,7 +116,7 @@ def text_features_with(df: DataFrame, encoder, dim: int, text_col: str = "text",
         fn = encoder()
 
         def predict(texts: np.ndarray) -> np.ndarray:
-            return np.asarray(fn([str(t) for t in texts]), dtype=np.float64)
+            return flat_features(fn([str(t) for t in texts]), len(texts), dim)
         return predict
 
     # nondeterministic: the encoder runs once per row (see functions.udf)

@@ -28,6 +28,7 @@ from twinlens.operators import evaluate as ev
 from twinlens.operators.audit import audit_rows, audit_summary
 from twinlens.operators.fusion import Block, fuse_features, score, score_modes
 from twinlens.operators.image_prep import SIZE, black_image_feature, grid_encoder, image_features
+from twinlens.operators.image_steps import Transform, flat_features, standard
 from twinlens.operators.modality import attach_modalities, attach_text, prepare_manifest
 from twinlens.operators.split import split_manifest, split_order_key
 from twinlens.operators.text_prep import text_features, text_features_with
@@ -49,13 +50,18 @@ class FeatureSpec:
     encoding: str = "gb18030"
     image_encoder: object = grid_encoder
     text_encoder: object = None   # factory of list[str] -> array[n, txt_dim]; None: hashed bag of words
+    transform: Transform | None = None   # image steps; None: the standard chain at image_size
 
     def blocks(self) -> list[Block]:
         return [Block("img", 0, self.img_dim), Block("txt", self.img_dim, self.img_dim + self.txt_dim)]
 
+    def chain(self) -> Transform:
+        """The image transform."""
+        return self.transform or standard(self.image_size)
+
     def black_feature(self) -> np.ndarray:
         """Image feature of the default black image (missing/undecodable)."""
-        return black_image_feature(self.image_encoder(), self.image_size)
+        return black_image_feature(self.image_encoder(), transform=self.chain())
 
     def encode_texts(self, texts: DataFrame) -> DataFrame:
         """Adds ``txt_feat`` by the text encoder."""
@@ -67,11 +73,11 @@ class FeatureSpec:
         """Text feature of the empty text: missing texts and the image-only mode."""
         if self.text_encoder is None:
             return np.zeros(self.txt_dim)
-        return np.asarray(self.text_encoder()([""]), dtype=np.float64)[0]
+        return flat_features(self.text_encoder()([""]), 1, self.txt_dim)[0]
 
     def masked_image_feature(self) -> np.ndarray:
         """Image feature of an all-zero tensor after normalisation (text-only mode)."""
-        return self.image_encoder()(np.zeros((1, 3, self.image_size, self.image_size)))[0]
+        return flat_features(self.image_encoder()(np.zeros_like(self.chain().black())), 1, self.img_dim)[0]
 
 
 def blob_features(spark: SparkSession, data_dir: str, spec: FeatureSpec | None = None,
@@ -90,7 +96,7 @@ def blob_features(spark: SparkSession, data_dir: str, spec: FeatureSpec | None =
     texts = first_per_guid(texts.select("guid", "path", "txt_feat"), "path")
     imgs = image_features(read_image_blobs(spark, data_dir, dedupe=False, guids=guids),
                           "image", "guid", spec.image_encoder, spec.img_dim, train, epoch, seed,
-                          spec.image_size)
+                          transform=spec.chain())
     imgs = first_per_guid(imgs.select("guid", "origin", "image_ok", "img_feat"), "origin")
     return texts, imgs
 

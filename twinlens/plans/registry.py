@@ -587,19 +587,6 @@ def q_image_struct_extrema(spark, sf):
     return ext.select("guid", *cols, black.alias("is_black"))
 
 
-@register("image_struct_features")
-def q_image_struct_features(spark, sf):
-    """Eval-mode image pipeline (I1, I4-I7) on the structs above: RGB, resize to
-    224, normalise, grid encoder, in Arrow batches where the images sit.
-
-    Rows-only check: bilinear resampling and value histograms have no SQL form here.
-    """
-    imgs = spread(_image_structs(spark, sf))
-    f = ip.image_features(imgs, "image", "guid", ip.grid_encoder, 72, train=False)
-    sq = F.aggregate("img_feat", F.lit(0.0), lambda a, x: a + x * x)
-    return f.select("guid", F.size("img_feat").alias("n_dims"), F.round(sq, 9).alias("sq_norm"))
-
-
 # ---------------------------------------------- training (rows-only check)
 
 @register("mlp_head_fit")
@@ -634,3 +621,6 @@ def q_ml_head_fit(spark, sf):
     val = fe.where(F.col("split") == "val").withColumn("fv", array_to_vector("features"))
     pred = model.transform(val).withColumn("pred", F.col("prediction").cast("int"))
     return ev.accuracy(pred, "pred", "label")
+
+
+from twinlens.plans import image_queries  # noqa: E402, F401
