@@ -78,6 +78,36 @@ def decode_text(c: Column | str, encoding: str = "gb18030") -> Column:
     return strip_ws(text)
 
 
+_REPORT = T.StructType([T.StructField("text", T.StringType()), T.StructField("ok", T.BooleanType())])
+
+
+def decode_report(c: Column | str, encoding: str = "gb18030") -> Column:
+    """``struct<text, ok>``: the text as ``decode_text`` gives it, and whether every byte was valid.
+
+    One pass in Arrow batches: bytes that decode strictly are used as they are;
+    only the others are decoded again with malformed sequences dropped. NULL
+    bytes give NULL and false.
+    """
+    @arrow_udf(_REPORT)
+    def report(b: pd.Series) -> pd.DataFrame:
+        texts, oks = [], []
+        for x in b:
+            text, ok = None, False
+            if x is not None:
+                raw = bytes(x)
+                try:
+                    text, ok = raw.decode(encoding), True
+                except UnicodeDecodeError:
+                    text = raw.decode(encoding, "ignore")
+                text = text.replace("\r\n", "\n").replace("\r", "\n")
+            texts.append(text)
+            oks.append(ok)
+        return pd.DataFrame({"text": pd.Series(texts, dtype=object), "ok": pd.Series(oks, dtype=bool)})
+
+    found = report(_col(c))
+    return F.struct(strip_ws(found["text"]).alias("text"), found["ok"].alias("ok"))
+
+
 @arrow_udf(T.BinaryType())
 def encode_gb18030(s: pd.Series) -> pd.Series:
     """Text -> GB18030 bytes (used to derive blobs from text tables)."""

@@ -69,7 +69,8 @@ def audit_summary(rows: DataFrame) -> DataFrame:
     def n(c):
         return F.sum(F.col(c).cast("int")).cast("bigint")
     aggs = [F.count(F.lit(1)).alias("total"), n("text_exists").alias("n_text"),
-            n("text_empty").alias("n_text_empty"), n("image_exists").alias("n_image"),
+            n("text_readable").alias("n_text_readable"), n("text_empty").alias("n_text_empty"),
+            n("image_exists").alias("n_image"),
             n("image_readable").alias("n_image_readable")]
     if "image_black" in rows.columns:
         aggs.append(F.sum(F.coalesce(F.col("image_black"), F.lit(False)).cast("int"))

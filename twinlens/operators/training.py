@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from twinlens.functions.labels import NUM_CLASSES
 from twinlens.operators.evaluate import accuracy
 from twinlens.operators.fusion import Block, Head, MAX_HEAD_BYTES, score
+from twinlens.session import materialize
 
 # ------------------------------------------------------------ reports
 
@@ -154,6 +155,108 @@ def _train_rows(df: DataFrame, epoch: int, seed: int, trainers: int, guid_col: s
             .sortWithinPartitions(epoch_order_key("_g", epoch, seed), "_r", "_y"))
 
 
+def _sum_chunks(parts: DataFrame) -> DataFrame:
+    """Sums of ``_PART_SCHEMA`` rows by chunk: one row per ``CHUNK`` numbers, summed on the executors."""
+    return (parts.groupBy("chunk")
+            .agg(*[F.sum(c).alias(c) for c in ("n", "loss_sum", "n_batches", "correct")],
+                 F.max("steps").alias("steps"), Summarizer.sum(array_to_vector(F.col("v"))).alias("v"))
+            .withColumn("v", vector_to_array("v")))
+
+
+GRADIENT_SCHEMA = "layer int, part string, row int, col int, gradient double"
+
+
+def _gradient_sums(df: DataFrame, head: Head, features_col: str, label_col: str) -> DataFrame:
+    """``_PART_SCHEMA`` sums of loss and gradient over all rows, by chunk of the parameters."""
+    if len(head.layers) != 2:
+        raise ValueError("the gradient is that of a two-layer head")
+    if head.nbytes() > MAX_HEAD_BYTES:
+        raise ValueError("head too large to broadcast")
+    params = [a for layer in head.layers for a in layer]
+    shared = df.sparkSession.sparkContext.broadcast(params)
+
+    def run(batches):
+        total, n, loss, correct, nb = [np.zeros(p.shape) for p in shared.value], 0, 0.0, 0, 0
+        for pdf in batches:
+            for s in range(0, len(pdf), 1024):
+                x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["_x"].iloc[s:s + 1024]])
+                y = pdf["_y"].iloc[s:s + 1024].to_numpy(dtype=np.int64)
+                mean, z, grads = _forward_backward(shared.value, x, y, None, 0.0)
+                for t, g in zip(total, grads, strict=True):
+                    t += g * len(x)
+                n, loss, correct, nb = n + len(x), loss + mean * len(x), correct + int((z.argmax(1) == y).sum()), nb + 1
+        if n:
+            flat = np.concatenate([t.ravel() for t in total])
+            for c, at in enumerate(range(0, len(flat), CHUNK)):
+                yield pd.DataFrame({"chunk": [c], "n": [n], "loss_sum": [loss], "n_batches": [nb], "correct": [correct],
+                                    "steps": [0], "v": [flat[at:at + CHUNK]]})
+
+    rows = df.where(F.col(label_col).isNotNull()).select(F.col(features_col).alias("_x"),
+                                                         F.col(label_col).cast("int").alias("_y"))
+    return _sum_chunks(rows.mapInPandas(run, _PART_SCHEMA))
+
+
+def head_gradient(df: DataFrame, head: Head, features_col: str = "features",
+                  label_col: str = "label") -> tuple[DataFrame, DataFrame]:
+    """Cross-entropy of a two-layer head over all rows, and its gradient.
+
+    Returns ``(loss, gradient)``: ``(n, loss, correct)`` in one row, loss being the
+    mean over the rows, and ``(layer, part, row, col, gradient)``, one row per
+    parameter (part W or b). Each task adds its batches up in one buffer of the
+    head's size and hands it over in chunks that are summed on the executors.
+    Dropout is off. Rows without a label are left out; without any row the
+    loss is NULL and the gradient empty.
+    """
+    sums = materialize(_gradient_sums(df, head, features_col, label_col), "gradient")
+    loss = sums.where("chunk = 0").agg(F.max("n").alias("n"), (F.max("loss_sum") / F.max("n")).alias("loss"),
+                                       F.max("correct").alias("correct"))
+    spots, start = [], 0
+    for i, layer in enumerate(head.layers):
+        for part, a in zip("Wb", layer, strict=True):
+            spot = F.struct(F.lit(i).alias("layer"), F.lit(part).alias("part"), F.lit(start).cast("long").alias("start"),
+                            F.lit(a.shape[1] if part == "W" else 1).alias("width"))
+            start += a.size
+            spots.append(F.when(F.col("at") < start, spot))
+    flat = sums.select("n", F.posexplode("v").alias("i", "v"), (F.col("chunk").cast("long") * CHUNK).alias("first"))
+    placed = flat.withColumn("at", F.col("first") + F.col("i")).withColumn("p", F.coalesce(*spots)).withColumn(
+        "i", F.col("at") - F.col("p.start"))
+    return loss, placed.select("p.layer", "p.part", F.floor(F.col("i") / F.col("p.width")).cast("int").alias("row"),
+                               (F.col("i") % F.col("p.width")).cast("int").alias("col"),
+                               (F.col("v") / F.col("n")).alias("gradient"))
+
+
+def fit_full_batch(train: DataFrame, val: DataFrame | None, head: Head, epochs: int = 5, lr: float = 2e-5,
+                   weight_decay: float = 0.01, features_col: str = "features", label_col: str = "label"):
+    """AdamW on the whole training set from the given two-layer head; ``(best_head, last_head, history rows)``.
+
+    One step an epoch with the exact gradient, without dropout, so the result has
+    no order, batch or seed in it. History and selection are those of
+    ``fit_fusion_head``; train loss and accuracy are measured before the step.
+    The gradient sums (the head's size) are the only thing that reaches the driver.
+    """
+    params = [np.array(a, dtype=np.float64) for layer in head.layers for a in layer]
+    st = TrainState(params, [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params])
+    best, best_acc, history, last = None, 0.0, [], head
+    for epoch in range(1, epochs + 1):
+        sums = sorted(_gradient_sums(train, last, features_col, label_col).collect(), key=lambda r: r.chunk)
+        if not sums:
+            raise ValueError("no training rows")
+        n = sums[0].n
+        total = np.concatenate([np.asarray(r.v) for r in sums])
+        _adamw(st, _unpack((total / n).tobytes(), [p.shape for p in params]), lr, weight_decay)
+        w1, b1, w2, b2 = (p.copy() for p in st.params)
+        last = Head(layers=[(w1, b1), (w2, b2)], blocks=head.blocks, kind=head.kind)
+        val_acc = None
+        if val is not None:
+            acc = accuracy(score(val, last, features_col), "pred", label_col).collect()[0]
+            val_acc = 100.0 * acc["correct"] / acc["total"] if acc["total"] else None
+        is_best = val_acc is not None and val_acc > best_acc
+        if is_best:
+            best_acc, best = val_acc, last
+        history.append((epoch, sums[0].loss_sum / n, 100.0 * sums[0].correct / n, val_acc, is_best))
+    return best, last, history
+
+
 def fit_fusion_head(train: DataFrame | Callable[[int], DataFrame], val: DataFrame | None, blocks: list[Block],
                     features_col: str = "features", label_col: str = "label",
                     guid_col: str = "guid", hidden: int = 512, epochs: int = 5,
@@ -219,10 +322,7 @@ def fit_fusion_head(train: DataFrame | Callable[[int], DataFrame], val: DataFram
                                     "correct": [correct], "steps": [local.step - step0],
                                     "v": [flat[at:at + CHUNK]]})
 
-        merged = (ordered.mapInPandas(run, _PART_SCHEMA).groupBy("chunk")
-                  .agg(*[F.sum(c).alias(c) for c in ("n", "loss_sum", "n_batches", "correct")],
-                       F.max("steps").alias("steps"), Summarizer.sum(array_to_vector(F.col("v"))).alias("v"))
-                  .withColumn("v", vector_to_array("v")).collect())
+        merged = _sum_chunks(ordered.mapInPandas(run, _PART_SCHEMA)).collect()
         bstate.destroy()
         if not merged:
             raise ValueError("no training rows")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinlens.functions.text import encode_gb18030
 from twinlens.sources.tables import table
 
 IMG_DIM = 64
@@ -74,6 +75,23 @@ def fx_edge_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("guid"), edge.alias("text"))
 
 
+def fx_edge_blob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_edge_text`` as GB18030 bytes; by id, three in ten hold bytes that are not valid.
+
+    Stray bytes stand after the third character (``doc_id % 10`` = 1) or first (4), or
+    a character is cut off at the end (7). All of them are dropped by a lenient decode.
+    """
+    t = fx_edge_text(spark, sf_dir)
+    n, text = F.col("guid").cast("bigint") % 10, F.col("text")
+    cut = F.when(n == 1, 3).otherwise(0)
+    head = encode_gb18030(F.substring(text, F.lit(1), cut))
+    tail = encode_gb18030(F.substring(text, cut + 1, F.length(text)))
+    stray, half = F.unhex(F.lit("FFFF")), F.unhex(F.lit("81"))
+    blob = F.when((n == 1) | (n == 4), F.concat("head", stray, "tail")).when(n == 7, F.concat("tail", half)).otherwise(
+        F.col("tail"))
+    return t.select("guid", head.alias("head"), tail.alias("tail")).select("guid", blob.alias("blob"))
+
+
 def fx_edge_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raster; by id, one in nine is black and one in seven unreadable."""
     px = F.col("embedding").cast("array<double>")

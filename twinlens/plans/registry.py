@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from twinlens.functions.arrays import cross_entropy, relu, affine, softmax
 from twinlens.functions.guid import normalize_guid
 from twinlens.functions.labels import decode_label
-from twinlens.functions.text import STRIP_RE, is_blank, preview, strip_ws, encode_gb18030, decode_text
+from twinlens.functions.text import (STRIP_RE, decode_report, decode_text, encode_gb18030, is_blank, preview,
+                                     strip_ws)
 from twinlens.operators import evaluate as ev
 from twinlens.operators.audit import audit_probabilities, audit_rows, audit_summary, overconfidence_report
 from twinlens.operators.fusion import centroids
@@ -25,7 +26,7 @@ from twinlens.operators.text_prep import (assign_batches, build_vocab, encode_ro
                                           pad_batches, text_features)
 from twinlens.operators.training import batch_mean_loss, best_epoch, mark_improvements
 from twinlens.plans import pipeline as pl
-from twinlens.plans.fixtures import (TXT_DIM, fx_batch_loss, fx_edge_image, fx_edge_text, fx_history, fx_image_grid,
+from twinlens.plans.fixtures import (TXT_DIM, fx_batch_loss, fx_edge_blob, fx_edge_image, fx_edge_text, fx_history, fx_image_grid,
                                      fx_image_vec, fx_manifest, fx_test_manifest, fx_text, with_ctes)
 from twinlens.session import materialize, spread
 from twinlens.sources.tables import table
@@ -427,6 +428,8 @@ def q_relu_affine(spark, sf):
 @register("audit_corpus", with_ctes(f"""
 SELECT count(*) AS total,
        CAST(sum(CASE WHEN t.guid IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_text,
+       CAST(sum(CASE WHEN t.guid IS NOT NULL AND CAST(t.guid AS BIGINT) % 10 NOT IN (1, 4, 7) THEN 1 ELSE 0 END)
+            AS BIGINT) AS n_text_readable,
        CAST(sum(CASE WHEN t.guid IS NOT NULL AND length({_strip_sql('t.text')}) = 0 THEN 1 ELSE 0 END)
             AS BIGINT) AS n_text_empty,
        CAST(sum(CASE WHEN i.guid IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_image,
@@ -437,7 +440,9 @@ FROM norm_manifest m LEFT JOIN fx_edge_text t ON t.guid = m.guid
 LEFT JOIN fx_edge_image i ON i.guid = m.guid""", "norm_manifest", "fx_edge_text", "fx_edge_image"))
 def q_audit_corpus(spark, sf):
     m = prepare_manifest(fx_manifest(spark, sf))
-    rows = audit_rows(m, fx_edge_text(spark, sf), fx_edge_image(spark, sf), px_col="px")
+    texts = fx_edge_blob(spark, sf).select("guid", decode_report("blob").alias("r")).select(
+        "guid", "r.text", F.col("r.ok").alias("text_ok"))
+    rows = audit_rows(m, texts, fx_edge_image(spark, sf), px_col="px")
     return audit_summary(rows)
 
 
@@ -594,9 +599,10 @@ def q_mlp_head_fit(spark, sf):
     """Fusion head trained with AdamW, 5 epochs, batch 16, lr 2e-5 (M3, M7, M8).
 
     Returns the per-epoch history with improvement flags. The best head is
-    saved and reloaded as a table (A9, A10). Iterative: no SQL form.
+    saved as a table and read back (A9, A10); ``stored_acc`` is the read head's
+    validation accuracy, in the row of the epoch it comes from. Iterative: no SQL form.
     """
-    from twinlens.operators.fusion import default_blocks
+    from twinlens.operators.fusion import default_blocks, score
     from twinlens.operators.training import fit_fusion_head, history_frame
     from twinlens.plans.fixtures import IMG_DIM
     from twinlens.session import scratch_path
@@ -604,11 +610,15 @@ def q_mlp_head_fit(spark, sf):
     fe = pl.labelled_features(spark, sf)
     train, val = fe.where(F.col("split") == "train"), fe.where(F.col("split") == "val")
     best, last, hist = fit_fusion_head(train, val, default_blocks(IMG_DIM, TXT_DIM))
-    if best is not None:
-        path = scratch_path(spark, "best-head")
-        save_head(spark, best, path)
-        load_head(spark, path)
-    return mark_improvements(history_frame(spark, hist))
+    out = mark_improvements(history_frame(spark, hist))
+    if best is None:
+        return out.withColumn("stored_acc", F.lit(None).cast("double"))
+    path = scratch_path(spark, "best-head")
+    save_head(spark, best, path)
+    acc = ev.accuracy(score(val, load_head(spark, path)), "pred", "label").select(
+        (100.0 * F.col("correct") / F.col("total")).alias("stored_acc"),
+        F.lit(max(h[0] for h in hist if h[4])).alias("epoch"))
+    return out.join(acc, "epoch", "left")
 
 
 @register("ml_head_fit")
@@ -623,4 +633,4 @@ def q_ml_head_fit(spark, sf):
     return ev.accuracy(pred, "pred", "label")
 
 
-from twinlens.plans import image_queries  # noqa: E402, F401
+from twinlens.plans import file_queries, image_queries, model_queries  # noqa: E402, F401

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinlens.functions.text import decode_text
+from twinlens.functions.text import decode_report
 
 # Largest set of manifest guids broadcast to cut a blob listing before decoding.
 MAX_SEMI_KEYS = 1_000_000
@@ -56,14 +56,14 @@ def read_text_blobs(spark: SparkSession, folder: str, encoding: str = "gb18030",
     """``{guid}.txt`` files -> ``(guid, text, text_ok)`` (``path`` too without dedupe).
 
     Bytes are decoded (Arrow batches) with malformed sequences dropped, then
-    stripped, before any shuffle. ``guids`` (see ``manifest_keys``) keeps only
+    stripped, before any shuffle; ``text_ok`` says whether there were none (B11). ``guids`` (see ``manifest_keys``) keeps only
     those files, before decoding.
     """
     raw = _load(spark.read.format("binaryFile"), folder, "txt", recursive)
     raw = _only(raw.select(_guid_from_path(F.col("path"), "txt").alias("guid"), "path", "content"),
                 guids)
-    df = raw.select("guid", "path", decode_text(F.col("content"), encoding).alias("text"),
-                    F.lit(True).alias("text_ok"))
+    df = raw.select("guid", "path", decode_report(F.col("content"), encoding).alias("_r")).select(
+        "guid", "path", F.col("_r.text").alias("text"), F.col("_r.ok").alias("text_ok"))
     return first_per_guid(df, "path") if dedupe else df
 
 

@@ -99,7 +99,9 @@ def write_bad_cases(df: DataFrame, path: str) -> None:
 
 
 def read_bad_cases(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.option("header", True).option("multiLine", True)
-            .option("escape", '"')
-            .schema("guid string, text string, true_label string, pred_label string")
-            .csv(path))
+    """The file of ``write_bad_cases``; an empty text stays one (the CSV reader would make it NULL)."""
+    raw = (spark.read.option("header", True).option("multiLine", True)
+           .option("escape", '"')
+           .schema("guid string, text string, true_label string, pred_label string")
+           .csv(path))
+    return raw.withColumn("text", F.coalesce("text", F.lit("")))
