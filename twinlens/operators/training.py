@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from twinlens.functions.labels import NUM_CLASSES
 from twinlens.operators.evaluate import accuracy
 from twinlens.operators.fusion import Block, Head, MAX_HEAD_BYTES, score
-from twinlens.session import materialize
+from twinlens.session import discard, materialize
 
 # ------------------------------------------------------------ reports
 
@@ -280,7 +280,8 @@ def fit_fusion_head(train: DataFrame | Callable[[int], DataFrame], val: DataFram
         raise ValueError("head too large to broadcast")
     best_acc, best_head, history = 0.0, None, []
     for epoch in range(1, epochs + 1):
-        ordered = _train_rows(rows_of(epoch), epoch, seed, trainers, guid_col, label_col, features_col)
+        rows = rows_of(epoch)
+        ordered = _train_rows(rows, epoch, seed, trainers, guid_col, label_col, features_col)
         bstate = ordered.sparkSession.sparkContext.broadcast((_pack(st.params + st.m + st.v), st.step))
 
         def run(batches, _b=bstate, _e=epoch):
@@ -324,6 +325,8 @@ def fit_fusion_head(train: DataFrame | Callable[[int], DataFrame], val: DataFram
 
         merged = _sum_chunks(ordered.mapInPandas(run, _PART_SCHEMA)).collect()
         bstate.destroy()
+        if rows is not train:
+            discard(rows)  # an epoch's augmented features, if they were written
         if not merged:
             raise ValueError("no training rows")
         merged.sort(key=lambda r: r.chunk)

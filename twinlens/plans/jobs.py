@@ -38,7 +38,7 @@ from twinlens.sources.blobs import (first_per_guid, manifest_keys, read_image_bl
 from twinlens.sources.manifest import (read_manifest, read_split, write_bad_cases,
                                        write_predictions, write_split)
 from twinlens.sources.model_io import load_head, save_head
-from twinlens.session import materialize
+from twinlens.session import lifetime, materialize, settled
 
 
 @dataclass
@@ -137,22 +137,24 @@ def train_job(spark: SparkSession, train_file: str, data_dir: str, out_dir: str,
     keyed on guid, epoch and seed; validation images are not (I6).
     """
     spec = spec or FeatureSpec()
-    m = prepare_manifest(read_manifest(spark, train_file))
-    s = materialize(split_manifest(m, 0.2, seed), "split-manifest")
-    write_split(s.select("row_no", "guid", "tag", "split"), f"{out_dir}/split")
-    own, held = s.where(F.col("split") == "train"), s.where(F.col("split") == "val")
-    texts = materialize(blob_features(spark, data_dir, spec, guids=manifest_keys(s))[0], "text-features")
-
-    def features(rows: DataFrame, train: bool, epoch: int = 1) -> DataFrame:
-        imgs = blob_features(spark, data_dir, spec, train, epoch, seed, guids=manifest_keys(rows))[1]
-        fe = attach_features(rows, texts, imgs, spec)
-        return materialize(fe.select("row_no", "guid", "label", "features"), "train-features")
-
-    best, last, hist = fit_fusion_head(lambda epoch: features(own, True, epoch), features(held, False),
-                                       spec.blocks(), hidden=hidden, epochs=epochs, lr=lr,
-                                       batch_size=batch_size, seed=seed)
-    if best is not None:  # only an epoch that improved leaves a head
-        save_head(spark, best, f"{out_dir}/best_head")
+    with lifetime(spark):
+        m = prepare_manifest(read_manifest(spark, train_file))
+        s = materialize(split_manifest(m, 0.2, seed), "split-manifest")
+        write_split(s.select("row_no", "guid", "tag", "split"), f"{out_dir}/split")
+        own, held = s.where(F.col("split") == "train"), s.where(F.col("split") == "val")
+        texts = materialize(blob_features(spark, data_dir, spec, guids=manifest_keys(s))[0], "text-features")
+
+        def features(rows: DataFrame, train: bool, epoch: int = 1) -> DataFrame:
+            with lifetime(spark) as step:
+                imgs = blob_features(spark, data_dir, spec, train, epoch, seed, guids=manifest_keys(rows))[1]
+                fe = attach_features(rows, texts, imgs, spec)
+                return step.keep(materialize(fe.select("row_no", "guid", "label", "features"), "train-features"))
+
+        best, last, hist = fit_fusion_head(lambda epoch: features(own, True, epoch), features(held, False),
+                                           spec.blocks(), hidden=hidden, epochs=epochs, lr=lr,
+                                           batch_size=batch_size, seed=seed)
+        if best is not None:  # only an epoch that improved leaves a head
+            save_head(spark, best, f"{out_dir}/best_head")
     return mark_improvements(history_frame(spark, hist))
 
 
@@ -163,12 +165,13 @@ def predict_job(spark: SparkSession, test_file: str, data_dir: str, head_path: s
     Returns the class distribution (most frequent first).
     """
     head = load_head(spark, head_path)
-    m = prepare_manifest(read_manifest(spark, test_file, labelled=False), labelled=False)
-    fe = build_features(spark, m, data_dir, spec)
-    pred = score(fe, head).select("row_no", "guid", decode_label("pred").alias("tag"))
-    pred = materialize(pred, "predictions")
-    write_predictions(pred, out_path)
-    return ev.class_distribution(pred, "tag")
+    with lifetime(spark):
+        m = prepare_manifest(read_manifest(spark, test_file, labelled=False), labelled=False)
+        fe = build_features(spark, m, data_dir, spec)
+        pred = score(fe, head).select("row_no", "guid", decode_label("pred").alias("tag"))
+        pred = materialize(pred, "predictions")
+        write_predictions(pred, out_path)
+        return settled(ev.class_distribution(pred, "tag"))
 
 
 def _val_features(spark, split_path, data_dir, spec):
@@ -186,9 +189,10 @@ def ablation_job(spark: SparkSession, split_path: str, data_dir: str, head_path:
     """
     spec = spec or FeatureSpec()
     head = load_head(spark, head_path)
-    fe = _val_features(spark, split_path, data_dir, spec)
     consts = {"img": spec.masked_image_feature()[None, :], "txt": spec.empty_text_feature()[None, :]}
-    return ev.ablation_report(score_modes(fe, head, consts=consts))
+    with lifetime(spark):
+        fe = _val_features(spark, split_path, data_dir, spec)
+        return settled(ev.ablation_report(score_modes(fe, head, consts=consts)))
 
 
 def bad_case_job(spark: SparkSession, split_path: str, data_dir: str, head_path: str,
@@ -199,16 +203,17 @@ def bad_case_job(spark: SparkSession, split_path: str, data_dir: str, head_path:
     """
     spec = spec or FeatureSpec()
     head = load_head(spark, head_path)
-    fe = _val_features(spark, split_path, data_dir, spec)
-    wrong = materialize(score(fe, head).where(F.col("pred") != F.col("label"))
-                        .select("row_no", "guid", "label", "pred"), "misclassified")
-    texts = read_text_blobs(spark, data_dir, spec.encoding, guids=manifest_keys(wrong))
-    bad = ev.bad_cases(attach_text(wrong, texts), keep=("row_no",))
-    bad = bad.withColumn("order_key", split_order_key("guid"))
-    bad = materialize(bad, "bad-cases")
-    write_bad_cases(bad, out_path)
-    first = ev.head_rows(bad, [F.col("order_key"), F.col("guid"), F.col("row_no")], 5)
-    return ev.bad_case_count(bad), first.drop("order_key")
+    with lifetime(spark):
+        fe = _val_features(spark, split_path, data_dir, spec)
+        wrong = materialize(score(fe, head).where(F.col("pred") != F.col("label"))
+                            .select("row_no", "guid", "label", "pred"), "misclassified")
+        texts = read_text_blobs(spark, data_dir, spec.encoding, guids=manifest_keys(wrong))
+        bad = ev.bad_cases(attach_text(wrong, texts), keep=("row_no",))
+        bad = bad.withColumn("order_key", split_order_key("guid"))
+        bad = materialize(bad, "bad-cases")
+        write_bad_cases(bad, out_path)
+        first = ev.head_rows(bad, [F.col("order_key"), F.col("guid"), F.col("row_no")], 5)
+        return settled(ev.bad_case_count(bad)), settled(first.drop("order_key"))
 
 
 @arrow_udf(T.BooleanType())
@@ -224,12 +229,24 @@ def _all_black(data: pd.Series, n_ch: pd.Series) -> pd.Series:
 
 
 def audit_job(spark: SparkSession, manifest_file: str, data_dir: str, labelled: bool = False,
-              spec: FeatureSpec | None = None) -> tuple[DataFrame, DataFrame]:
+              spec: FeatureSpec | None = None, out_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Audit every manifest row: files present/readable, empty text, size, all black.
 
     Image flags are computed where the image is decoded; only flags are shuffled.
+    Rows and summary; with ``out_path`` the rows are a table there, else they
+    live as long as the caller's ``lifetime`` or the session.
     """
-    spec = spec or FeatureSpec()
+    with lifetime(spark) as own:
+        rows = _audited(spark, manifest_file, data_dir, labelled, spec or FeatureSpec())
+        if out_path is None:
+            rows = own.keep(materialize(rows, "audit"))
+        else:
+            rows.write.mode("overwrite").parquet(out_path)
+            rows = spark.read.parquet(out_path)
+        return rows, settled(audit_summary(rows))
+
+
+def _audited(spark: SparkSession, manifest_file: str, data_dir: str, labelled: bool, spec: FeatureSpec) -> DataFrame:
     m = prepare_manifest(read_manifest(spark, manifest_file, labelled=labelled), labelled=labelled)
     keys = manifest_keys(m)
     # reduce each text to its flags where it is read: dedupe and join shuffle no text
@@ -241,5 +258,4 @@ def audit_job(spark: SparkSession, manifest_file: str, data_dir: str, labelled:
     flags = raw.select("guid", "origin", "image_ok", F.col("image.width").alias("width"),
                        F.col("image.height").alias("height"),
                        _all_black(F.col("image.data"), F.col("image.nChannels")).alias("image_black"))
-    rows = audit_rows(m, texts, first_per_guid(flags, "origin"), px_col=None)
-    return rows, audit_summary(rows)
+    return audit_rows(m, texts, first_per_guid(flags, "origin"), px_col=None)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextvars
 import os
 import re
 import tempfile
+import weakref
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -58,23 +60,105 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+_RUNS: dict[str, str] = {}
+_OPEN: contextvars.ContextVar[tuple[Lifetime, ...]] = contextvars.ContextVar("open_lifetimes", default=())
+_WRITTEN: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _run_folder(spark: SparkSession) -> str:
+    """This session's own folder under the shared one; it goes when the driver's JVM ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _RUNS:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/twinlens-{os.urandom(6).hex()}"
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _RUNS[app] = path
+    return _RUNS[app]
+
+
+class Lifetime:
+    """What is written to scratch paths while it is open goes when it closes, also after an error (M6).
+
+    ``with lifetime(spark) as own: ...``. Lifetimes nest: a path belongs to the
+    innermost open one, or to the session if none is open. ``own.keep(df)`` hands
+    a table that ``materialize`` returned over to the next outer one. Frames
+    that read a table must be used up, or written elsewhere, before it closes.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = _WRITTEN[df]
+        self.paths.remove(path)
+        outer = [x for x in _OPEN.get() if x is not self]
+        if outer:
+            outer[-1].paths.append(path)
+        return df
+
+    def __enter__(self) -> Lifetime:
+        _OPEN.set((*_OPEN.get(), self))
+        return self
+
+    def __exit__(self, *error) -> None:
+        _OPEN.set(tuple(x for x in _OPEN.get() if x is not self))
+        for path in self.paths:
+            _delete(self.spark, path)
+        self.paths = []
+
+
+def lifetime(spark: SparkSession) -> Lifetime:
+    return Lifetime(spark)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` returned, when all that is made of it has been written; others stay."""
+    path = _WRITTEN.pop(df, None)
+    if path is None:
+        return
+    for own in _OPEN.get():
+        if path in own.paths:
+            own.paths.remove(path)
+    _delete(df.sparkSession, path)
+
+
+def settled(df: DataFrame, limit: int = 10_000) -> DataFrame:
+    """A bounded report (a few rows by its nature) as a frame of its own, which reads no table any more."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"not a bounded report: over {limit} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.urandom(6).hex()}"
+    """A fresh path under the shared checkpoint folder, owned by the innermost open ``lifetime``."""
+    path = f"{_run_folder(spark)}/{name}-{os.urandom(6).hex()}"
+    if _OPEN.get():
+        _OPEN.get()[-1].paths.append(path)
+    return path
 
 
-def materialize(df, name: str = "features"):
+def materialize(df: DataFrame, name: str = "features") -> DataFrame:
     """Write once to the shared checkpoint folder and read back (M6).
 
     Later epochs, modes and reports scan the parquet copy: the encoders run
     once, and a lost executor re-reads files instead of recomputing lineage.
     One job computes the rows (an RDD checkpoint of an unpersisted plan would
-    compute them twice).
+    compute them twice). The table goes with its ``lifetime``, or with the session.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    _WRITTEN[out] = path
+    return out
 
 
 def spread(df, min_partitions: int | None = None):
