@@ -111,3 +111,12 @@ def test_strip_ws_matches_python_for_every_whitespace_char(spark):
     df = spark.createDataFrame(rows, "t string")
     got = [r[0] for r in df.select(strip_ws("t")).collect()]
     assert got == [None if t is None else t.strip() for (t,) in rows]
+
+
+def test_decode_report_tells_valid_bytes_from_others(spark):
+    from twinlens.functions.text import decode_report
+    rows = [("  图 ok\r\n".encode("gb18030"), "图 ok", True), (b"ab\xff\xffcd", "abcd", False), (b"tail\x81", "tail", False),
+            (b"", "", True), (None, None, False)]
+    df = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "i int, b binary")
+    got = df.select("i", decode_report("b").alias("r")).orderBy("i").select("r.*").collect()
+    assert [tuple(r) for r in got] == [r[1:] for r in rows]

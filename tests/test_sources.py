@@ -113,3 +113,41 @@ def test_cluster_without_shared_folder_is_an_error():
     sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(SimpleNamespace(sparkContext=sc, conf={}))
+
+
+def test_registered_split_reads_one_folder(spark):
+    import __spark_entry__ as se
+    df = se.queries()["split_store"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("]", 1)[0]
+    assert "split" in filters and "val" in filters
+    assert {f.rsplit("/", 2)[-2] for f in df.inputFiles()} >= {"split=val"}
+
+
+def test_written_manifest_has_files_of_different_size(spark):
+    from twinlens.plans import file_queries as fq
+    part = F.least(F.lit(fq.FILES - 1), F.floor(F.log2(F.col("at") + 1) / 2)).cast("int")
+    sizes = [r["count"] for r in fq._manifest_lines(spark, "/root/testdata/sf0.01").groupBy(part).count().collect()]
+    assert len(sizes) >= 5 and max(sizes) > 20 * min(sizes)
+
+
+def test_empty_text_survives_the_bad_case_file(spark, tmpdir_path):
+    bad = spark.createDataFrame([("1", "", "negative", "positive"), ("2", '""', "neutral", "positive")],
+                                "guid string, text string, true_label string, pred_label string")
+    mf.write_bad_cases(bad, f"{tmpdir_path}/bad")
+    assert {r.guid: r.text for r in mf.read_bad_cases(spark, f"{tmpdir_path}/bad").collect()} == {"1": "", "2": '""'}
+
+
+def test_no_listing_of_input_files_in_the_package():
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parent.parent / "twinlens"
+    assert [p for p in root.rglob("*.py") if "inputFiles(" in p.read_text()] == []
+
+
+def test_spread_deals_small_inputs_only(spark, tmpdir_path, monkeypatch):
+    from twinlens import session as ss
+    spark.range(1000).coalesce(1).write.parquet(f"{tmpdir_path}/one")
+    df = spark.read.parquet(f"{tmpdir_path}/one")
+    assert ss.spread(df, 5).rdd.getNumPartitions() == 5
+    monkeypatch.setattr(ss, "SPREAD_BYTES", 10)
+    assert ss.spread(df, 5).rdd.getNumPartitions() == df.rdd.getNumPartitions()

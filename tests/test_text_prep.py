@@ -20,9 +20,13 @@ def test_wordpiece_greedy_longest_match(spark):
     assert got[2] == [2, 3]
 
 
-def test_basic_tokens_rules():
-    assert tp.basic_tokens("Héllo,WORLD\x00 中文") == ["hello", ",", "world", "中", "文"]
-    assert tp.wordpiece("x" * 101, {"x": 5}, 1) == [1]
+def test_wordpiece_word_rules(spark):
+    toks = ["hello", ",", "world", "中", "文", "x", "##x"]
+    ids = {t: i for i, t in enumerate(tp.SPECIALS + toks)}
+    df = spark.createDataFrame([("Héllo,WORLD\x00 中文",), ("x" * 101,), ("xxx",), (None,)], "text string")
+    got = [r.ids for r in tp.wordpiece_encode(df, _vocab(spark, toks), out_col="ids").collect()]
+    assert got[0] == [2, *[ids[t] for t in ("hello", ",", "world", "中", "文")], 3]
+    assert got[1:] == [[2, 1, 3], [2, ids["x"], ids["##x"], ids["##x"], 3], [2, 3]]
 
 
 def test_load_vocab_order(spark, tmpdir_path):

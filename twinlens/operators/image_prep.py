@@ -63,6 +63,8 @@ def angle_of(draw, degrees: float = 15.0):
 def resize_weights(n_in: int, n_out: int) -> np.ndarray:
     """Bilinear resampling weights with antialiasing on downscale, ``[n_out, n_in]``.
 
+    The usual triangle filter of public image libraries (Pillow's BILINEAR).
+
     Output sample ``o`` is centred at ``(o + 0.5) * scale``; the triangle filter
     is widened by ``scale`` when shrinking, and each row is normalised.
     """
@@ -258,6 +260,19 @@ def struct_extrema(image: Column) -> Column:
     return _extrema(image["data"], image["height"], image["width"], image["nChannels"])
 
 
+@arrow_udf(T.BooleanType())
+def all_black(data: pd.Series, n_ch: pd.Series) -> pd.Series:
+    """Whether every colour value is 0; NULL for an undecodable image."""
+    out = []
+    for d, c in zip(data, n_ch):
+        if d is None or c is None or c <= 0:
+            out.append(None)
+            continue
+        a = np.frombuffer(d, dtype=np.uint8).reshape(-1, c)
+        out.append(bool(a[:, :3].max() == 0) if len(a) else True)
+    return pd.Series(out)
+
+
 def resize_rgb(img: np.ndarray, oh: int = SIZE, ow: int = SIZE) -> np.ndarray:
     """Separable bilinear resize: rows, then columns, each one BLAS product."""
     wr, wc = resize_weights(img.shape[0], oh), resize_weights(img.shape[1], ow)

@@ -8,8 +8,8 @@
   cut is a ``TakeOrderedAndProject`` (bounded by k).
 * ``encode_words``: word-level ids by a broadcast join with the vocabulary
   (size bounded by k, checked), long form ``(guid, pos, token_id)``.
-* ``wordpiece_encode``: BERT-style WordPiece ids in Arrow batches with a
-  broadcast vocabulary.
+* ``wordpiece_encode``: BERT-style WordPiece ids in Arrow batches by the public
+  ``tokenizers`` library, with a broadcast vocabulary.
 * ``pad_batches``: batches of 16 inside hash buckets, padded to the batch's
   longest sequence, with the attention mask.
 """
@@ -17,7 +17,7 @@
 from __future__ import annotations
 
 import hashlib
-import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -179,101 +179,31 @@ def encode_words(df: DataFrame, vocab: DataFrame, max_len: int = 128,
 
 # ---------------------------------------------------------------- WordPiece
 
-def _is_punct(ch: str) -> bool:
-    cp = ord(ch)
-    if 33 <= cp <= 47 or 58 <= cp <= 64 or 91 <= cp <= 96 or 123 <= cp <= 126:
-        return True
-    return unicodedata.category(ch).startswith("P")
-
-
-def _is_cjk(cp: int) -> bool:
-    return (0x4E00 <= cp <= 0x9FFF or 0x3400 <= cp <= 0x4DBF or 0x20000 <= cp <= 0x2A6DF
-            or 0x2A700 <= cp <= 0x2B73F or 0x2B740 <= cp <= 0x2B81F
-            or 0x2B820 <= cp <= 0x2CEAF or 0xF900 <= cp <= 0xFAFF or 0x2F800 <= cp <= 0x2FA1F)
-
-
-def basic_tokens(text: str) -> list[str]:
-    """Lower-case, strip accents, drop controls, split whitespace/punct/CJK."""
-    out = []
-    for ch in text:
-        cp = ord(ch)
-        if cp == 0 or cp == 0xFFFD or (unicodedata.category(ch).startswith("C")
-                                       and ch not in "\t\n\r"):
-            continue
-        if _is_cjk(cp):
-            out.append(f" {ch} ")
-        elif ch.isspace():
-            out.append(" ")
-        else:
-            out.append(ch)
-    words = []
-    for w in "".join(out).lower().split():
-        w = "".join(c for c in unicodedata.normalize("NFD", w)
-                    if unicodedata.category(c) != "Mn")
-        cur = ""
-        for ch in w:
-            if _is_punct(ch):
-                if cur:
-                    words.append(cur)
-                    cur = ""
-                words.append(ch)
-            else:
-                cur += ch
-        if cur:
-            words.append(cur)
-    return words
-
-
-def wordpiece(word: str, vocab: dict[str, int], unk: int, max_chars: int = 100) -> list[int]:
-    """Greedy longest-match-first with ``##`` continuations."""
-    if len(word) > max_chars:
-        return [unk]
-    ids, start = [], 0
-    while start < len(word):
-        end = len(word)
-        hit = None
-        while start < end:
-            piece = word[start:end] if start == 0 else "##" + word[start:end]
-            if piece in vocab:
-                hit = vocab[piece]
-                break
-            end -= 1
-        if hit is None:
-            return [unk]
-        ids.append(hit)
-        start = end
-    return ids
-
-
 def wordpiece_encode(df: DataFrame, vocab: DataFrame, max_len: int = 128,
                      text_col: str = "text", out_col: str = "input_ids") -> DataFrame:
-    """BERT-style ids ``[CLS] … [SEP]`` truncated to ``max_len``.
+    """BERT-style ids ``[CLS] … [SEP]`` truncated to ``max_len`` (T2), by the public ``tokenizers`` library.
 
-    The vocabulary (bounded, checked) is broadcast once; encoding runs in
-    Arrow batches.
+    The vocabulary (bounded, checked) is broadcast once; every worker builds the
+    tokenizer once and encodes Arrow batches. A null text counts as empty.
     """
-    n = vocab.count()
-    if n > MAX_BROADCAST_VOCAB:
-        raise ValueError(f"vocabulary of {n} entries exceeds the broadcast guard")
-    df = spread(df)
-    table = {r["token"]: int(r["token_id"]) for r in vocab.select("token", "token_id").collect()}
-    bv = df.sparkSession.sparkContext.broadcast(table)
+    rows = vocab.select("token", "token_id").limit(MAX_BROADCAST_VOCAB + 1).collect()
+    if len(rows) > MAX_BROADCAST_VOCAB:
+        raise ValueError("vocabulary exceeds the broadcast guard")
+    known = df.sparkSession.sparkContext.broadcast({r.token: int(r.token_id) for r in rows})
 
-    @arrow_udf(T.ArrayType(T.IntegerType()))
-    def enc(texts: pd.Series) -> pd.Series:
-        v = bv.value
-        unk, cls, sep = v[UNK], v[CLS], v[SEP]
-        res = []
-        for t in texts:
-            ids: list[int] = []
-            for w in basic_tokens(t or ""):
-                ids.extend(wordpiece(w, v, unk))
-                if len(ids) >= max_len - 2:
-                    break
-            res.append([cls] + ids[:max_len - 2] + [sep])
-        return pd.Series(res)
-
-    return df.withColumn(out_col, enc(F.col(text_col)))
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, processors
+        v = known.value
+        tok = Tokenizer(models.WordPiece(v, unk_token=UNK, max_input_chars_per_word=100))
+        tok.normalizer = normalizers.BertNormalizer()
+        tok.pre_tokenizer = pre_tokenizers.BertPreTokenizer()
+        tok.post_processor = processors.BertProcessing((SEP, v[SEP]), (CLS, v[CLS]))
+        tok.enable_truncation(max_len)
+        for texts in batches:
+            yield pd.Series([e.ids for e in tok.encode_batch([t or "" for t in texts])], dtype=object)
+
+    return spread(df).withColumn(out_col, enc.asNondeterministic()(F.col(text_col)))
 
 
 # ---------------------------------------------------------------- batches

@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from twinlens.functions.text import decode_report, is_blank, preview
 from twinlens.operators import image_prep as ip
 from twinlens.operators import image_steps as st
-from twinlens.plans.registry import _image_structs, _long, register
+from twinlens.operators.audit import audit_rows
+from twinlens.operators.modality import prepare_manifest
+from twinlens.plans.fixtures import fx_edge_blob, fx_manifest, with_ctes
+from twinlens.plans.registry import _image_structs, _long, _strip_sql, register
 from twinlens.session import spread
 
 #: Side of the given rasters, of the encoded image and of the augmented one.
@@ -158,3 +162,43 @@ def q_image_custom_chain(spark, sf):
     chain = st.Transform((centre_crop, st.Normalize((0.5,) * 3, (0.25,) * 3)))
     f = ip.image_features(_image_structs(spark, sf), encoder_factory=pooled, dim=12, transform=chain)
     return _long(f, ["guid"], "img_feat", 9, nonzero=False)
+
+
+def _uneven_structs(spark, sf):
+    """The structs with 8, 7 or 6 rows of pixels by id; every seventh undecodable, every ninth black."""
+    im, n = F.col("image"), F.col("guid").cast("bigint")
+    height = (SIDE - n % 3).cast("int")
+    size = height * SIDE * 3
+    data = F.when(n % 9 == 0, F.unhex(F.repeat(F.lit("00"), size))).otherwise(F.substring(im["data"], F.lit(1), size))
+    bad, no = n % 7 == 0, F.lit(-1)
+    image = F.struct(im["origin"].alias("origin"), F.when(bad, no).otherwise(height).alias("height"),
+                     F.when(bad, no).otherwise(SIDE).alias("width"), F.when(bad, no).otherwise(3).alias("nChannels"),
+                     F.when(bad, no).otherwise(16).alias("mode"), F.when(bad, F.unhex(F.lit(""))).otherwise(data).alias("data"))
+    return _image_structs(spark, sf).select("guid", image.alias("image"))
+
+
+@register("audit_rows", with_ctes(f"""
+SELECT m.row_no, m.guid, t.guid IS NOT NULL AS text_exists,
+       t.guid IS NOT NULL AND CAST(t.guid AS BIGINT) % 10 NOT IN (1, 4, 7) AS text_readable,
+       t.guid IS NOT NULL AND length(t.s) = 0 AS text_empty, coalesce(substring(t.s, 1, 50), '') AS text_preview,
+       i.vec_id IS NOT NULL AS image_exists, i.vec_id IS NOT NULL AND i.vec_id % 7 <> 0 AS image_readable,
+       CAST(CASE WHEN i.vec_id % 7 = 0 THEN -1 WHEN i.vec_id IS NOT NULL THEN {SIDE} END AS INTEGER) AS width,
+       CAST(CASE WHEN i.vec_id % 7 = 0 THEN -1 ELSE {SIDE} - i.vec_id % 3 END AS INTEGER) AS height,
+       coalesce(i.vec_id % 7 <> 0 AND i.vec_id % 9 = 0, false) AS image_black
+FROM norm_manifest m
+LEFT JOIN (SELECT guid, {_strip_sql("replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))")} AS s
+           FROM fx_edge_text) t ON t.guid = m.guid
+LEFT JOIN (SELECT CAST(vec_id AS VARCHAR) AS guid, vec_id FROM embeddings) i ON i.guid = m.guid""",
+    "norm_manifest", "fx_edge_text"))
+def q_audit_rows(spark, sf):
+    """Every manifest row's audit: files there and readable, text preview, image size, all black."""
+    texts = fx_edge_blob(spark, sf).select("guid", decode_report("blob").alias("r")).select(
+        "guid", F.col("r.ok").alias("text_ok"), is_blank("r.text").alias("text_empty"),
+        preview("r.text").alias("text_preview"))
+    images = _uneven_structs(spark, sf)
+    flags = images.select("guid", (F.col("image.nChannels") > 0).alias("image_ok"), F.col("image.width").alias("width"),
+                          F.col("image.height").alias("height"),
+                          ip.all_black(F.col("image.data"), F.col("image.nChannels")).alias("image_black"))
+    rows = audit_rows(prepare_manifest(fx_manifest(spark, sf)), texts, flags, px_col=None)
+    return rows.select("row_no", "guid", "text_exists", "text_readable", "text_empty", "text_preview", "image_exists",
+                       "image_readable", "width", "height", "image_black")

@@ -16,18 +16,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from twinlens.functions.udf import arrow_udf
 from twinlens.functions.labels import decode_label
 from twinlens.functions.text import is_blank, preview
 from twinlens.operators import evaluate as ev
 from twinlens.operators.audit import audit_rows, audit_summary
 from twinlens.operators.fusion import Block, fuse_features, score, score_modes
-from twinlens.operators.image_prep import SIZE, black_image_feature, grid_encoder, image_features
+from twinlens.operators.image_prep import SIZE, all_black, black_image_feature, grid_encoder, image_features
 from twinlens.operators.image_steps import Transform, flat_features, standard
 from twinlens.operators.modality import attach_modalities, attach_text, prepare_manifest
 from twinlens.operators.split import split_manifest, split_order_key
@@ -216,18 +213,6 @@ def bad_case_job(spark: SparkSession, split_path: str, data_dir: str, head_path:
         return settled(ev.bad_case_count(bad)), settled(first.drop("order_key"))
 
 
-@arrow_udf(T.BooleanType())
-def _all_black(data: pd.Series, n_ch: pd.Series) -> pd.Series:
-    out = []
-    for d, c in zip(data, n_ch):
-        if d is None or c is None or c <= 0:
-            out.append(None)
-            continue
-        a = np.frombuffer(d, dtype=np.uint8).reshape(-1, c)
-        out.append(bool(a[:, :3].max() == 0) if len(a) else True)
-    return pd.Series(out)
-
-
 def audit_job(spark: SparkSession, manifest_file: str, data_dir: str, labelled: bool = False,
               spec: FeatureSpec | None = None, out_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Audit every manifest row: files present/readable, empty text, size, all black.
@@ -257,5 +242,5 @@ def _audited(spark: SparkSession, manifest_file: str, data_dir: str, labelled: b
     raw = read_image_blobs(spark, data_dir, dedupe=False, guids=keys)
     flags = raw.select("guid", "origin", "image_ok", F.col("image.width").alias("width"),
                        F.col("image.height").alias("height"),
-                       _all_black(F.col("image.data"), F.col("image.nChannels")).alias("image_black"))
+                       all_black(F.col("image.data"), F.col("image.nChannels")).alias("image_black"))
     return audit_rows(m, texts, first_per_guid(flags, "origin"), px_col=None)

@@ -161,17 +161,20 @@ def materialize(df: DataFrame, name: str = "features") -> DataFrame:
     return out
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a DataFrame read from fewer files than cores.
-
-    A single-row-group parquet file scans as one task; per-row heavy work
-    (tokenising, hashing, Arrow UDFs) would then run on one core. Inputs spread
-    over at least as many files as cores, as at scale, pass through unchanged.
-    The decision uses the file listing only (``inputFiles``): asking a joined
-    frame for its partition count would run its exchanges an extra time.
+#: Inputs up to this size are dealt out anew where their scan has few splits.
+SPREAD_BYTES = 1 << 30
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin a small input over the cores.
+
+    A parquet file of one row group scans as one task, and per-row heavy work
+    (tokenising, hashing, Arrow UDFs) would then run on one core. The size is
+    the optimizer's own estimate, so nothing is listed or run for it; inputs
+    above ``SPREAD_BYTES``, and those without an estimate, pass through
+    unchanged, so no large table is ever shuffled here.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    n_files = len(df.inputFiles())        # 0: in-memory data, already parallelised
-    if 0 < n_files < target:
-        return df.repartition(target)
-    return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_BYTES:
+        return df
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
