@@ -298,7 +298,7 @@ def test_decontamination(spark, docs, none):
     assert 500 not in clean and 501 in clean and len(clean) == more.count() - 2
     assert decontaminate_bm25.contaminated(none, bench).count() == 0
     assert decontaminate_bm25.contaminated(docs, bench.limit(0)).count() == 0
-    assert len(decontaminate_bm25.indexes(bench, max_items=10)) > 4
+    assert len(list(decontaminate_bm25.indexes(bench, max_items=10))) > 4
 
 
 def test_decontamination_of_altered_copies(spark):

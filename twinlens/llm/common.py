@@ -22,11 +22,18 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
 
 
-def ascii_lower(c: Column) -> Column:
-    return F.translate(c, ASCII_UPPER, ASCII_UPPER.lower())
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` in one struct, whatever their names (``unpacked`` gives them back)."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
+
 
+def unpacked(columns: list[str], of: str = "row") -> list[Column]:
+    return [F.col(of)[c].alias(c) for c in columns]
 
 
+def ascii_lower(c: Column) -> Column:
+    return F.translate(c, ASCII_UPPER, ASCII_UPPER.lower())
+
 
 def bounded_sample(df: DataFrame, n: int, *key: str) -> DataFrame:
     """At most ``n`` rows, about the least by the key's hash; the same rows in every run.

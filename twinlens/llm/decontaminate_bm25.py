@@ -14,7 +14,8 @@ wholly in some passage. No item and no passage is left out: WAND only skips
 what its upper bounds exclude.
 
 What is broadcast is bounded: at most ``MAX_ITEMS`` items are indexed at once;
-a larger benchmark is taken in as many passes as it needs.
+a larger benchmark is taken in as many passes as it needs, all with the
+statistics of the whole, so its size changes no score and no hit.
 
 Defined cases: null and empty texts match nothing, nor do items without a
 word; equal rows of ``documents`` give equal hits, repeated item ids give a
@@ -28,6 +29,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -35,6 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinlens.session import materialize
+
 #: Parameters of the search and of the check.
 K1, B = 1.2, 0.75
 THRESHOLD = 0.7
@@ -85,6 +89,15 @@ def words_there(part: list[bytes], other: list[bytes], whole: set[tuple[bytes, .
     return len(part) - there <= max(1.0, (1 - MIN_OVERLAP) * len(part)) and 2 * there >= len(part)
 
 
+@dataclass(frozen=True)
+class Stats:
+    """Of the whole benchmark: items with a term, their terms, those of the longest, and how many items hold a term."""
+    items: int
+    words: int
+    longest: int
+    seen: dict[bytes, int]
+
+
 class Index:
     """Postings by item, and the largest weight of each term in each block of items.
 
@@ -92,18 +105,22 @@ class Index:
     language) are neighbours, which keeps the blocks' maxima tight.
     """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], stats: Stats | None = None):
         bags = [(i, Counter(terms(t)), t) for i, t in items]
         bags = [x for x in bags if x[1]]
-        seen = Counter(t for _, c, _ in bags for t in c)
+        lengths = [sum(c.values()) for _, c, _ in bags]
+        if stats is None:
+            held = Counter(t for _, c, _ in bags for t in c)
+            stats = Stats(len(bags), sum(lengths), max(lengths, default=0), held)
+        seen = stats.seen
         bags.sort(key=lambda x: (max(x[1], key=lambda t: (seen[t], t)), sum(x[1].values()), x[0]))
         self.ids = [i for i, _, _ in bags]
         self.words = [question_and_answer(t) for _, _, t in bags]
         self.parts = [tuple(map(_shingles, qa)) for qa in self.words]
         self.whole = [_shingles(terms(t)) for _, _, t in bags]
         lengths = [sum(c.values()) for _, c, _ in bags]
-        mean = sum(lengths) / max(1, len(lengths))
-        idf = {t: math.log(1 + (len(bags) - n + 0.5) / (n + 0.5)) for t, n in seen.items()}
+        mean = stats.words / max(1, stats.items)
+        idf = {t: math.log(1 + (stats.items - n + 0.5) / (n + 0.5)) for t, n in seen.items()}
         lists: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
         for k, (_, c, _) in enumerate(bags):
             norm = K1 * (1 - B + B * lengths[k] / mean)
@@ -111,7 +128,7 @@ class Index:
             whole = sum(raw.values())
             for t, w in raw.items():
                 lists[t].append((k, w / whole))
-        self.passage = max(MIN_PASSAGE, 2 * max(lengths, default=0))
+        self.passage = max(MIN_PASSAGE, 2 * stats.longest)
         self.terms = {t: j for j, t in enumerate(lists)}
         self.items = [[k for k, _ in p] for p in lists.values()]
         self.weights = [[w for _, w in p] for p in lists.values()]
@@ -222,15 +239,39 @@ def _shingle_sets(ts: list[bytes]) -> dict[int, set[tuple[bytes, ...]]]:
     return {n: {tuple(ts[i:i + n]) for i in range(len(ts) - n + 1)} for n in range(1, SHINGLE + 1)}
 
 
-def indexes(benchmark: DataFrame, max_items: int = MAX_ITEMS) -> list[Index]:
-    """Indexes of at most ``max_items`` items each, over all of ``benchmark``."""
-    items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")))
+@F.pandas_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("distinct", T.ArrayType(T.BinaryType()))]))
+def _bag(texts: pd.Series) -> pd.DataFrame:
+    bags = [terms(t) for t in texts]
+    distinct = pd.Series([sorted(set(b)) for b in bags], dtype=object)
+    return pd.DataFrame({"n": [len(b) for b in bags], "distinct": distinct})
+
+
+def indexes(benchmark: DataFrame, max_items: int = MAX_ITEMS) -> Iterator[Index]:
+    """Indexes of about ``max_items`` items each at most, one after another, over all of ``benchmark``.
+
+    A larger benchmark is split by row, so that repeated or null ids don't gather;
+    its statistics are counted once over the whole, so scores and hits are
+    those of a single index. The driver holds one part's items and terms at a time.
+    """
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
+                             F.coalesce("text", F.lit("")).alias("text"))
     n = items.count()
-    passes = max(1, -(-n // max_items))
-    if passes == 1:
-        return [Index([tuple(r) for r in items.collect()])]
-    part = F.pmod(F.xxhash64("item_id"), F.lit(2 * passes))
-    return [Index([tuple(r) for r in items.where(part == k).collect()]) for k in range(2 * passes)]
+    if n <= max_items:
+        yield Index([tuple(r) for r in items.collect()])
+        return
+    parts = 2 * -(-n // max_items)
+    rows = materialize(items.withColumn("row", F.monotonically_increasing_id()), "items")
+    rows = materialize(rows.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)))
+                       .withColumn("bag", _bag.asNondeterministic()(F.col("text"))), "bags").where("bag.n > 0")
+    total = rows.agg(F.count(F.lit(1)), F.sum("bag.n"), F.max("bag.n")).first()
+    held = rows.select("part", F.explode("bag.distinct").alias("term"))
+    seen = held.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    seen = materialize(held.distinct().join(seen, "term"), "terms")
+    for k in range(parts):
+        own = [tuple(r) for r in rows.where(F.col("part") == k).select("item_id", "text").collect()]
+        if own:
+            counts = {bytes(r.term): r.n for r in seen.where(F.col("part") == k).collect()}
+            yield Index(own, Stats(total[0], total[1], total[2], counts))
 
 
 def hits_column(spark, index: Index, text: Column, threshold: float = THRESHOLD) -> Column:

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinlens.llm.common import SPACES, whole_text, words
+from twinlens.llm.common import SPACES, packed, unpacked, whole_text, words
 from twinlens.session import materialize
 
 #: Contract values.
@@ -145,11 +145,13 @@ def mix(docs: DataFrame, share: float = SHARE) -> DataFrame:
     rows = materialize(_keyed(docs.select("doc_id", "text", F.col("source").alias("src")))
                        .select("src", "_size", "_key", "_tie", "_bucket"), "mix-rows")
     edges = _edges(rows, share).withColumnsRenamed({"src": "e_src", "epochs": "e_epochs"})
-    df = _keyed(docs).join(edges, F.col("source").eqNullSafe(F.col("e_src")), "left")
+    # the input's columns travel in one struct: no name of theirs can clash
+    df = docs.select(packed(docs).alias("row"), "doc_id", "text", F.col("source").alias("src"))
+    df = _keyed(df).join(edges, F.col("src").eqNullSafe(F.col("e_src")), "left")
     here, there = F.struct("_key", "_tie"), F.struct(F.col("e_key").alias("_key"), F.col("e_tie").alias("_tie"))
     more = F.when(F.col("e_key").isNotNull() & (here < there), 1).otherwise(0)
     edge = F.when(F.col("e_key").isNotNull() & (here == there), F.least("_size", "e_words")).otherwise(0).cast("long")
     df = (df.withColumn("epochs", F.col("e_epochs") + more).withColumn("edge_words", edge)
           .withColumn("size", F.col("_size"))
           .withColumn("taken", F.col("epochs") * F.col("_size") + F.col("edge_words")))
-    return df.select(*docs.columns, *made)
+    return df.select(*unpacked(docs.columns), *made)

@@ -5,19 +5,24 @@
 2. High-recall generators propose further spans (number groups, spelled-out
    addresses), which may overlap the base ones.
 3. Boosted trees score every proposal from its format and context. They learn
-   from the corpus itself: a proposal that coincides with a base finding is a
-   positive, any other a negative. The sample is bounded (``SAMPLE`` proposals,
-   the least by hash; only their small feature vectors reach the driver), the
-   trees become one column expression.
-4. A proposal is redacted above the lowest score at which the held-out half of
-   the sample keeps a precision of ``MIN_PRECISION``, and never below even odds.
+   from made findings of the formats the base rules don't know (``FORMATS``:
+   spelled-out addresses, national phone and identity numbers) beside made
+   look-alikes (dates, amounts, versions, serial numbers), and from the corpus:
+   proposals at a base finding are positives, others negatives unless they
+   have one of those formats, which the corpus can't label. Half of the sample
+   is made; the corpus half is bounded (``SAMPLE`` in all, by class, the least by
+   hash; only small feature vectors reach the driver). The trees become one
+   column expression.
+4. The held-out half calibrates their scores (a logistic curve of the margin). A
+   proposal is redacted from a calibrated probability of ``MIN_PROBABILITY`` on,
+   or from where the held-out half keeps a precision of ``MIN_PRECISION``, whichever is more.
 
 Base findings always stay; the trees only add spans.
 
 Defined cases: null and empty texts have no span; equal rows get equal
-results; without proposals of both classes no model is fitted and none is
-added; an empty table gives an empty result; other columns are ignored or, in
-``redact``, kept.
+results; a corpus without proposals is scored by what the made findings teach;
+an empty table gives an empty result; other columns, whatever their names, are
+ignored or, in ``redact``, kept.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinlens.llm.common import bounded_sample, let, match_spans, whole_text
+from twinlens.llm.common import bounded_sample, let, match_spans, packed, whole_text
 from twinlens.session import materialize
 
 #: Kinds and their patterns, in the contract's order. Each starts
@@ -45,11 +50,15 @@ PATTERNS = {
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 #: Generators of proposals.
 GENERATORS = {
-    "number": r"(?<![0-9A-Za-z])[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,30}+(?![0-9A-Za-z])",
+    "number": r"(?<![0-9A-Za-z])[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+(?![0-9A-Za-z])",
     "digits": r"(?<![0-9A-Za-z])[0-9]{7,19}+(?![0-9A-Za-z])",
-    "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:@|\x20?[(\[]at[)\]]\x20?)"
-               r"[A-Za-z0-9-]{1,63}+(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9.-]{1,63}",
+    "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@|\x20?[(\[]at[)\]]\x20?)"
+               r"[A-Za-z0-9-]++(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]++)++",
 }
+#: Formats that are personal data without a base rule, as proposals look.
+FORMATS = (r"^[A-Za-z0-9._%+-]+(?:@|\x20?[(\[]at[)\]]\x20?).*[(\[](?:at|dot)[)\]]|[(\[]at[)\]]"
+           r"|^\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}$|^0[0-9]{2,4}[\x20-][0-9]{3,4}[\x20-][0-9]{3,4}$"
+           r"|^[0-9]{3}-[0-9]{2}-[0-9]{4}$")
 CONTEXT = 24
 HINTS = {
     "talk": r"(?i)(?:phone|call|tel|fax|mobile|contact)",
@@ -61,7 +70,9 @@ HINTS = {
 SAMPLE = 8000
 ROUNDS = 24
 RATE = 0.3
+MADE = 4000
 MIN_PRECISION = 0.95
+MIN_PROBABILITY = 0.9
 #: How often a redacted text is searched again.
 AGAIN = 2
 _SPANS = "array<struct<kind:string,start:int,end:int,m:string>>"
@@ -112,8 +123,8 @@ def proposals(text: Column) -> Column:
 
 
 FEATURES = ["address", "length", "digits", "separators", "dots", "plus", "brackets", "letters", "groups",
-            "longest_group", "luhn", "ip_form", "before_space", "after_space", "after_mark",
-            *[f"hint_{h}" for h in HINTS]]
+            "longest_group", "first_group", "last_group", "luhn", "ip_form", "before_space", "after_space",
+            "after_mark", *[f"hint_{h}" for h in HINTS]]
 
 
 def features(x: Column, text: Column) -> Column:
@@ -132,6 +143,8 @@ def features(x: Column, text: Column) -> Column:
         x["kind"] == "address", F.length(m), F.length(digits), left(r"[^\x20-]"), left(r"[^.]"), left("[^+]"),
         left("[^()]"), left("[^A-Za-z]"), F.size(groups),
         F.coalesce(F.array_max(F.transform(groups, lambda g: F.length(g))), F.lit(0)),
+        F.coalesce(F.length(F.get(groups, F.lit(0))), F.lit(0)),
+        F.coalesce(F.length(F.get(groups, F.size(groups) - 1)), F.lit(0)),
         F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(False), m.rlike(IP_PARTS),
         before.rlike(r"(?:^|[\s>(])$"), (after == "") | after.rlike(r"\s"), after.rlike(r"[.,;:!?]"), *flags]])
 
@@ -170,13 +183,33 @@ class Trees:
                     margin[s] += v
                 tree.append((cut, leaves))
             self.trees.append(tuple(tree))
+        self.slope, self.offset = self._calibrated(margin[held], y[held])
         # the lowest margin that keeps the precision among held-out proposals at or above it
         order = np.argsort(-margin[held], kind="stable")
         m, hit = margin[held][order], y[held][order]
         good = np.cumsum(hit) / np.arange(1, len(hit) + 1) >= MIN_PRECISION
         last = np.append(m[1:] != m[:-1], True) if len(m) else np.zeros(0, bool)
         ok = np.flatnonzero(good & last)
-        self.threshold = max(0.0, float(m[ok[-1]])) if len(ok) else float("inf")
+        sure = (np.log(MIN_PROBABILITY / (1 - MIN_PROBABILITY)) - self.offset) / self.slope
+        self.threshold = max(float(sure), float(m[ok[-1]])) if len(ok) and self.slope > 0 else float("inf")
+
+    @staticmethod
+    def _calibrated(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+        """Slope and offset of the log-odds of a held-out positive as a line in the margin (Newton steps)."""
+        a, b = 1.0, 0.0
+        # targets a little inside 0 and 1 keep the line finite where the classes are apart
+        t = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
+            w = p * (1 - p) + 1e-9
+            g = np.array([((p - t) * margin).sum(), (p - t).sum()])
+            mixed = (w * margin).sum()
+            h = np.array([[(w * margin * margin).sum() + 1e-6, mixed], [mixed, w.sum() + 1e-6]])
+            step = np.linalg.solve(h, g)
+            a, b = a - step[0], b - step[1]
+            if np.abs(step).max() < 1e-9:
+                break
+        return (float(a), float(b)) if np.isfinite(a) and np.isfinite(b) else (1.0, 0.0)
 
     @staticmethod
     def _split(x, g, h, rows):
@@ -203,12 +236,60 @@ class Trees:
         return reduce(lambda a, b: a + b, parts, F.lit(self.start))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Trees | None:
-    """Trees from a bounded sample of proposals, labelled by the base rules."""
+def made_findings(n: int = MADE, seed: int = 11) -> list[tuple[str, int, int, bool]]:
+    """``(text, start, end, personal)``: as many findings of FORMATS as look-alikes, in and out of telling contexts."""
+    rng = np.random.default_rng(seed)
+    some = lambda *x: x[rng.integers(len(x))]
+    num = lambda k: "".join(map(str, rng.integers(0, 10, k)))
+    word = lambda: "".join(some(*"bcdfglmnprst") + some(*"aeiou") for _ in range(rng.integers(1, 4)))
+
+    def address() -> str:
+        at, dot = some((" [at] ", " [dot] "), ("(at)", "(dot)"), ("[at]", "."), (" (at) ", " (dot) "), ("@", " [dot] "))
+        return word() + some("", ".", "_") + word() + at + word() + dot + some("org", "com", "net", "de", "info")
+
+    personal = [address,
+                lambda: some(f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}",
+                             f"{num(3)}.{num(3)}.{num(4)}", f"{num(3)} {num(3)} {num(4)}"),
+                lambda: some(f"0{num(3)} {num(3)} {num(4)}", f"0{num(2)} {num(4)} {num(4)}",
+                             f"0{num(4)}-{num(3)}-{num(3)}"),
+                lambda: f"{num(3)}-{num(2)}-{num(4)}"]
+    other = [lambda: some(f"20{num(2)}-{num(2)}-{num(2)}", f"{num(2)}.{num(2)}.20{num(2)} {num(2)}",
+                          f"20{num(2)} - 20{num(2)}"),
+             lambda: some(f"{num(2)} {num(3)} {num(3)}", f"{num(1)} {num(3)} {num(3)} {num(3)}",
+                          f"{num(3)}.{num(3)}.{num(3)}"),
+             lambda: num(rng.integers(7, 20)), lambda: num(16), lambda: f"17{num(8)}",
+             lambda: some(f"{num(2)}.{num(1)}.{num(2)}.{num(4)}", f"978-{num(1)}-{num(2)}-{num(6)}-{num(1)}",
+                          f"{num(4)}-{num(4)}-{num(3)}", f"{num(3)}-{num(3)}-{num(3)}-{num(3)}")]
+    tell = {0: ("write to", "mail", "contact"), 1: ("call", "phone", "tel", "fax"), 2: ("call", "tel.", "mobile"),
+            3: ("ssn", "social security", "passport", "born")}
+    plain = ("in", "the", "see", "number", "order", "on", "version", "item", "about", "total")
+    out = []
+    for i in range(n):
+        good = i % 2 == 0
+        k = int(rng.integers(len(personal if good else other)))
+        value = (personal if good else other)[k]()
+        lead = some(*tell[k]) if good and rng.random() < 0.6 else some(*plain)
+        before = " ".join(word() for _ in range(rng.integers(0, 8))) + " " + lead + some(" ", ": ", " ")
+        out.append((before + value + some("", ".", ", ") + " " + word(), len(before), len(before) + len(value), good))
+    return out
+
+
+def train(docs: DataFrame, sample: int = SAMPLE, made: int = MADE) -> Trees | None:
+    """Trees from made findings and a bounded sample of the corpus' proposals, labelled as the module says."""
+    spark = docs.sparkSession
+    rows = [(i, *r) for i, r in enumerate(made_findings(made))]
+    given = spark.createDataFrame(rows, "doc_id long, text string, a int, b int, good boolean")
+    own = _scored(given, "a", "b", "good").select("a", "b", "good", F.explode("_more").alias("p")).where("not p.hit")
+    at = (F.col("p.span.start") < F.col("b")) & (F.col("p.span.end") > F.col("a"))
+    known = [(r.f, float(r.y)) for r in own.select("p.f", (at & F.col("good")).alias("y")).collect()]
     found = _scored(docs, "doc_id").where(F.size("_more") > 0).select("doc_id", F.explode("_more").alias("p"))
-    found = materialize(found.select("p.f", "p.hit", F.xxhash64("doc_id", "p.span").alias("h")), "proposals")
-    rows = bounded_sample(found, sample, "h", "hit", "f").collect()
-    x, y = np.array([r.f for r in rows]), np.array([float(r.hit) for r in rows])
+    found = materialize(found.where(F.col("p.hit") | ~F.col("p.span.m").rlike(FORMATS))
+                        .select("p.f", "p.hit", F.xxhash64("doc_id", "p.span").alias("h")), "proposals")
+    for hit in (True, False):
+        share = bounded_sample(found.where(F.col("hit") == hit), (sample - made) // 2, "h", "f").collect()
+        known += [(r.f, float(hit)) for r in share]
+    order = np.random.default_rng(5).permutation(len(known))
+    x, y = np.array([known[i][0] for i in order]), np.array([known[i][1] for i in order])
     return Trees(x, y) if len(y) >= 20 and 0 < y.sum() < len(y) else None
 
 
@@ -268,15 +349,15 @@ def redacted(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with personal data replaced in ``text``; null texts stay null.
+    """``docs`` with personal data replaced in ``text``; null texts stay null, other columns as they are.
 
     What a replaced neighbour had hidden from the base rules (digits that ran
     on into the next number, say) is looked for again in the outcome.
     """
-    others = [c for c in docs.columns if c != "text"]
-    found = find(docs.withColumn("_null", F.col("text").isNull()), *others, "_null", trees=train(docs))
-    found = found.withColumn("_out", redacted(F.col("_t"), F.col("spans")))
+    rows = docs.select("doc_id", "text", packed(docs).alias("row"))
+    found = find(rows, "row", trees=train(docs)).withColumn("_out", redacted(F.col("_t"), F.col("spans")))
     for _ in range(AGAIN):
         found = found.withColumn("_again", F.when(F.size("spans") > 0, base_spans(F.col("_out"))).otherwise(_none()))
         found = found.withColumn("_out", redacted(F.col("_out"), F.col("_again")))
-    return found.withColumn("text", F.when(~F.col("_null"), F.col("_out"))).select(*docs.columns)
+    text = F.when(F.col("row")["text"].isNotNull(), F.col("_out")).alias("text")
+    return found.select(*[text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinlens.llm.common import bounded_sample, connected_components
+from twinlens.llm.common import bounded_sample, connected_components, packed, unpacked
 from twinlens.session import materialize
 
 #: Contract values: shingle length in words, seed and largest bit distance.
@@ -233,19 +233,29 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row of each component: one that has the smallest doc_id.
+    """``docs`` with one row of each component, all columns as they are.
 
-    Rows without a doc_id stay only where their whole component has none.
+    It is a row with the component's smallest doc_id, among those the one with
+    the least fingerprint, then text; one without a doc_id only where the whole
+    component has none. Rows that share a doc_id but not a component each stand for
+    their own. Fingerprints are computed again only for doc_ids that several rows have.
     """
     fps = materialize(fingerprints(docs, shingle), "fingerprints")
     found = materialize(components(fps), "members")
-    chosen = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = found.where(F.col("component_id").isNull())
-    if nameless.isEmpty():
-        return kept.select(*docs.columns)
-    roots = nameless.select("fp", "root").distinct().groupBy("root").agg(F.min("fp").alias("_fp"))
-    extra = docs.where(F.col("doc_id").isNull())
-    extra = extra.select("*", _fp_column(shingle)(F.col("text")).alias("_fp")).join(
-        roots.select("_fp"), "_fp", "left_semi").dropDuplicates(["_fp"])
-    return kept.select(*docs.columns).union(extra.select(*docs.columns))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp"))
+    first = found.groupBy("root").agg(least.alias("x"))
+    ids = fps.groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    chosen = materialize(first.select("x.doc_id", "x.fp").join(ids, F.col("doc_id").eqNullSafe(F.col("id")))
+                         .select("id", "fp", ((F.col("n") > 1) | F.col("id").isNull()).alias("shared")), "chosen")
+    rows = docs.select(packed(docs).alias("row"))
+    at = F.col("row")["doc_id"]
+    alone = rows.join(chosen.where("not shared"), at == F.col("id"), "left_semi")
+    several = rows.join(materialize(chosen.where("shared").select("id").distinct(), "shared-ids"),
+                        at.eqNullSafe(F.col("id")), "left_semi")
+    several = several.select("row", _fp_column(shingle)(F.col("row")["text"]).alias("of"))
+    others = [F.col("row")[c] for c, t in docs.dtypes if c not in ("doc_id", "text") and "map<" not in t]
+    tie = F.struct(F.col("row")["text"].alias("text"), F.xxhash64(F.lit(0), *others).alias("h"))
+    several = several.join(chosen.where("shared"), at.eqNullSafe(F.col("id")) & (F.col("of") == F.col("fp")),
+                           "left_semi")
+    several = several.groupBy(at.alias("id"), "of").agg(F.min_by("row", tie).alias("row")).select("row")
+    return alone.union(several).select(*unpacked(docs.columns))
