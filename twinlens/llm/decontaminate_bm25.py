@@ -113,7 +113,8 @@ class Index:
             held = Counter(t for _, c, _ in bags for t in c)
             stats = Stats(len(bags), sum(lengths), max(lengths, default=0), held)
         seen = stats.seen
-        bags.sort(key=lambda x: (max(x[1], key=lambda t: (seen[t], t)), sum(x[1].values()), x[0]))
+        bags.sort(key=lambda x: (max(x[1], key=lambda t: (seen[t], t)), sum(x[1].values()), x[0] is not None, x[0] or 0,
+                                 x[2]))
         self.ids = [i for i, _, _ in bags]
         self.words = [question_and_answer(t) for _, _, t in bags]
         self.parts = [tuple(map(_shingles, qa)) for qa in self.words]
