@@ -27,6 +27,7 @@ ignored or, in ``redact``, kept.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 import numpy as np
@@ -276,9 +277,9 @@ def made_findings(n: int = MADE, seed: int = 11) -> list[tuple[str, int, int, bo
 
 def train(docs: DataFrame, sample: int = SAMPLE, made: int = MADE) -> Trees | None:
     """Trees from made findings and a bounded sample of the corpus' proposals, labelled as the module says."""
-    spark = docs.sparkSession
-    rows = [(i, *r) for i, r in enumerate(made_findings(made))]
-    given = spark.createDataFrame(rows, "doc_id long, text string, a int, b int, good boolean")
+    rows = json.dumps([{"text": t, "a": a, "b": b, "good": good} for t, a, b, good in made_findings(made)])
+    given = docs.sparkSession.range(1).select(F.explode(F.from_json(
+        F.lit(rows), "array<struct<text:string,a:int,b:int,good:boolean>>")).alias("r")).select("r.*").repartition(8)
     own = _scored(given, "a", "b", "good").select("a", "b", "good", F.explode("_more").alias("p")).where("not p.hit")
     at = (F.col("p.span.start") < F.col("b")) & (F.col("p.span.end") > F.col("a"))
     known = [(r.f, float(r.y)) for r in own.select("p.f", (at & F.col("good")).alias("y")).collect()]
