@@ -12,9 +12,12 @@ keys until the budget is full. The one at the budget's edge gives the words
 still missing, so a source's total is its target, rounded down.
 
 A source's documents are never sorted in one task: keys fall into ``BUCKETS``
-ranges whose sizes are summed per task; running totals, first over groups of
-``2 ** GROUP_BITS`` ranges and then inside one group, find the range holding the
-edge, and only that range's rows are put in order.
+ranges of their logarithm whose sizes are summed per task; running totals, first
+over groups of ``2 ** GROUP_BITS`` ranges and then inside one group, find the
+range holding the edge. That range is cut into ``BUCKETS`` finer ones in the
+same way, and only the rows of the one that holds the edge are put in order. An
+exponential key's logarithm has a density of at most 1/e whatever its weight, so
+no range holds more than about a thousandth of its source at the first cut.
 Texts are never shuffled; documents learn their share from one small row per
 source (key of the edge, words there, epochs).
 
@@ -38,8 +41,11 @@ SHARE = 1.5
 MAX_REPEAT = 2.0
 #: Parameters of the sampling.
 SEED = 7
-BUCKETS = 1 << 14
+BUCKET_BITS = 14
+BUCKETS = 1 << BUCKET_BITS
 GROUP_BITS = 7
+#: Logarithms of keys lie between LOG_LEAST and LOG_LEAST + LOG_WIDTH (u has 53 bits, weights are MIN_QUALITY to 1).
+LOG_LEAST, LOG_WIDTH = -40.0, 50.0
 MIN_QUALITY = 0.1
 
 
@@ -87,12 +93,16 @@ def targets(sizes: DataFrame, share: float = SHARE) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Adds ``_size``, ``_key``, ``_tie`` and ``_bucket``; the key's order is the sampling order."""
+    """Adds ``_size``, ``_key``, ``_tie``, ``_bucket`` and ``_fine``; the key's order is the sampling order.
+
+    ``_bucket`` and ``_fine`` are the first and second digit of the key's logarithm.
+    """
     text = whole_text("text")
     df = docs.withColumn("_size", size_of(text)).withColumn("_tie", F.xxhash64("doc_id", text)).withColumn(
         "_key", -F.log(uniform(F.col("doc_id"), text)) / quality_of(text))
-    # any rising function of the key will do; this one spreads exponential keys evenly
-    return df.withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key") * 0.8)) * BUCKETS).cast("int"))
+    place = F.floor((F.log("_key") - LOG_LEAST) / LOG_WIDTH * (1 << 2 * BUCKET_BITS)).cast("long")
+    return df.withColumn("_bucket", F.shiftright(place, BUCKET_BITS).cast("int")).withColumn(
+        "_fine", place.bitwiseAND(BUCKETS - 1).cast("int"))
 
 
 def _holding(parts: DataFrame, key: str) -> DataFrame:
@@ -102,6 +112,19 @@ def _holding(parts: DataFrame, key: str) -> DataFrame:
     return parts.where((F.col("before") < F.col("left_over")) & (F.col("before") + F.col("n") >= F.col("left_over")))
 
 
+def _edge_range(ranges: DataFrame, left: DataFrame, key: str) -> DataFrame:
+    """``(s, b, base, left_over)``: the range of each source that holds the edge, and the sums before it.
+
+    ``ranges`` is ``(src, key, n)``, ``left`` is ``(s, base, left_over)``, base being what lies before all the ranges.
+    """
+    groups = ranges.groupBy("src", F.shiftright(key, GROUP_BITS).alias("g")).agg(F.sum("n").alias("n"))
+    group = _holding(groups.join(left, F.col("src").eqNullSafe(F.col("s"))), "g").select(
+        F.col("src").alias("s"), F.col("g").alias("e_g"), F.col("before").alias("base"), "left_over")
+    own = ranges.join(group, F.col("src").eqNullSafe(F.col("s")) & (F.shiftright(key, GROUP_BITS) == F.col("e_g")))
+    return materialize(_holding(own, key).select(
+        F.col("src").alias("s"), F.col(key).alias("b"), F.col("before").alias("base"), "left_over"), "mix-edge")
+
+
 def _edges(rows: DataFrame, share: float) -> DataFrame:
     """``(src, source_size, target, epochs, e_key, e_tie, e_words)``, one row per source.
 
@@ -115,15 +138,13 @@ def _edges(rows: DataFrame, share: float) -> DataFrame:
     plan = materialize(plan.withColumn("left_over", F.floor(
         F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")), "mix-plan")
     left = plan.select(F.col("src").alias("s"), F.lit(0).cast("long").alias("base"), "left_over")
-    groups = ranges.groupBy("src", F.shiftright("_bucket", GROUP_BITS).alias("g")).agg(F.sum("n").alias("n"))
-    group = _holding(groups.join(left, F.col("src").eqNullSafe(F.col("s"))), "g").select(
-        F.col("src").alias("s"), F.col("g").alias("e_g"), F.col("before").alias("base"), "left_over")
-    own = ranges.join(group, F.col("src").eqNullSafe(F.col("s")) & (F.shiftright("_bucket", GROUP_BITS) == F.col("e_g")))
-    edge = materialize(_holding(own, "_bucket").select(
-        F.col("src").alias("s"), F.col("_bucket").alias("b"), "before", "left_over"), "mix-edge")
-    # only the rows of one range per source; equal documents are one row
-    inside = (rows.join(edge, F.col("src").eqNullSafe(F.col("s")) & (F.col("_bucket") == F.col("b")))
-              .groupBy("src", "_key", "_tie", "before", "left_over")
+    edge = _edge_range(ranges, left, "_bucket")
+    inside = rows.join(edge, F.col("src").eqNullSafe(F.col("s")) & (F.col("_bucket") == F.col("b")))
+    fine = materialize(inside.groupBy("src", "_fine").agg(F.sum("_size").alias("n")), "mix-ranges")
+    finest = _edge_range(fine, edge.drop("b"), "_fine").withColumnsRenamed({"s": "s2", "b": "b2"}).drop("left_over")
+    # only the rows of one fine range per source; equal documents are one row
+    inside = (inside.drop("base").join(finest, F.col("src").eqNullSafe(F.col("s2")) & (F.col("_fine") == F.col("b2")))
+              .groupBy("src", "_key", "_tie", F.col("base").alias("before"), "left_over")
               .agg(F.sum("_size").alias("n"), F.count(F.lit(1)).alias("copies")))
     line = Window.partitionBy("src").orderBy("_key", "_tie").rowsBetween(Window.unboundedPreceding, -1)
     inside = inside.withColumn("done", F.col("before") + F.coalesce(F.sum("n").over(line), F.lit(0)))
@@ -143,7 +164,7 @@ def mix(docs: DataFrame, share: float = SHARE) -> DataFrame:
     made = ["size", "source_size", "target", "epochs", "edge_words", "taken"]
     docs = docs.drop(*made)
     rows = materialize(_keyed(docs.select("doc_id", "text", F.col("source").alias("src")))
-                       .select("src", "_size", "_key", "_tie", "_bucket"), "mix-rows")
+                       .select("src", "_size", "_key", "_tie", "_bucket", "_fine"), "mix-rows")
     edges = _edges(rows, share).withColumnsRenamed({"src": "e_src", "epochs": "e_epochs"})
     # the input's columns travel in one struct: no name of theirs can clash
     df = docs.select(packed(docs).alias("row"), "doc_id", "text", F.col("source").alias("src"))
