@@ -216,9 +216,10 @@ def components(fps: DataFrame) -> DataFrame:
     """
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fps")
     roots = connected_components(links(distinct), "hi", "lo")
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # both sides are written out, so that the join on the root can be split where a component has many fingerprints
+    rooted = materialize(distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+    ids = materialize(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "roots")
     # written out, so that the join with all documents can be split where one fingerprint holds many
     of = materialize(rooted.join(ids, "root").select(F.col("fp").alias("of_fp"), "component_id", "root"), "components")
     return fps.join(of, F.col("fp") == F.col("of_fp"), "left").select(
