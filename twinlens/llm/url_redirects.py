@@ -111,8 +111,11 @@ def judge(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES) ->
         F.max(F.coalesce(F.col("r.verdict") == "allow", F.lit(False))).alias("allow"),
         F.max(F.coalesce(F.col("r.verdict") == "block", F.lit(False))).alias("block")), "url-nodes")
     roots = connected_components(edges, "a", "b").withColumnRenamed("node", "member")
-    rooted = nodes.join(roots, F.col("node") == F.col("member"), "left").withColumn("root", F.coalesce("root", "node"))
-    groups = rooted.groupBy("root").agg(F.max("allow").alias("any_allow"), F.max("block").alias("any_block"))
+    # both sides are written out, so that the join on the root can be split where a component has many urls
+    rooted = materialize(nodes.join(roots, F.col("node") == F.col("member"), "left").withColumn(
+        "root", F.coalesce("root", "node")), "url-rooted")
+    groups = materialize(rooted.groupBy("root").agg(
+        F.max("allow").alias("any_allow"), F.max("block").alias("any_block")), "url-groups")
     # written out, so that a node of many pages can be split in the join
     state = materialize(rooted.select(F.col("node").alias("member"), "root").join(groups, "root").select(
         "member", (F.col("any_block") & ~F.col("any_allow")).alias("shared_block")), "url-states")
