@@ -1,9 +1,11 @@
-"""Exact substring dedup by sampled suffixes and induction (operator 8).
+"""Exact substring dedup by names of sampled suffixes (operator 8).
+
+This is a fingerprinting method: no suffix array is built, no common-prefix
+values are kept and nothing recurses, unlike external induced sorting.
 
 Removes every byte covered by a ``LENGTH``-byte string that also starts
 elsewhere. Sorting all suffixes would carry a tuple per byte through every
-level; as in induced sorting, only a sample of suffixes is sorted and the rest
-follow from it:
+level; here only a sample of suffixes is named and the rest follow from it:
 
 1. Sample. A suffix is sampled where a ``GRAM``-byte gram has the least hash
    among those of some LENGTH-byte window. Equal windows sample equal places,
@@ -12,7 +14,7 @@ follow from it:
    whole context (all windows that hold the gram). Names that occur once are
    out; contexts that occur twice are duplicates in all their windows. Both
    are counted with partial sums before any shuffle.
-3. Induction. Where one gram name has several contexts, windows are compared
+3. Steps. Where one gram name has several contexts, windows are compared
    step by step leftwards of the sampled suffix: a window's name follows from
    that of the window one byte to its right. The tuples of a name lie together
    after Spark's external sort (sorted runs on disk, merged by a priority
