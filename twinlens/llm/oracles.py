@@ -11,27 +11,43 @@ _URL_PARTS = r"""
   coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path"""
 _NODE = r"""CASE WHEN host <> '' THEN host || '|' || regexp_replace(path, '(?:/|\.html?)$', '') END"""
 
-#: Aliases are walked from each linked node; a component's root is the least node reached.
-_URLS = rf"""
-WITH RECURSIVE parts AS (SELECT page_id, url, coalesce(html, '') AS html, {_URL_PARTS} FROM pages),
-judged AS (
-  SELECT page_id, url, html, host, path, {_NODE} AS node,
-    CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+_RULE = """CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
          WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
          WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
          WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
-         WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
-  FROM parts),
+         WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END"""
+
+#: Links' targets are resolved against their page's url; aliases are walked from each linked node; a
+#: component's root is the least node reached.
+_URLS = rf"""
+WITH RECURSIVE parts AS (SELECT page_id, url, coalesce(html, '') AS html, {_URL_PARTS} FROM pages),
+judged AS (SELECT page_id, url, html, host, path, {_NODE} AS node, {_RULE} AS rule FROM parts),
 targets AS (
-  SELECT host AS own_host, node AS a, unnest([
+  SELECT url, host, path, node AS a, regexp_extract(url, '^((?s:.*?)://[^/?#]*)', 1) AS site, unnest([
     regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'),
                    '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
     regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
                    '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS target
   FROM judged),
 linked AS (
-  SELECT a, CASE WHEN starts_with(target, '/') THEN 'http://' || own_host || target ELSE target END AS url FROM targets),
-ends AS (SELECT DISTINCT a, {_NODE} AS b FROM (SELECT a, {_URL_PARTS} FROM linked)),
+  SELECT a, regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') AS absolute,
+    CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+         WHEN starts_with(target, '//') THEN regexp_extract(url, '^((?s:.*?):)//', 1) || target
+         WHEN starts_with(target, '/') THEN site || target
+         WHEN starts_with(target, '?') OR starts_with(target, '#') THEN site || path || target
+         ELSE site || CASE WHEN contains(path, '/') THEN regexp_replace(path, '[^/]*$', '') ELSE '/' END || target
+    END AS url
+  FROM targets WHERE a IS NOT NULL AND target <> ''
+    AND (regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') OR NOT regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:'))),
+found AS (SELECT a, absolute, {_URL_PARTS} FROM linked),
+straight AS (
+  SELECT a, host, CASE WHEN absolute OR NOT regexp_matches(path, '(?:^|/)\.{{1,2}}(?:/|$)') THEN path ELSE
+    list_reduce(list_concat([''], string_split(regexp_replace(path, '^/', ''), '/')),
+                lambda done, x: CASE x WHEN '.' THEN done WHEN '..' THEN regexp_replace(done, '/[^/]*$', '')
+                                ELSE done || '/' || x END)
+    || CASE WHEN regexp_matches(path, '(?:^|/)\.{{1,2}}$') THEN '/' ELSE '' END END AS path
+  FROM found),
+ends AS (SELECT a, {_NODE} AS b, {_RULE} AS rule FROM straight WHERE host <> ''),
 edges AS (
   SELECT a, b FROM ends WHERE a <> b
   UNION SELECT b, a FROM ends WHERE a <> b),
@@ -39,11 +55,12 @@ reach AS (
   SELECT a AS node, a AS other FROM edges
   UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a),
 roots AS (SELECT node, min(other) AS root FROM reach GROUP BY node),
+said AS (SELECT node, rule FROM judged WHERE node IS NOT NULL UNION ALL SELECT b, rule FROM ends),
 nodes AS (
-  SELECT j.node, coalesce(any_value(r.root), j.node) AS root,
+  SELECT s.node, coalesce(any_value(r.root), s.node) AS root,
          bool_or(coalesce(rule IN ('org/', 'com/fr/'), false)) AS allowed,
          bool_or(coalesce(rule NOT IN ('org/', 'com/fr/'), false)) AS blocked
-  FROM judged j LEFT JOIN roots r ON j.node = r.node WHERE j.node IS NOT NULL GROUP BY j.node),
+  FROM said s LEFT JOIN roots r ON s.node = r.node GROUP BY s.node),
 groups AS (SELECT root, bool_or(blocked) AND NOT bool_or(allowed) AS block FROM nodes GROUP BY root)
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
@@ -120,10 +137,31 @@ class_far AS (
   SELECT k, sqrt(greatest(({_CLASS_SUM}) / 2, 0)) AS d
   FROM (SELECT *, {_CHARS} AS chars FROM m) m JOIN class_ref cr ON m.lang IS NOT DISTINCT FROM cr.lang
   WHERE chars >= 100),
+letters AS (
+  SELECT k, lang, list_filter(string_split_regex(lower(t), '\P{{L}}+'), lambda x: x <> '') AS lw FROM docs),
+letter AS (SELECT k, lang, unnest(lw) AS word FROM letters),
+listed AS (
+  SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY count(DISTINCT k) DESC, word) AS r
+  FROM letter GROUP BY lang, word QUALIFY r <= 300),
+found AS (
+  SELECT l.k, count(*) AS n FROM letter l JOIN listed s
+    ON l.word = s.word AND l.lang IS NOT DISTINCT FROM s.lang GROUP BY l.k),
+share AS (
+  SELECT l.k, lang, len(lw) AS n, coalesce(f.n, 0) AS n_listed FROM letters l LEFT JOIN found f ON l.k = f.k),
+usual AS (SELECT lang, sum(n_listed) / sum(n) AS q FROM share GROUP BY lang),
+reach AS (
+  SELECT k, n_listed / n AS p, 1 - n_listed / n AS p1, q, 1 - q AS q1, CAST(0 AS DOUBLE) AS z, CAST(1 AS DOUBLE) AS o
+  FROM share s JOIN usual u ON s.lang IS NOT DISTINCT FROM u.lang WHERE n >= 50 AND n * q >= 20),
+listed_far AS (
+  SELECT k, p < q AS fewer, sqrt(greatest(({_terms("p", "q")} + {_terms("p1", "q1")}) / 2, 0)) AS d,
+    sqrt(greatest(({_terms("z", "q")} + {_terms("o", "q1")}) / 2, 0)) AS reach FROM reach),
 failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(c.d, 0) <= 0.3 AND coalesce(w.d, 0) <= 0.4 AS kept,
-  round(c.d, 9) AS class_distance, round(w.d, 9) AS word_distance
-FROM failed f LEFT JOIN class_far c ON f.k = c.k LEFT JOIN word_far w ON f.k = w.k"""
+  NOT base_failed AND coalesce(c.d, 0) <= 0.3 AND coalesce(w.d, 0) <= 0.4
+    AND NOT coalesce(l.fewer AND l.d > 0.5 * l.reach, false) AS kept,
+  round(c.d, 9) AS class_distance, round(w.d, 9) AS word_distance,
+  round(l.d, 9) AS listed_distance, round(l.reach, 9) AS listed_reach
+FROM failed f LEFT JOIN class_far c ON f.k = c.k LEFT JOIN word_far w ON f.k = w.k
+LEFT JOIN listed_far l ON f.k = l.k"""
 
 SQL: dict[str, str] = {"op3_url_redirects": _URLS, "op5_quality_divergence": _DIVERGENCE}

@@ -7,8 +7,8 @@ of the language. Two scans: one counts words for the references, one derives
 each document's counts; what is shuffled are word counts summed per task and
 one narrow row per document.
 
-With ``whole`` a second word check is added, which the registered query leaves
-out as its SQL has none: the share of a language's ``LISTED_WORDS`` commonest
+With ``whole``, as in the registered query and the pipeline's stage, a second
+word check is added: the share of a language's ``LISTED_WORDS`` commonest
 words of any length among a text's runs of letters. Its cut is a share of the
 distance that a text without any of them has from the same reference, so such
 texts and those of another language are rejected however little of the

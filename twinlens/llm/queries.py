@@ -39,8 +39,9 @@ def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_divergence.judge(_table(spark, sf_dir, "documents"), ["doc_id"]).select("row.*", "*").drop("row")
-    return out.withColumns({c: F.round(c, 9) for c in ("class_distance", "word_distance")})
+    out = quality_divergence.judge(_table(spark, sf_dir, "documents"), ["doc_id"], whole=True)
+    return out.select("row.*", "*").drop("row").withColumns({c: F.round(c, 9) for c in (
+        "class_distance", "word_distance", "listed_distance", "listed_reach")})
 
 
 def op6_secrets_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
