@@ -76,9 +76,10 @@ def resolved(base: Column, to: Column) -> Column:
         x == up, F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).when(x == dot, out).otherwise(
         F.concat(out, F.array(x))))
     # a path that ends in a dot segment names a folder
-    tail = F.when(F.element_at(segments, -1).isin(".", ".."), "/").otherwise("")
+    tail = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit("")))
+    whole = F.concat(walked, F.coalesce(tail, F.array().cast("array<string>")))
     straight = F.when(path(joined).rlike(r"(?:^|/)\.{1,2}(?:/|$)"), F.concat(
-        F.regexp_extract(joined, r"^((?s:.*?)://[^/?#]*)", 1), F.lit("/"), F.array_join(walked, "/"), tail,
+        F.regexp_extract(joined, r"^((?s:.*?)://[^/?#]*)", 1), F.lit("/"), F.array_join(whole, "/"),
         F.regexp_extract(joined, r"^(?s:.*?)://[^/?#]*[^?#]*((?s:.*))$", 1))).otherwise(joined)
     return F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to).when(
         (to != "") & (host(base) != "") & ~to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), straight)
