@@ -1,0 +1,33 @@
+"""Findings that only come to light when their neighbours are replaced."""
+import time
+
+from pyspark.sql import functions as F
+
+from twinlens.llm import pii_boosting
+
+LINK = "4111 1111 1111 1111.1.2.3.4"
+
+
+def clean(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    out = df.select("i", pii_boosting.until_clean(F.col("t"), pii_boosting.base_spans(F.col("t"))).alias("o"))
+    return {r.i: (r.o, r.n) for r in out.select("i", "o", F.size(pii_boosting.base_spans(F.col("o"))).alias("n")).collect()}
+
+
+def test_redaction_ends_when_nothing_is_left(spark):
+    chain = " ".join([LINK] * 8)  # each address shows the next card, each card the next address
+    texts = [chain, "+49 30 1234567  4111 1111 1111 1111 1.2.3.4", "a@b.c", "", "plain words 12", "1.2.3.4",
+             "é " + chain + " tail"]
+    got = clean(spark, texts)
+    assert all(n == 0 for _, n in got.values())
+    assert got[0][0] == " ".join(["<card>.<ip>"] * 8) and got[6][0] == "é " + got[0][0] + " tail"
+    assert got[1][0] == "<phone>  <card> <ip>"
+    assert [got[i][0] for i in (2, 3, 4, 5)] == ["<email>", "", "plain words 12", "<ip>"]
+
+
+def test_redaction_of_a_long_text(spark):
+    long = "some plain words " * 60000 + LINK
+    t = time.time()
+    (out, n), = clean(spark, [long]).values()
+    assert n == 0 and out == "some plain words " * 60000 + "<card>.<ip>"
+    assert time.time() - t < 60

@@ -74,8 +74,8 @@ RATE = 0.3
 MADE = 4000
 MIN_PRECISION = 0.95
 MIN_PROBABILITY = 0.9
-#: How often a redacted text is searched again.
-AGAIN = 2
+#: Characters that a base finding has at least (``a@b.c``).
+SHORTEST = 5
 _SPANS = "array<struct<kind:string,start:int,end:int,m:string>>"
 
 
@@ -349,16 +349,32 @@ def redacted(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(ordered, empty, step, finish))
 
 
+def until_clean(text: Column, spans: Column) -> Column:
+    """The text redacted by ``spans``, then by what the base rules find in the outcome until they find nothing.
+
+    No rule takes ``<`` or ``>``, so every later finding lies in what is left of
+    the text itself and takes ``SHORTEST`` characters of it at least: there are
+    fewer rounds than the text has such parts, and rounds after the last
+    finding only pass the outcome on.
+    """
+    def outcome(of: Column, by: Column) -> Column:
+        return F.struct(redacted(of, by).alias("out"), (F.size(by) > 0).alias("more"))
+
+    def again(acc: Column, _: Column) -> Column:
+        return F.when(acc["more"], let(base_spans(acc["out"]), lambda s: outcome(acc["out"], s))).otherwise(acc)
+
+    rounds = F.sequence(F.lit(0), F.floor(F.char_length(text) / SHORTEST).cast("int"))
+    return F.when(F.size(spans) == 0, text).otherwise(
+        F.aggregate(rounds, outcome(text, spans), again, lambda acc: acc["out"]))
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced in ``text``; null texts stay null, other columns as they are.
 
     What a replaced neighbour had hidden from the base rules (digits that ran
-    on into the next number, say) is looked for again in the outcome.
+    on into the next number, say) is looked for again until nothing is found.
     """
     rows = docs.select("doc_id", "text", packed(docs).alias("row"))
-    found = find(rows, "row", trees=train(docs)).withColumn("_out", redacted(F.col("_t"), F.col("spans")))
-    for _ in range(AGAIN):
-        found = found.withColumn("_again", F.when(F.size("spans") > 0, base_spans(F.col("_out"))).otherwise(_none()))
-        found = found.withColumn("_out", redacted(F.col("_out"), F.col("_again")))
+    found = find(rows, "row", trees=train(docs)).withColumn("_out", until_clean(F.col("_t"), F.col("spans")))
     text = F.when(F.col("row")["text"].isNotNull(), F.col("_out")).alias("text")
     return found.select(*[text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
