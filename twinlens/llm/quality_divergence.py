@@ -37,7 +37,7 @@ MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 #: Parameters of the divergence rules.
 COMMON_WORDS = 16
-SHORT_WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,3}(?![^\x20\x09-\x0D])"
+SHORT_CHARS = 3
 MIN_CHARS_FOR_CLASSES = 100
 MIN_WORDS_FOR_COMMON = 50
 MAX_CLASS_DISTANCE = 0.30
@@ -59,7 +59,7 @@ def word_references(docs: DataFrame, k: int = COMMON_WORDS) -> DataFrame:
     the word that sorts first.
     """
     counted = (docs.select(F.col("lang").alias("ref_lang"),
-                           F.regexp_extract_all(whole_text("text"), F.lit(SHORT_WORD), 0).alias("w"))
+                           F.filter(words(whole_text("text")), lambda x: F.char_length(x) <= SHORT_CHARS).alias("w"))
                .select("ref_lang", F.explode("w").alias("w"))
                .groupBy("ref_lang", "w").agg(F.count(F.lit(1)).alias("n")))
     rank = F.row_number().over(Window.partitionBy("ref_lang").orderBy(F.desc("n"), "w"))
@@ -144,10 +144,14 @@ def measure(docs: DataFrame, refs: DataFrame, keep: list[str]) -> DataFrame:
     df = df.join(refs, F.col("_lang").eqNullSafe(F.col("ref_lang")), "left").drop("ref_lang")
     df = df.withColumn("w", words(F.col("t")))
 
+    def from_common(hs: Column) -> Column:
+        return F.struct(*[F.when(F.size("common") > k, F.size(hs) - F.size(F.array_remove(hs, F.get("common", F.lit(k)))))
+                          .otherwise(0).cast("long").alias(f"w{k}") for k in range(COMMON_WORDS)])
+
     def from_hashes(hs: Column) -> Column:
-        hits = [F.when(F.size("common") > k, F.size(hs) - F.size(F.array_remove(hs, F.get("common", F.lit(k)))))
-                .otherwise(0).cast("long").alias(f"w{k}") for k in range(COMMON_WORDS)]
-        return F.struct(repeated_words(hs).alias("n_repeat_words"), *hits)
+        # one walk leaves the common words, the counts of each need only those
+        common = F.filter(hs, lambda h: F.array_contains("common", h))
+        return F.struct(repeated_words(hs).alias("n_repeat_words"), let(common, from_common).alias("hits"))
 
     def from_letter_words(ws: Column) -> Column:
         hit = F.filter(F.transform(ws, lambda x: F.xxhash64(x)), lambda h: F.array_contains(
@@ -172,7 +176,7 @@ def measure(docs: DataFrame, refs: DataFrame, keep: list[str]) -> DataFrame:
                    count(r"\p{Lu}+").alias("upper"), count(r"\p{Nd}+").alias("digit"),
                    count(r"[.,;:!?'\"()\-]+").alias("mark"))
     return df.select(
-        "row", "_lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "h.*",
+        "row", "_lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "h.n_repeat_words", "h.hits.*",
         (F.col("word_chars") - F.col("n_rest")).alias("lower"), "upper", "digit",
         (F.col("n_chars") - F.col("word_chars")).alias("space"), "mark", F.col("n_symbols").alias("symbol"),
         *["l.*" for _ in more],
