@@ -206,8 +206,8 @@ def judge(docs: DataFrame, keep: list[str], max_class: float = MAX_CLASS_DISTANC
     refs = materialize(word_references(docs), "word-references")
     if whole:
         lists = materialize(word_lists(docs), "word-lists").withColumnRenamed("ref_lang", "list_lang")
-        refs = materialize(lists.join(refs, F.col("list_lang").eqNullSafe(F.col("ref_lang")), "left").select(
-            F.col("list_lang").alias("ref_lang"), "common", "listed"), "word-references")
+        refs = materialize(lists.join(refs, F.col("list_lang").eqNullSafe(F.col("ref_lang")), "full").select(
+            F.coalesce("list_lang", "ref_lang").alias("ref_lang"), "common", "listed"), "word-references")
     m = materialize(measure(docs, refs, keep), "divergence")
     common = [f"w{k}" for k in range(COMMON_WORDS)]
     ref = m.groupBy(F.col("_lang").alias("ref_lang")).agg(
@@ -233,7 +233,8 @@ def judge(docs: DataFrame, keep: list[str], max_class: float = MAX_CLASS_DISTANC
         F.coalesce(F.col("word_distance"), F.lit(0.0)) > max_word)
     more = []
     if whole:
-        own, usual = F.col("n_listed") / F.col("n_letter_words"), F.col("r_n_listed") / F.col("r_n_letter_words")
+        own = F.try_divide("n_listed", "n_letter_words")
+        usual = F.try_divide("r_n_listed", "r_n_letter_words")
         enough = (F.col("n_letter_words") >= MIN_WORDS_FOR_COMMON) & (F.col("n_letter_words") * usual >= MIN_EXPECTED)
         more = ["listed_distance", "listed_reach"]
         df = (df.withColumn("listed_distance", F.when(enough, js_distance(
