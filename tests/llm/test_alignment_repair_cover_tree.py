@@ -75,6 +75,15 @@ def test_alignment_query_equals_brute_force(spark):
     assert got == brute_alignment([tuple(r) for r in docs.collect()])
 
 
+def test_alignment_of_texts_with_white_space_at_their_ends_and_nuls(spark):
+    texts = ["x", "  ", "ends in a space ", " begins with one", "a\t", "the  ", "\u3000", "  the", "line\n", "\nline", "\xa0",
+             "\x00", "\x00b", "a\x00b c", "a\x00d c", "a c", "\x1c", "y \x00", " ▁ ", "z"]
+    rows = list(enumerate(texts * 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((tuple(r) for r in align_.alignments(docs).collect()), key=repr)
+    assert got == brute_alignment(rows)
+
+
 def test_alignment_of_an_empty_table(spark):
     assert align_.alignments(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

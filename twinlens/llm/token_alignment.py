@@ -99,13 +99,17 @@ class Pair:
         """``(ids of A, ids of B, A's tokens in each unit, B's, given back whole)`` of a space and each unit.
 
         Units that either side doesn't give back byte for byte have no tokens. They go to the tokenizers in
-        lines, whose tokens are told apart by their bytes.
+        lines, whose tokens are told apart by their bytes. A unit that begins with white space opens a line
+        and one that ends with it closes its line: beside another space, tokens would run on into the next unit.
         """
         lines, line, size = [], [], 0
         for u in units:
+            if line and u[0].isspace():
+                lines.append(line)
+                line, size = [], 0
             line.append(u)
             size += len(u) + 1
-            if size >= LINE_CHARS:
+            if size >= LINE_CHARS or u[-1].isspace():
                 lines.append(line)
                 line, size = [], 0
         lines += [line] if line else []
@@ -227,9 +231,11 @@ def _chunk(pair: Pair, ids: list, texts: list[str | None], name: str) -> dict:
     """One chunk's row: its pairs, their documents, and its documents as a compressed table."""
     cut = [_CUT.split(t) if t else [] for t in texts]
     doc_starts = _starts(np.array([len(c) for c in cut], np.int64))
-    seq, units = pd.factorize(np.array([u for c in cut for u in c], object))
-    del cut
-    ids_a, ids_b, n_a, n_b, good = pair.encode(units.tolist())
+    places: dict[str, int] = {}  # pandas' hash of strings would end at a NUL
+    seq = np.fromiter((places.setdefault(u, len(places)) for c in cut for u in c), np.int64, doc_starts[-1])
+    units = list(places)
+    del cut, places
+    ids_a, ids_b, n_a, n_b, good = pair.encode(units)
     # both sides of a unit have the same bytes, so the units can follow one another
     starts_a, starts_b = _starts(n_a), _starts(n_b)
     at_a, at_b = common_ends(np.cumsum(pair.length_a[ids_a]), np.cumsum(pair.length_b[ids_b]), starts_a, starts_b)
