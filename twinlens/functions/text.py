@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinlens.functions.udf import arrow_udf
+from twinlens.session import bounded_batches
 
 # The characters Python's str.strip() removes (str.isspace()).
 WHITESPACE_CLASS = (
@@ -69,8 +70,11 @@ def decode_text(c: Column | str, encoding: str = "gb18030") -> Column:
         text = F.decode(_col(c), enc)
         text = F.regexp_replace(text, "\r\n?", "\n")
     elif enc == "gb18030":
+        bounded_batches(SparkSession.active())
         text = _decode_gb18030(_col(c))
     else:
+        bounded_batches(SparkSession.active())
+
         @arrow_udf(T.StringType())
         def _dec(b: pd.Series) -> pd.Series:
             return _decode_series(b, encoding)
@@ -104,11 +108,17 @@ def decode_report(c: Column | str, encoding: str = "gb18030") -> Column:
             oks.append(ok)
         return pd.DataFrame({"text": pd.Series(texts, dtype=object), "ok": pd.Series(oks, dtype=bool)})
 
+    bounded_batches(SparkSession.active())
     found = report(_col(c))
     return F.struct(strip_ws(found["text"]).alias("text"), found["ok"].alias("ok"))
 
 
 @arrow_udf(T.BinaryType())
-def encode_gb18030(s: pd.Series) -> pd.Series:
-    """Text -> GB18030 bytes (used to derive blobs from text tables)."""
+def _encode_gb18030(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else x.encode("gb18030"))
+
+
+def encode_gb18030(c: Column | str) -> Column:
+    """Text -> GB18030 bytes (used to derive blobs from text tables)."""
+    bounded_batches(SparkSession.active())
+    return _encode_gb18030(_col(c))
