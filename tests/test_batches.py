@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from twinlens import session as ss
 from twinlens.functions.text import decode_report, decode_text, encode_gb18030
+from twinlens.operators.text_prep import text_features, text_features_with
 
 KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -18,7 +19,7 @@ def batch_bytes(s: pd.Series) -> pd.Series:
 @pytest.fixture
 def texts(spark):
     spark.conf.set(KEY, "64m")
-    yield spark.range(0, 32, 1, 1).select(F.col("id").cast("string").alias("guid"), F.repeat(F.lit("ab c"), 1 << 17).alias("text"))
+    yield spark.range(0, 64, 1, 1).select(F.col("id").cast("string").alias("guid"), F.repeat(F.lit("ab c"), 1 << 17).alias("text"))
     spark.conf.unset(KEY)
 
 
@@ -34,6 +35,12 @@ def test_batches_of_decoded_texts_are_small(texts, step):
     assert largest(texts.withColumn("out", F.length(step()))) <= ss.BATCH_BYTES + (1 << 20)
 
 
+@pytest.mark.parametrize("step", [text_features, lambda df: text_features_with(
+    df.coalesce(1), lambda: lambda ts: [[float(len(t))] for t in ts], 1)])
+def test_batches_of_encoded_texts_are_small(texts, step):
+    assert largest(step(texts)) <= ss.BATCH_BYTES + (1 << 20)
+
+
 @pytest.mark.parametrize("given, kept", [("1m", "1m"), ("4m", "4m"), ("300000", "300000"), ("5m", str(4 << 20)),
                                          ("1g", str(4 << 20)), ("67108864b", str(4 << 20))])
 def test_a_smaller_limit_stays(spark, given, kept):

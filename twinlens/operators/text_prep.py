@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from twinlens.functions.udf import arrow_udf
 from twinlens.operators.image_steps import flat_features
-from twinlens.session import materialize, spread
+from twinlens.session import bounded_batches, materialize, spread
 
 # Words are runs of Unicode letters and digits; each Han character is a word.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -87,6 +87,8 @@ def text_features(df: DataFrame, text_col: str = "text", dim: int = 32,
     """Hashed bag-of-words vector per row (T4 built-in encoder)."""
     df = spread(df)
     if hashing == "md5":
+        bounded_batches(df.sparkSession)
+
         @arrow_udf(T.ArrayType(T.DoubleType()))
         def bow(texts: pd.Series) -> pd.Series:
             return _bow_md5_batch(texts, dim)
@@ -119,6 +121,7 @@ def text_features_with(df: DataFrame, encoder, dim: int, text_col: str = "text",
             return flat_features(fn([str(t) for t in texts]), len(texts), dim)
         return predict
 
+    bounded_batches(df.sparkSession)
     # nondeterministic: the encoder runs once per row (see functions.udf)
     udf = predict_batch_udf(make_fn, return_type=T.ArrayType(T.DoubleType()),
                             batch_size=batch_size, input_tensor_shapes=None).asNondeterministic()
