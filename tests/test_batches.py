@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from twinlens import session as ss
 from twinlens.functions.text import decode_report, decode_text, encode_gb18030
-from twinlens.operators.text_prep import text_features, text_features_with
+from twinlens.operators.text_prep import build_vocab, encode_rows, text_features, text_features_with, wordpiece_encode
 
 KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -41,6 +41,21 @@ def test_batches_of_encoded_texts_are_small(texts, step):
     assert largest(step(texts)) <= ss.BATCH_BYTES + (1 << 20)
 
 
+@pytest.mark.parametrize("encode", [encode_rows, wordpiece_encode])
+def test_batches_of_tokenised_texts_are_small(texts, encode):
+    assert largest(encode(texts, build_vocab(texts, 10), 8)) <= ss.BATCH_BYTES + (1 << 20)
+
+
+def test_encoded_rows_by_hand(spark):
+    rows = [("a", "b a b 你好 c"), ("n", None), ("e", ""), ("u", "zz [UNK] b"), ("x", "a\x00b B " * 9)]
+    df = spark.createDataFrame(rows, "guid string, text string")
+    vocab = spark.createDataFrame([("[PAD]", 0), ("[UNK]", 1), ("[CLS]", 2), ("[SEP]", 3), ("b", 4), ("a", 5), ("你", 6)],
+                                  "token string, token_id int")
+    got = {r.guid: list(r.input_ids) for r in encode_rows(df, vocab, 8).collect()}
+    assert got == {"a": [2, 4, 5, 4, 6, 1, 1, 3], "n": [2, 3], "e": [2, 3], "u": [2, 1, 1, 4, 3],
+                   "x": [2, 5, 4, 4, 5, 4, 4, 3]}
+
+
 @pytest.mark.parametrize("given, kept", [("1m", "1m"), ("4m", "4m"), ("300000", "300000"), ("5m", str(4 << 20)),
                                          ("1g", str(4 << 20)), ("67108864b", str(4 << 20))])
 def test_a_smaller_limit_stays(spark, given, kept):

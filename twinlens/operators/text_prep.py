@@ -21,6 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -206,6 +208,7 @@ def wordpiece_encode(df: DataFrame, vocab: DataFrame, max_len: int = 128,
         for texts in batches:
             yield pd.Series([e.ids for e in tok.encode_batch([t or "" for t in texts])], dtype=object)
 
+    bounded_batches(df.sparkSession)
     return spread(df).withColumn(out_col, enc.asNondeterministic()(F.col(text_col)))
 
 
@@ -238,21 +241,29 @@ def encode_rows(df: DataFrame, vocab: DataFrame, max_len: int = 128, text_col: s
     """``[CLS]``, the ids of the first ``max_len - 2`` words, ``[SEP]``, without leaving the row.
 
     ``vocab`` is ``build_vocab``'s: its k tokens are broadcast, checked against
-    ``MAX_BROADCAST_VOCAB``.
+    ``MAX_BROADCAST_VOCAB``. Words stay in Arrow's buffers: no Python object is made for one.
     """
     rows = vocab.select("token", "token_id").limit(MAX_BROADCAST_VOCAB + 1).collect()
     if len(rows) > MAX_BROADCAST_VOCAB:
         raise ValueError("vocabulary exceeds the broadcast guard")
     known = df.sparkSession.sparkContext.broadcast({r.token: r.token_id for r in rows})
 
-    @arrow_udf(T.ArrayType(T.IntegerType()))
-    def enc(words: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def enc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         v = known.value
-        unk = v[UNK]
-        return pd.Series([[v[CLS], *[v.get(w, unk) for w in (() if ws is None else ws)], v[SEP]]
-                          for ws in words], dtype=object)
+        tokens, ids = pa.array(list(v), pa.string()), pa.array(list(v.values()), pa.int32())
+        for words in batches:
+            found = ids.take(pc.index_in(words.flatten(), value_set=tokens)).fill_null(v[UNK])
+            ends = np.cumsum(words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) + 2, dtype=np.int32)
+            starts = np.concatenate([np.zeros(1, np.int32), ends])
+            framed, inner = np.empty(starts[-1], np.int32), np.ones(starts[-1], bool)
+            framed[starts[:-1]], framed[ends - 1] = v[CLS], v[SEP]
+            inner[starts[:-1]] = inner[ends - 1] = False
+            framed[inner] = found.to_numpy(zero_copy_only=False)
+            yield pa.ListArray.from_arrays(pa.array(starts), pa.array(framed))
 
-    return df.withColumn(out_col, enc(F.slice(word_tokens(text_col), 1, max_len - 2)))
+    bounded_batches(df.sparkSession)
+    return df.withColumn(out_col, enc.asNondeterministic()(F.slice(word_tokens(text_col), 1, max_len - 2)))
 
 
 def pad_batches(df: DataFrame, ids_col: str = "input_ids", mode: str = "longest",
